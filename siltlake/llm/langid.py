@@ -31,6 +31,8 @@ TRAIN_DOCS = 1_500
 CALIBRATION = 0.2
 #: Standard deviations of a language's own cross-entropy beyond which a text is rejected.
 REJECT_Z = 8.0
+#: Nats a character beyond the language's mean that are never rejected.
+REJECT_LEAST = 1.2
 START, END = "\u0002", "\u0003"
 WORD = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -147,7 +149,7 @@ def score_batches(model: Model):
                 best = int(entropy.argmin())
                 score = 1 / np.exp((entropy[best] - entropy) * min(n, 40)).sum()
                 over = entropy[best] - model.mean[best]
-                limit = REJECT_Z * max(model.spread[best], model.noise[best] / np.sqrt(n))
+                limit = max(REJECT_LEAST, REJECT_Z * max(model.spread[best], model.noise[best] / np.sqrt(n)))
                 out.append((model.langs[best], float(score), float(entropy[best]), bool(over > limit)))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "cross_entropy", "rejected"]).assign(doc_id=batch["doc_id"].to_numpy())[["doc_id", "lang_pred", "score", "cross_entropy", "rejected"]]
 
