@@ -1,11 +1,24 @@
-"""The queries of the training-data operators, by name."""
+"""The queries of the training-data operators, by name, and their SQL twins."""
 
 from __future__ import annotations
 
+from siltlake.llm import chat, warc
+from siltlake.llm.chat import op2_chat_perspectives
 from siltlake.llm.langid import op10_language_id
+from siltlake.llm.licenses import op1_license_scan
+from siltlake.llm.packing import op8_best_fit_packing
+from siltlake.llm.quality import op9_quality_rules
+from siltlake.llm.toxicity import op6_toxicity
+from siltlake.llm.warc import op7_warc_transactions
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_chat_perspectives": op2_chat_perspectives,
+    "op6_toxicity": op6_toxicity,
+    "op7_warc_transactions": op7_warc_transactions,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_chat_perspectives": chat.ORACLE_SQL, "op7_warc_transactions": warc.ORACLE_SQL}
