@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from siltlake.llm import chat, jaccard, warc
 from siltlake.llm.chat import op2_chat_perspectives
+from siltlake.llm.decontaminate import op5_decontamination
 from siltlake.llm.jaccard import op3_jaccard_join
 from siltlake.llm.langid import op10_language_id
 from siltlake.llm.licenses import op1_license_scan
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_chat_perspectives": op2_chat_perspectives,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_secret_scan": op4_secret_scan,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_warc_transactions": op7_warc_transactions,
     "op8_best_fit_packing": op8_best_fit_packing,
