@@ -38,7 +38,7 @@ def parquet(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def text_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     """line_number from 1 within each file, line_content and source_file."""
-    df = spark.read.options(wholetext=True, **options).text(path).select(F.col("_metadata.file_path").alias("source_file"), F.regexp_replace("value", r"\r\n|\r", "\n").alias("value"))
+    df = spark.read.options(**options).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.regexp_replace("value", r"\r\n|\r", "\n").alias("value"))
     lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
     return df.select("source_file", F.posexplode(lines).alias("n", "line_content")).select((F.col("n") + 1).alias("line_number"), "line_content", "source_file")
 
