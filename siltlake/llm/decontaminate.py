@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import cut, table
 
 SHINGLE, SIMILARITY = 5, 0.8
-BITS, BLOCKS, NEAR = 64, 5, 3
+BITS, BLOCKS, NEAR = 64, 5, 4
 WIDTH = 13  # bits of a block; the last has the rest
 RADIUS = BLOCKS * (NEAR + 1) - 1
+#: Weights are whole numbers of this part of one, so that sums do not depend on their order.
+GRAIN = 1_000_000
 #: Rows that a side may have to be broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -94,7 +96,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     if not per_size:
         return docs.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("start"))
     placed = cut(reduce(DataFrame.unionByName, per_size))
-    rarity = cut(placed.groupBy("h").agg(F.log1p(F.lit(float(n_items)) / F.count_distinct("item")).alias("rarity")))
+    grains = lambda holders: F.round(F.log1p(F.lit(float(n_items)) / holders) * GRAIN).cast("long")
+    rarity = cut(placed.groupBy("h").agg(grains(F.count_distinct("item")).alias("rarity")))
     n_placed = placed.count()
 
     # Where a document shares a shingle with an item, a window aligned to it.
@@ -114,7 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     contents = laid.groupBy("content").agg(F.first("words").alias("words"), F.first("k").alias("k"))
     per_size = [contents.where(F.col("k") == k).select("content", F.explode(shingles(k)).alias("h")) for k in sizes]
     held = reduce(DataFrame.unionByName, per_size).groupBy("content", "h").agg(F.count(F.lit(1)).alias("n"))
-    weigh = F.col("n") * F.coalesce("rarity", F.log1p(F.lit(float(n_items))))
+    weigh = F.col("n") * F.coalesce("rarity", grains(F.lit(1)))
     held = cut(held.join(small(rarity, n_placed), "h", "left").select("content", "h", weigh.alias("weight")))
     own = placed.groupBy("item", "h").agg(F.count(F.lit(1)).alias("n")).join(small(rarity, n_placed), "h", "left").select("item", "h", weigh.alias("weight"))
     own = cut(own)

@@ -10,7 +10,7 @@ Priorities: 90 full grant or exact identifier with version, 70 named with versio
 RULES = r"""
 gpl
  90 gnu gnu general public license(?: as published by the free software foundation)? (?:version|v) [123](?: 0)?(?: or (?:at your option )?any later version)?
- 90 spdx spdx license identifier a?gpl [123] 0(?: only| or later| \+)?
+ 90 spdx spdx license identifier gpl [123] 0(?: only| or later| \+)?
  70 gpl gpl ?(?:version |v)?[123](?: 0)?(?: only| or later)?
  70 gplv3 gplv3(?: or later| only)?
  70 gplv2 gplv2(?: or later| only)?

@@ -1,0 +1,73 @@
+import random
+import zlib
+
+from siltlake.llm import toxicity
+
+BAD = ["idiot", "scum", "worthless", "clown"]
+
+
+def corpus(n=1200, seed=1):
+    rng = random.Random(seed)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgmp" for b in "aeou" for c in "mnrst"]
+    docs, labels = [], []
+    for d in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(5, 80))
+        toxic = rng.random() < 0.2
+        if toxic:
+            for _ in range(rng.randint(1, 3)):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        elif rng.random() < 0.15:
+            words.insert(rng.randrange(len(words)), "circus clown")  # a phrase that is harmless
+        docs.append((d, " ".join(words), "en", 7.0))
+        labels.append((d, 1, int(toxic), "x"))
+    return docs, labels
+
+
+def frames(spark, docs, labels):
+    return spark.createDataFrame(docs, "doc_id long, text string, lang string, score double"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+
+
+def test_folding():
+    assert toxicity.fold("W0RTHLESS") == toxicity.fold("worthless")
+    assert toxicity.fold("1d1ot") == toxicity.fold("ІԁıоТ") == toxicity.fold("ｉｄｉｏｔ") == toxicity.fold("ídiót") == "idiot"
+    assert toxicity.fold("sc​um") == toxicity.fold("$cum") == "scum"
+
+
+def test_held_out_accuracy_and_exceptions(spark):
+    docs, labels = corpus()
+    d, t = frames(spark, docs, labels)
+    lexicon = toxicity.learn(d, t)
+    assert {toxicity.fold(w) for w in BAD} <= set(lexicon.weights)
+    assert ("circus", toxicity.fold("clown")) in lexicon.exceptions
+    scores = {r["doc_id"]: r["score"] for r in toxicity.toxicity(d, lexicon).collect()}
+    held = [(scores[i], y) for i, _, y, _ in labels if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sum((s >= toxicity.THRESHOLD) == y for s, y in held) / len(held) > 0.97
+
+
+def test_labels_of_held_out_rows_are_never_used(spark):
+    docs, labels = corpus(300)
+    flipped = [(i, q, 1 - y if zlib.crc32(str(i).encode()) % 4 == 2 else y, x) for i, q, y, x in labels]
+    one, two = toxicity.learn(*frames(spark, docs, labels)), toxicity.learn(*frames(spark, docs, flipped))
+    assert one.weights == two.weights and abs(one.bias - two.bias) < 1e-9
+
+
+def test_hits_are_whole_words():
+    lexicon = toxicity.Lexicon({"scum": 2.0}, {("pond", "scum")}, (1.0, 1.0, 1.0), -3.0)
+    automaton = lexicon.automaton()
+    assert [x[0] for x in toxicity.hits("scum scumbag obscum", automaton, set())] == ["scum"]
+    x, found, excepted = toxicity.features("Pond scum, you $CUM", lexicon, automaton)
+    assert found == ["scum"] and excepted == 1
+    clean, _, _ = toxicity.features("nothing", lexicon, automaton)
+    assert lexicon.score(x) > lexicon.score(clean)
+
+
+def test_edge_rows(spark):
+    lexicon = toxicity.Lexicon({"scum": 2.0}, set(), (1.0, 1.0, 1.0), -3.0)
+    docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "scum " * 50_000, 1), (4, "a", 1), (4, "a", 1), (None, "scum", 1)], "doc_id long, text string, n_hits int")
+    out = {r["doc_id"]: r for r in toxicity.toxicity(docs, lexicon).collect()}
+    assert out[1]["score"] == out[2]["score"] == out[4]["score"] < out[None]["score"] and out[3]["n_hits"] == 50_000
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    empty = toxicity.learn(docs, none)
+    assert not empty.weights and all(r["score"] < 1e-9 for r in toxicity.toxicity(docs, empty).collect())
+    assert toxicity.learn(docs, spark.createDataFrame([(1, 0), (3, None)], "doc_id long, toxic int")).weights == {}
+    assert toxicity.toxicity(docs.limit(0), lexicon).count() == 0
