@@ -38,3 +38,12 @@ def swap_statements(table: str, keys: Sequence[str] = (), exists: bool = True) -
     moves = ([f"{table} TO {table}_old"] if exists else []) + [f"{table}_staging TO {table}"]
     index = [f"CREATE INDEX ix_{table} ON {table} ({', '.join(keys)})"] if keys else []
     return [f"DROP TABLE IF EXISTS {table}_old", f"RENAME TABLE {', '.join(moves)}", f"DROP TABLE IF EXISTS {table}_old", *index]
+
+
+def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+    """Merges a staging table into a serving table by its unique key (MySQL); with keys alone, only new rows come in."""
+    rest = [c for c in columns if c not in keys]
+    names = ", ".join(columns)
+    if not rest:
+        return f"INSERT IGNORE INTO {table} ({names}) SELECT {names} FROM {table}_staging"
+    return f"INSERT INTO {table} ({names}) SELECT {names} FROM {table}_staging ON DUPLICATE KEY UPDATE " + ", ".join(f"{c} = VALUES({c})" for c in rest)
