@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -42,8 +43,8 @@ ROUNDS = 4
 MOVES = 30
 #: Bins, the fullest of the underfull ones, that the emptiest bin tries for an exchange.
 NEIGHBOURS = 64
-#: Distinct chunks whose ids a worker remembers.
-CHUNKS = 300_000
+#: Distinct chunks, and parts of chunks, whose ids a worker remembers.
+CHUNKS, PARTS = 200_000, 350_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,16 +52,28 @@ class Encoder:
     """Token ids of whole texts, put together from those of their chunks between spaces.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so the ids of
-    a text are those of its chunks in a row; chunks that recur are encoded once.
+    a text are those of its chunks in a row; chunks that recur are encoded once. It also lower-cases,
+    and parts letters from signs that follow them; so a new chunk is put together from its letters in
+    lower case and the signs at its end, which recur more often than the chunk.
     """
 
+    TAIL = ",.;:!?#$%&*|"
+    #: A chunk with a character outside these is left to the tokenizer as it is.
+    ODD = re.compile(r"[^\x00-įĲ-ſ]")
+
     def __init__(self, tokenizer: str = TOKENIZER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        # Byte-level vocabularies show a byte as its own character if it prints, else as one from 256 on.
+        prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = [b for b in range(256) if b not in prints]
+        self.bytes_shown = {b: 256 + n for n, b in enumerate(hidden)}
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
         self.space = re.compile(r"[\t\n\r]")
 
     def encode(self, text: str) -> bytes:
@@ -69,10 +82,32 @@ class Encoder:
             self.known.clear()
         chunks = self.space.sub(" ", text).split(" ")
         if new := [c for c in dict.fromkeys(chunks) if c not in self.known]:
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
+            self.learn(new)
         return b"".join(map(self.known.__getitem__, chunks))
 
+    def learn(self, chunks: list[str]) -> None:
+        if len(self.parts) > PARTS:
+            self.parts = {"": b""}
+        pairs = []
+        for c in chunks:
+            if self.ODD.search(c):
+                pairs.append((c, ""))
+                continue
+            low = c.lower()
+            head = low.rstrip(self.TAIL)
+            pairs.append((head, low[len(head) :]) if head and head[-1].isalpha() else (low, ""))
+        if new := [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in self.parts]:
+            # One run of letters is one word to the model, which then needs no normalising or splitting.
+            plain = [p for p in new if p.isalpha() and (p.isascii() or not self.ODD.search(p))]
+            for p in plain:
+                seen = p if p.isascii() else p.encode().decode("latin-1").translate(self.bytes_shown)
+                self.parts[p] = struct.pack(f"<{len(t := self.model.tokenize(seen))}I", *[x.id for x in t])
+            rest = [p for p in new if p not in self.parts]
+            for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                self.parts[p] = np.array(e.ids, "<u4").tobytes()
+        for c, (head, tail) in zip(chunks, pairs):
+            self.known[c] = self.parts[head] + self.parts[tail]
+
 
 def cut_batches(tokenizer: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,32 +154,28 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 def improve(bins: list[list[int]], lengths: list[int], capacity: int, slack: int = SLACK, moves: int = MOVES) -> list[list[int]]:
     """Local search between underfull bins.
 
-    Takes the emptiest underfull bin and looks for a move, an exchange of one for one or of two for
-    one with another that makes a fuller bin fuller still; each raises the sum of squared fills.
-    A bin from which nothing can leave is set aside; empty bins go.
+    Takes bins from the emptiest on and looks for a move, an exchange of one for one or of two for one
+    with a fuller bin that makes that one fuller still; each raises the sum of squared fills. After
+    an exchange the search starts over, or, with many bins, goes on. Empty bins go.
     """
     fill = [sum(lengths[i] for i in b) for b in bins]
     low = sorted((b for b in range(len(bins)) if capacity - fill[b] > slack), key=lambda b: fill[b])
-    left = moves * len(low)
-    while len(low) > 1 and left > 0:
-        poor = low[0]
-        done = False
-        for rich in reversed(low[max(1, len(low) - NEIGHBOURS) :]):
+    left, at = moves * len(low), 0
+    while at < len(low) - 1 and left > 0:
+        poor = low[at]
+        for rich in reversed(low[max(at + 1, len(low) - NEIGHBOURS) :]):
             if swap := find_swap(bins[poor], bins[rich], lengths, capacity - fill[rich]):
                 out, back = swap
                 gain = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
                 bins[poor] = [i for i in bins[poor] if i not in out] + back
                 bins[rich] = [i for i in bins[rich] if i not in back] + out
                 fill[poor], fill[rich] = fill[poor] - gain, fill[rich] + gain
+                low = sorted((b for b in low if bins[b] and capacity - fill[b] > slack), key=lambda b: fill[b])
                 left -= 1
-                done = True
-                if capacity - fill[rich] <= slack:
-                    low.remove(rich)
+                at = 0 if len(low) <= NEIGHBOURS else at
                 break
-        if not bins[poor] or not done:
-            low.pop(0)
         else:
-            low.sort(key=lambda b: fill[b])
+            at += 1
     return [b for b in bins if b]
 
 

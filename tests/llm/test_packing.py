@@ -1,0 +1,82 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from siltlake.llm import packing
+
+ENCODER = packing.Encoder()
+
+
+def direct(text):
+    return ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aAbéÉİıΣσςß'tsrevmldxZÑñ,.;:!?#$%&*|<>()12 \n\t\r\x0b\x0c\xa0 ́̇रि中文ﬁſK\x1c\x85"), max_size=80))
+def test_chunks_give_the_ids_of_the_whole(text):
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == direct(text)
+
+
+def test_special_strings_are_text():
+    assert 49407 not in np.frombuffer(ENCODER.encode("a <|endoftext|> b"), "<u4")
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bins_hold_everything_once_and_fit(seed):
+    rng = random.Random(seed)
+    lengths = [rng.randint(1, 100) for _ in range(500)]
+    bins = packing.improve(packing.best_fit(lengths, 100), lengths, 100, slack=0)
+    assert sorted(i for b in bins for i in b) == list(range(500))
+    assert all(sum(lengths[i] for i in b) <= 100 for b in bins)
+    least = max(-(-sum(lengths) // 100), sum(n > 50 for n in lengths))
+    assert least <= len(bins) <= 1.05 * least + 1
+
+
+def test_local_search_empties_a_bin():
+    lengths = [6, 3, 4, 2, 5]  # 20 in two bins of 10, from a poor start in three
+    assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 10, slack=0)) == 2
+
+
+def pack(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sequence_id string, offset string")
+    return [r.asDict() for r in packing.pack(packing.pieces(docs), **options).collect()]
+
+
+def test_pieces_and_places(spark):
+    long_text = "word " * 9000
+    rows = [(1, None, "x", "y"), (2, "", None, None), (3, long_text, None, None), (4, "a b", None, None), (4, "a b", None, None)]
+    rows += [(k, "some words " * (k % 700), None, None) for k in range(10, 200)]
+    out = pack(spark, rows, shard=40)
+    ids = {3: direct(long_text) + [1], 4: direct("a b") + [1], 1: [1], 2: [1]}
+    for k, expected in ids.items():
+        mine = sorted((r for r in out if r["doc_id"] == k), key=lambda r: r["piece"])
+        assert [r["length"] for r in mine][-1] >= 1
+        for r in mine:
+            part = expected[r["start"] : r["start"] + r["length"]]
+            assert zlib.crc32(np.array(part, "<u4").tobytes()) == r["ids_crc32"]
+    assert [r["length"] for r in out if r["doc_id"] == 3 and r["piece"] == 0] == [4096]
+    assert len([r for r in out if r["doc_id"] == 4]) == 2
+    by_sequence = {}
+    for r in out:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    total = sum(r["length"] for r in out)
+    assert len(by_sequence) <= 1.05 * -(-total // 4096) + 1
+
+
+def test_empty_table(spark):
+    assert pack(spark, []) == []
+
+
+def test_ids_come_with_the_pieces_on_request(spark):
+    docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
+    assert packing.pieces(docs, with_ids=True).first()["ids"] == direct("hello world") + [1]
