@@ -31,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; set here only where the session has none, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.startswith("local-") or not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = "/tmp/siltlake-checkpoints"
     if not spark.sparkContext.getCheckpointDir():

@@ -15,6 +15,7 @@ ignored.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,9 @@ REJECT_Z = 8.0
 #: Nats a character beyond the language's mean that are never rejected.
 REJECT_LEAST = 1.2
 START, END = "\u0002", "\u0003"
-WORD = re.compile(r"[^\W\d_]+")
+#: Words of letters alone; letters next to digits, as in keys, say nothing about a language.
+WORD = re.compile(r"\b[^\W\d_]+\b")
+LETTERS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 
 
@@ -54,18 +57,17 @@ class Model:
     """Kneser-Ney models of several languages over one sorted array of n-gram hashes."""
 
     def __init__(self, counts: dict[str, dict[str, int]], order: int = ORDER):
-        """counts: for each language, how often each n-gram of 1 to order characters occurs."""
+        """counts: for each language, how often each n-gram of 1 to order characters occurs. It is used up, to save memory."""
         self.langs, self.order = sorted(counts), order
         self.uniform = -np.log(1 + len({g for c in counts.values() for g in c if len(g) == 1}))
         union = sorted({g for c in counts.values() for g in c}, key=len)
         row = {g: i for i, g in enumerate(union)}
-        logp = np.zeros((len(union), len(self.langs)))
-        back = np.zeros((len(union), len(self.langs)))
+        logp, back = (np.zeros((len(union), len(self.langs)), np.float32) for _ in range(2))
         for j, lang in enumerate(self.langs):
-            self._fit(counts[lang], union, row, logp[:, j], back[:, j])
+            self._fit(counts.pop(lang), union, row, logp[:, j], back[:, j])
         hashes = np.array([string_hash(g) for g in union], np.uint64)
         by = np.argsort(hashes, kind="stable")
-        self.hashes, self.logp, self.back = hashes[by], logp[by].astype(np.float32), back[by].astype(np.float32)
+        self.hashes, self.logp, self.back = hashes[by], logp[by], back[by]
         self.mean, self.spread, self.noise = (np.zeros(len(self.langs)) for _ in range(3))
 
     def _fit(self, raw: dict[str, int], union: list[str], row: dict[str, int], logp: np.ndarray, back: np.ndarray) -> None:
@@ -140,7 +142,8 @@ def score_batches(model: Model):
             out = []
             for text in batch["text"]:
                 known.room()
-                words = WORD.findall(text.lower()) if text else []
+                low = text.lower() if text else ""
+                words = WORD.findall(low) or LETTERS.findall(low)
                 if not words or not any(map(str.isalpha, text)):
                     out.append(("und", 0.0, None, True))
                     continue
@@ -169,15 +172,15 @@ def learn(docs: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS) ->
     rate = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, train_docs / r["count"]))])
     sample = rows.where(fraction(F.col("doc_id"), 10) < rate[F.col("lang")])
     calibration = fraction(F.col("doc_id"), 11) < CALIBRATION if sum(r["count"] for r in sizes) >= 200 * len(sizes) else F.lit(False)
-    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word")
+    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![\p{L}\p{N}_])(\p{L}++)(?![\p{N}_])"), 1)).alias("word")
     words = sample.where(~calibration).select("lang", word).groupBy("lang", "word").count()
     framed = F.concat(F.lit(START), "word", F.lit(END))
     sizes_of = F.sequence(F.lit(1), F.least(F.lit(order), F.length("framed")))
     grams = F.flatten(F.transform(sizes_of, lambda n: F.transform(F.sequence(F.lit(1), F.length("framed") - n + 1), lambda i: F.substring(F.col("framed"), i, n))))
     counted = words.select("lang", framed.alias("framed"), "count").select("lang", "count", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.sum("count").alias("n"))
     counts: dict[str, dict[str, int]] = {}
-    for lang, gram, n in counted.toPandas().itertuples(index=False):
-        counts.setdefault(lang, {})[gram] = int(n)
+    for lang, gram, n in counted.toLocalIterator():
+        counts.setdefault(lang, {})[sys.intern(gram)] = n
     if not counts:
         return None
     model = Model(counts, order)
