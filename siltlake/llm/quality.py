@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,13 @@ from siltlake.llm.common import WordTable, mixed, rolled, table, texts
 #: Where the public vocabularies lie.
 TOKENIZERS = "/opt/tokenizers"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ASCII_LETTER = re.compile(r"[A-Za-z]")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MOST_REPEATED = 20  # per cent of words
+#: Distinct words whose tokens a worker remembers.
+WORDS = 600_000
 #: Below so many tokens the measures say too little to reject a text.
 MIN_TOKENS = 50
 #: Ids of the byte-fallback tokens in the vocabulary with byte fallback.
@@ -75,13 +79,15 @@ class Tokens:
 
 
 def script(text: str) -> str:
-    """The script of most letters among an even spread of at most 200 of the text's characters."""
+    """The script of most of the text's letters."""
+    if text.isascii():
+        return "LATIN" if ASCII_LETTER.search(text) else "none"
     found: dict[str, int] = {}
-    for c in text[:: max(1, len(text) // 200)]:
+    for c, n in Counter(text).items():
         if c.isalpha():
             name = unicodedata.name(c, "other").split()[0]
             name = name if name in BANDS else "other"
-            found[name] = found.get(name, 0) + 1
+            found[name] = found.get(name, 0) + n
     return max(sorted(found), key=found.get) if found else "none"
 
 
@@ -122,7 +128,7 @@ def verdict(name: str, coarse: float, fine: float, share: float, entropy: float,
 def score_batches(where: str = TOKENIZERS):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens = Tokens(where)
-        known = WordTable(tokens.make, 3, np.int64)
+        known = WordTable(tokens.make, 3, np.int64, WORDS)
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
