@@ -3,11 +3,16 @@
 A document is the set of its five-word shingles. Documents with the same words make one text. The
 join then follows chosen paths: a text gets 64 min-hash coordinates; a run samples coordinates (one,
 and with probability 1/similarity - 1 another) and splits the texts by their values there; buckets
-of more than LEAF texts are split again on coordinates sampled by their path, up to DEPTH times; what
-remains is compared by brute force on the coordinates, in blocks where a bucket is still large. The
+of more than LEAF texts are split again on coordinates sampled by their path, up to DEPTH times. The
 number of runs follows from the recall asked for at the least similarity: the chance that a pair
 stays together down to DEPTH is a branching process with known survival.
 
+Buckets are compared by brute force on the coordinates. As a first step every bucket's texts are held
+against one of them, its pivot; texts found alike make groups, and a bucket within one group is
+done. Where all but RESIDUE texts of a large bucket are of one group, splitting would not part them:
+the others are compared with all and among each other, the group in blocks. What is still large at
+the last split is compared in pairs of blocks.
+
 Compared texts that look similar enough make candidate groups. In each group all pairs are compared
 exactly, on the shingle sets, in blocks of bounded size that only give counts and a spanning forest:
 pairs are never emitted. The forest's components are the classes.
@@ -26,12 +31,13 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import WordTable, cut, groups, rolled, table, texts
@@ -40,14 +46,17 @@ SHINGLE, SIMILARITY = 5, 0.8
 COORDINATES = 64
 #: Recall asked for on pairs of exactly the least similarity; closer pairs are found more surely.
 RECALL = 0.9995
-#: Splits at most; a bucket of at most LEAF texts is not split any more.
-DEPTH, LEAF = 3, 64
+#: Splits at most; the first ROOT are taken at once, as buckets after fewer are large in a large corpus. A
+#: bucket of at most LEAF texts is not split any more.
+DEPTH, ROOT, LEAF = 4, 2, 250
 #: Coordinates that may differ by chance below the least similarity: four standard deviations.
 MARGIN = 0.2
-#: Texts that one block of a comparison holds on average.
-BLOCK = 250
+#: Texts that one block of a comparison of coordinates holds on average, and texts outside a bucket's largest group.
+BLOCK, RESIDUE = 500, 250
+#: Texts, and bytes of shingle sets, that a block of the exact comparison holds on average at most.
+EXACT_TEXTS, EXACT_BYTES = 1000, 6 << 20
 WORD = re.compile(r"[^\W_]+")
-SIGNED = "doc_id long, cls binary, sig binary"
+SIGNED = "doc_id long, cls binary, sig binary, n_words long"
 
 
 def survival(depth: int, similarity: float) -> float:
@@ -106,10 +115,10 @@ def sign_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             codes = shingler.codes(text)
             if len(codes):
-                out.append((doc_id, class_key(codes), min_hashes(shingle_set(codes), xors, factors).tobytes()))
+                out.append((doc_id, class_key(codes), min_hashes(shingle_set(codes), xors, factors).tobytes(), len(codes)))
             else:
-                out.append((doc_id, None, None))
-        yield pd.DataFrame(out, columns=["doc_id", "cls", "sig"])
+                out.append((doc_id, None, None, 0))
+        yield pd.DataFrame(out, columns=["doc_id", "cls", "sig", "n_words"])
 
 
 def chosen(run: int) -> list[int]:
@@ -118,29 +127,75 @@ def chosen(run: int) -> list[int]:
     return rng.choice(COORDINATES, 1 + int(rng.random() < 1 / SIMILARITY - 1), replace=False).tolist()
 
 
-def split(rows: DataFrame) -> DataFrame:
-    """Children of path, cls, sig: by the values at the coordinates that the path samples."""
-    at = lambda salt: F.pmod(F.xxhash64("path", F.lit(salt)), F.lit(COORDINATES)).cast("int")
-    child = lambda i: F.xxhash64("path", i, F.substring(F.col("sig"), 4 * i + 1, F.lit(4)))
-    two = F.pmod(F.xxhash64("path", F.lit(0)), F.lit(1 << 20)) < (1 / SIMILARITY - 1) * (1 << 20)
+def children(path: Column) -> Column:
+    """An array of a path's children: by the values of sig at the coordinates that the path samples."""
+    at = lambda salt: F.pmod(F.xxhash64(path, F.lit(salt)), F.lit(COORDINATES)).cast("int")
+    child = lambda i: F.xxhash64(path, i, F.substring(F.col("sig"), 4 * i + 1, F.lit(4)))
+    two = F.pmod(F.xxhash64(path, F.lit(0)), F.lit(1 << 20)) < (1 / SIMILARITY - 1) * (1 << 20)
     step = at(2) % (COORDINATES - 1) + 1  # so that the second differs from the first
     other = (at(1) + step) % COORDINATES
-    children = F.when(two, F.array(child(at(1)), child(other))).otherwise(F.array(child(at(1))))
-    return rows.select(F.explode(children).alias("path"), "cls", "sig")
+    return F.when(two, F.array(child(at(1)), child(other))).otherwise(F.array(child(at(1))))
+
 
+def roots_of(runs: int, root: int) -> Column:
+    """An array of all runs' paths after the first root splits."""
+    paths = F.array(*[F.xxhash64(F.lit(run), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for run in range(runs) for i in chosen(run)])
+    for _ in range(root - 1):
+        paths = F.flatten(F.transform(paths, children))
+    return paths
 
-def in_blocks(rows: DataFrame, key: str, n: str, block: int) -> DataFrame:
-    """Deals each group of n rows under key into blocks and gives every pair of blocks, as unit, its rows.
+
+def split(rows: DataFrame) -> DataFrame:
+    """Children of path, cls, sig."""
+    return rows.select(F.explode(children(F.col("path"))).alias("path"), "cls", "sig")
+
+
+def in_blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Deals each group under key into its number of blocks and gives every pair of blocks, as unit, its rows.
 
     Adds unit, part (the row's own block) and cross (whether the unit is of two blocks).
     """
-    blocks = F.ceil(F.col(n) / float(block)).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    dealt = rows.withColumn("blocks", F.ceil(blocks).cast("int")).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     return dealt.withColumn("unit", F.xxhash64(key, low, high)).withColumn("cross", F.col("part") != F.col("other")).drop("blocks", "other")
 
 
+def alike_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows pivot, pivot_sig, cls, sig: those whose coordinates agree on enough places, as a, b."""
+    need = math.ceil((SIMILARITY - MARGIN) * COORDINATES)
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        sig, pivot = (np.frombuffer(b"".join(t[c].to_pylist()), np.int32).reshape(len(t), -1) for c in ("sig", "pivot_sig"))
+        near = t.filter(pa.array((sig == pivot).sum(axis=1) >= need)) if len(t) else t
+        for b in near.select(["pivot", "cls"]).rename_columns(["a", "b"]).to_batches():
+            yield b
+
+
+def pivot_edges(rows: DataFrame) -> DataFrame:
+    """Edges from the pivot of each bucket of path, cls, sig to the texts that look like it."""
+    pivots = rows.groupBy("path").agg(F.min(F.struct("cls", "sig")).alias("p")).select("path", F.col("p.cls").alias("pivot"), F.col("p.sig").alias("pivot_sig"))
+    met = rows.join(pivots, "path").where(F.col("cls") != F.col("pivot")).select("pivot", "pivot_sig", "cls", "sig")
+    return met.mapInArrow(alike_pivot, "a binary, b binary").distinct()
+
+
+def pivot_groups(edges: DataFrame) -> DataFrame:
+    """node and component: the least pivot a text looks like, or that one's. Groups need not be whole: what they part is compared."""
+    own = edges.groupBy("b").agg(F.min("a").alias("up")).select(F.col("b").alias("node"), F.least("up", "b").alias("up"))
+    higher = own.select(F.col("node").alias("n2"), F.col("up").alias("up2"))
+    found = own.join(higher, F.col("up") == F.col("n2"), "left").select("node", F.coalesce("up2", "up").alias("component"))
+    tops = found.select(F.col("component").alias("node"), F.col("component"))
+    return found.union(tops).groupBy("node").agg(F.min("component").alias("component"))
+
+
+def grouped(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows with the group of each text (itself where it has none), the bucket's largest group and how many texts are outside it."""
+    rows = rows.join(known, rows["cls"] == known["node"], "left").select("path", "cls", "sig", "n", F.coalesce("component", "cls").alias("component"))
+    sizes = rows.groupBy("path", "component").agg(F.count(F.lit(1)).alias("m"))
+    top = sizes.groupBy("path").agg(F.max(F.struct("m", "component")).alias("top")).select("path", F.col("top.m").alias("m"), F.col("top.component").alias("largest"))
+    return rows.join(top, "path").select("path", "cls", "sig", "n", "m", (F.col("component") == F.col("largest")).alias("inner"))
+
+
 def roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
     """The least member of each place's component."""
     root = list(range(n))
@@ -168,7 +223,7 @@ def look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = []
         for k in range(0, len(rows), 32):
             same = (sig[k : k + 32, None, :] == sig[None, k:, :]).sum(axis=2) >= need
-            pairs += [(int(i) + k, int(j) + k) for i, j in np.argwhere(same) if i < j]
+            pairs += [(i + k, j + k) for i, j in np.argwhere(same).tolist() if i < j]
         for i, r in enumerate(roots(len(rows), iter(pairs))):
             if r != i:
                 a.append(rows[r]["cls"])
@@ -211,7 +266,7 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows[0]["cross"]:  # pairs within a block belong to that block's own unit
                 part = np.array([r["part"] for r in rows])
                 linked &= part[:, None] != part[None, :]
-            root = roots(len(rows), ((int(i), int(j)) for i, j in np.argwhere(linked) if i < j))
+            root = roots(len(rows), ((i, j) for i, j in np.argwhere(linked).tolist() if i < j))
             for i, n in enumerate(linked.sum(axis=1).tolist()):
                 if n:
                     cls.append(rows[i]["cls"])
@@ -225,15 +280,15 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (its least node) of an undirected graph a, b, by large-star and small-star steps."""
-    now, before = cut(edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()), None
+    now = cut(edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
-        if state == before:
+        # Done once the edges are stars: no node has two lower ones, and none is lower and higher at once.
+        parts = now.select(F.col("high").alias("node"), F.lit(1).alias("h"), F.lit(0).alias("l")).union(now.select(F.col("low").alias("node"), F.lit(0).alias("h"), F.lit(1).alias("l")))
+        if parts.groupBy("node").agg(F.sum("h").alias("h"), F.max("l").alias("l")).where("h > 1 OR (h > 0 AND l > 0)").isEmpty():
             break
-        before = state
         both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select(F.col("high").alias("u"), F.col("low").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high")
         down = large.groupBy("high").agg(F.min("low").alias("m"))
         met = large.join(down, "high")
         small = met.select(F.least("m", "low").alias("low"), F.greatest("m", "low").alias("high")).union(met.select(F.col("m").alias("low"), "high"))
@@ -248,48 +303,55 @@ def with_sets(rows: DataFrame) -> DataFrame:
         shingler = Shingler()
         for batch in batches:
             out = []
-            for text, cls, component, n in zip(batch["text"], batch["cls"], batch["component"], batch["n"]):
+            for text, cls, component, n in zip(batch["text"], batch["cls"], batch["component"], batch["blocks"]):
                 codes = shingler.codes(text)
                 if len(codes) and class_key(codes) == cls:
                     out.append((cls, component, n, shingle_set(codes).tobytes()))
-            yield pd.DataFrame(out, columns=["cls", "component", "n", "shingles"])
+            yield pd.DataFrame(out, columns=["cls", "component", "blocks", "shingles"])
 
-    return rows.select("text", "cls", "component", "n").mapInPandas(run, "cls binary, component binary, n long, shingles binary")
+    return rows.select("text", "cls", "component", "blocks").mapInPandas(run, "cls binary, component binary, blocks double, shingles binary")
 
 
 def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
     """Edges a, b between texts that chosen paths bring together and whose coordinates look alike."""
-    paths = [F.xxhash64(F.lit(run), F.lit(i), F.substring("sig", 4 * i + 1, 4)) for run in range(runs_for(recall, depth)) for i in chosen(run)]
-    first = distinct.select("cls", F.explode(F.array(*paths)).alias("path"))
+    first = distinct.select("cls", F.explode(roots_of(runs_for(recall, depth), ROOT)).alias("path"))
     sizes = first.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     rows = cut(first.join(sizes, "path").join(distinct.select("cls", "sig"), "cls").select("path", "cls", "sig", "n"))
-    ends = []
-    for level in range(1, depth + 1):
-        done = F.lit(True) if level == depth else F.col("n") <= leaf
-        ends.append(rows.where(done))
+    starred = cut(pivot_edges(rows))
+    known = cut(pivot_groups(starred))
+    units = []
+    for level in range(ROOT, depth + 1):
+        rows = cut(grouped(rows, known).where("m < n"))
+        units.append(rows.where(F.col("n") <= leaf).select(F.col("path").alias("unit"), "cls", "sig"))
+        large = rows.where(F.col("n") > leaf)
+        # The few texts outside the largest group meet each of its blocks.
+        few = F.col("n") - F.col("m") <= RESIDUE
+        blocks = F.ceil(F.col("m") / float(BLOCK)).cast("int")
+        of = F.when(F.col("inner"), F.array(F.pmod(F.xxhash64("cls"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
+        units.append(large.where(few).select("path", "cls", "sig", F.explode(of).alias("block")).select(F.xxhash64("path", "block").alias("unit"), "cls", "sig"))
         if level == depth:
+            units.append(in_blocks(large.where(~few), "path", F.col("n") / float(BLOCK)).select("unit", "cls", "sig"))
+            break
+        open_ = cut(split(large.where(~few)))
+        if open_.isEmpty():
             break
-        open_ = split(rows.where(~done))
         sizes = open_.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = cut(open_.join(sizes, "path").select("path", "cls", "sig", "n"))
-    leaves = ends[0]
-    for more in ends[1:]:
-        leaves = leaves.unionByName(more)
-    units = in_blocks(leaves.select("path", "cls", "n", "sig"), "path", "n", 2 * BLOCK)
-    units = units.select("unit", "cls", "sig").repartition("unit").sortWithinPartitions("unit")
-    return units.mapInArrow(look_alike, "a binary, b binary").distinct()
+        rows = open_.join(sizes, "path").select("path", "cls", "sig", "n")
+    dealt = reduce(DataFrame.unionByName, units).repartition("unit").sortWithinPartitions("unit")
+    return starred.union(dealt.mapInArrow(look_alike, "a binary, b binary")).distinct()
 
 
 def similarity_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_copies and n_links for every row of docs."""
     docs = texts(docs)
     signed = cut(docs.mapInPandas(sign_batches, SIGNED))
-    distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig")))
+    distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
     near = cut(components(candidates(distinct, recall)))
-    sizes = near.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = near.join(sizes, "component").join(distinct.select("cls", "first"), near["node"] == distinct["cls"]).select("cls", "first", "component", "n")
-    sets = with_sets(docs.join(members, docs["doc_id"].eqNullSafe(members["first"])).select("text", "cls", "component", "n"))
-    units = in_blocks(sets, "component", "n", BLOCK).select("unit", "cls", "part", "cross", "shingles")
+    near = near.join(distinct.select("cls", "first", "n_words"), near["node"] == distinct["cls"]).select("cls", "first", "component", "n_words")
+    sizes = near.groupBy("component").agg(F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES)).alias("blocks"))
+    members = near.join(sizes, "component").select("cls", "first", "component", "blocks")
+    sets = with_sets(docs.join(members, docs["doc_id"].eqNullSafe(members["first"])).select("text", "cls", "component", "blocks"))
+    units = in_blocks(sets, "component", F.col("blocks")).select("unit", "cls", "part", "cross", "shingles")
     counted = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(count_links, "cls binary, links long, root binary"))
     links = counted.groupBy("cls").agg(F.sum("links").alias("n_links"))
     found = components(counted.select(F.col("root").alias("a"), F.col("cls").alias("b")))
