@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,11 @@ def csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",", enc
 
 def json_records(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
     """Records of line-delimited JSON, or of whole documents: an array, an object holding one, or a single object."""
-    lines = spark.read.options(**options).text(path).where(F.trim("value") != "")
-    by_line = lines.agg(F.bool_and(F.try_parse_json("value").isNotNull() & F.trim("value").startswith("{"))).first()[0]
+    first = spark.read.options(**options).text(path).where(F.trim("value") != "").first()
+    try:  # a whole object on a line of its own: one record a line
+        by_line = first is not None and isinstance(json.loads(first["value"]), dict)
+    except ValueError:
+        by_line = False
     reader = spark.read.options(**options)
     reader = reader.schema(schema) if schema else reader
     if by_line:
