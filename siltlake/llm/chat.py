@@ -5,7 +5,8 @@ For every participant of a conversation the dialogue is rendered once with that
 message and perspective: the rendered text, its place in the rendered dialogue and the span on
 which that perspective trains (its own turns, end mark included). A dialogue is its rows'
 text in order of seq, so that no conversation, however long, has to fit in one row or one task.
-Places are prefix sums in two levels: over blocks of turns, then within a block.
+Places are prefix sums in two levels: over blocks of BLOCK turn numbers, then within a block, which one
+task sorts.
 
 Defined results: messages are ordered by turn (null first), role and text; a null role is the
 participant `unknown`; a null text is empty; a null conv_id is a conversation of its own; a
@@ -38,7 +39,7 @@ def rotate(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     head = F.concat(F.lit("<|im_start|>"), as_role, F.lit("\n"))
     body = F.concat(F.regexp_replace("text", r"<\|", "< |"), F.lit("<|im_end|>\n"))
     seen = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).select(
-        "conv_id", "speaker", "turn", "role", "text", F.expr(f"coalesce(turn, -1) div {block}").alias("block"), F.concat(head, body).alias("rendered"), F.length(head).cast("long").alias("head"), own.alias("trained")
+        "conv_id", "speaker", "turn", "role", "text", F.expr(f"coalesce(turn div {block}, {-(1 << 62)})").alias("block"), F.concat(head, body).alias("rendered"), F.length(head).cast("long").alias("head"), own.alias("trained")
     )
     one = Window.partitionBy("conv_id", "speaker").orderBy("block")
     before = one.rowsBetween(Window.unboundedPreceding, -1)

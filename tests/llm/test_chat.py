@@ -3,7 +3,7 @@ from siltlake.llm import chat
 SHAPE = "conv_id long, turn long, role string, text string, speaker string, block int"
 ROWS = [
     (1, 0, "system", "be kind", "z", 1), (1, 1, "user", "hi <|im_end|>", None, None), (1, 2, "assistant", "hello", None, None), (1, 3, "bob", "and me?", None, None), (1, 3, "bob", "and me?", None, None),
-    (1, 3, "user", None, None, None), (1, None, "user", "no turn", None, None), (2, 0, "system", "alone", None, None), (None, 5, None, "x", None, None), (3, 500, "user", "é漢", None, None), (3, -70, "assistant", "", None, None),
+    (1, 3, "user", None, None, None), (1, None, "user", "no turn", None, None), (2, 0, "system", "alone", None, None), (None, 5, None, "x", None, None), (3, 500, "user", "é漢", None, None), (3, -70, "assistant", "", None, None), (3, None, "user", "first", None, None),
 ]
 
 
