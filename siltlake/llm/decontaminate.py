@@ -1,12 +1,14 @@
 """Benchmark decontamination by SimHash of item-sized windows, in DataFrame operations alone.
 
-A window is as many words of a document as an item has. Windows are laid where a document shares a
-shingle with an item, aligned to it: a window that shares none has similarity 0 with every item, so
-none that could matter is left out. Windows with the same words are one content. Contents and items
+A window is as many words of a document as an item has, or what is left of them at its end. A window
+cannot be as similar to an item as asked for unless the item's shingles in it, each place counted,
+weigh that share of the item. Such windows are laid at every start, aligned to a shared shingle or not;
+all others are below the similarity. The starts come from a running sum over the places where shared
+shingles enter and leave. Windows of one width with the same words are one content. Contents and items
 get 64-bit SimHash fingerprints of their weighted shingles; a multi-index over BLOCKS blocks of bits
 finds every pair within RADIUS: two fingerprints that differ in at most BLOCKS * (NEAR + 1) - 1 bits
 differ in at most NEAR bits of some block, and the index holds all such neighbours of the items'
-blocks. Pairs found are verified by their exact weighted similarity.
+blocks. Pairs of one width found are verified by their exact weighted similarity.
 
 The similarity is the weight of the shared shingles over that of the heavier side. A shingle weighs
 its number of occurrences times log(1 + items / items that hold it); one that no item holds
@@ -24,7 +26,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import cut, table
@@ -75,6 +77,11 @@ def keyed(masks: list[int]) -> Column:
     return F.explode(F.flatten(F.array(*map(of, range(BLOCKS))))).alias("at")
 
 
+def sized(sizes: list[int]) -> Column:
+    """The shingles of the words by the column k, one of sizes."""
+    return reduce(lambda x, k: F.when(F.col("k") == k, shingles(k)).otherwise(x), sizes[1:], shingles(sizes[0]))
+
+
 def marked(k: int) -> Column:
     """The shingles of k words with k and their places."""
     return F.transform(shingles(k), lambda h, i: F.struct(F.lit(k).alias("k"), i.alias("pos"), h.alias("h")))
@@ -100,34 +107,48 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     rarity = cut(placed.groupBy("h").agg(grains(F.count_distinct("item")).alias("rarity")))
     n_placed = placed.count()
 
-    # Where a document shares a shingle with an item, a window aligned to it.
-    tokens = docs.select("doc_id", words().alias("words"))
+    weigh = F.col("n") * F.coalesce("rarity", grains(F.lit(1)))
+    own = placed.groupBy("item", "width", "k", "h").agg(F.count(F.lit(1)).alias("n")).join(small(rarity, n_placed), "h", "left")
+    own = cut(own.select("item", "width", "k", "h", "rarity", weigh.alias("weight")))
+    of_items = cut(fingerprint(own, "item").join(items.select("item", F.size("words").alias("width")), "item"))
+
+    # The places where a document holds a shingle of an item.
+    tokens = docs.where(F.col("doc_id").isNotNull()).select("doc_id", words().alias("words"))
     if len(sizes) == 1:
         seen = tokens.select("doc_id", F.lit(sizes[0]).alias("k"), F.posexplode(shingles(sizes[0])).alias("pos", "h"))
     else:
         seen = tokens.select("doc_id", F.explode(F.flatten(F.array(*map(marked, sizes)))).alias("s")).select("doc_id", "s.k", "s.pos", "s.h")
-    anchors = seen.join(small(placed, n_placed), ["h", "k"])
-    windows = cut(anchors.select("doc_id", F.greatest(F.lit(0), F.col("pos") - F.col("at")).alias("start"), "width", "k").distinct())
-    n_windows = windows.count()
-
-    # Their words; windows with the same words are one content from here on.
-    texts = docs.join(small(windows, n_windows), "doc_id").select("doc_id", "start", "width", "k", words().alias("words"))
-    texts = texts.select("doc_id", "start", "k", F.slice("words", F.col("start") + 1, F.col("width")).alias("words"))
-    laid = cut(texts.withColumn("content", F.md5(F.concat_ws(" ", F.col("k").cast("string"), F.array_join("words", " ")))))
-    contents = laid.groupBy("content").agg(F.first("words").alias("words"), F.first("k").alias("k"))
-    per_size = [contents.where(F.col("k") == k).select("content", F.explode(shingles(k)).alias("h")) for k in sizes]
-    held = reduce(DataFrame.unionByName, per_size).groupBy("content", "h").agg(F.count(F.lit(1)).alias("n"))
-    weigh = F.col("n") * F.coalesce("rarity", grains(F.lit(1)))
-    held = cut(held.join(small(rarity, n_placed), "h", "left").select("content", "h", weigh.alias("weight")))
-    own = placed.groupBy("item", "h").agg(F.count(F.lit(1)).alias("n")).join(small(rarity, n_placed), "h", "left").select("item", "h", weigh.alias("weight"))
-    own = cut(own)
-
-    # All pairs of fingerprints within the radius.
-    of_contents = cut(fingerprint(held, "content"))
-    of_items = cut(fingerprint(own, "item"))
-    index = of_items.withColumn("at", keyed(neighbours())).select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"), "at.block", "at.value")
-    probes = of_contents.withColumn("at", keyed([0])).select("content", "fp", "total", "at.block", "at.value")
-    near = probes.join(index, ["block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    needs = of_items.select("item", (F.col("total") * (similarity - 1e-8)).alias("need"))
+    theirs = own.join(F.broadcast(needs) if n_placed <= BROADCAST_ROWS else needs, "item").select("item", "width", "k", "h", "rarity", "need")
+    anchors = seen.join(small(theirs, n_placed), ["h", "k"]).repartition("doc_id", "item").distinct()
+
+    # Starts of windows whose shared places weigh enough: a shingle enters at its least start and leaves past its place.
+    enters = F.struct(F.greatest(F.lit(0), F.col("pos") - F.col("width") + F.col("k")).alias("start"), F.col("rarity").alias("more"))
+    leaves = F.struct((F.col("pos") + 1).alias("start"), (-F.col("rarity")).alias("more"))
+    steps = anchors.select("doc_id", "item", "width", "need", F.explode(F.array(enters, leaves)).alias("step"))
+    steps = steps.groupBy("doc_id", "item", "width", "need", "step.start").agg(F.sum("step.more").alias("more"))
+    run = Window.partitionBy("doc_id", "item").orderBy("start")
+    held_from = F.sum("more").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = steps.select("doc_id", "width", "need", "start", held_from.alias("held"), F.lead("start").over(run).alias("end")).where(F.col("held") >= F.col("need"))
+    starts = spans.select("doc_id", "width", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("start")).distinct()
+    windows = cut(starts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "width")).alias("windows")))
+    n_docs = windows.count()
+
+    # Their shingles; windows of one width with the same words are one content from here on.
+    texts = docs.join(small(windows, n_docs), "doc_id").select("doc_id", words().alias("all"), F.explode("windows").alias("at"))
+    texts = texts.select("doc_id", "at.start", "at.width", F.slice("all", F.col("at.start") + 1, F.col("at.width")).alias("words"))
+    texts = texts.withColumn("k", F.least(F.lit(SHINGLE), F.col("width")))
+    content = F.unhex(F.md5(F.concat_ws(" ", F.col("width").cast("string"), F.array_join("words", " "))))
+    laid = cut(texts.select("doc_id", "start", "width", content.alias("content"), sized(sizes).alias("hs")))
+    contents = laid.groupBy("content").agg(F.first("width").alias("width"), F.first("hs").alias("hs"))
+    held = contents.select("content", F.explode("hs").alias("h")).groupBy("content", "h").agg(F.count(F.lit(1)).alias("n"))
+    held = held.join(small(rarity, n_placed), "h", "left").select("content", "h", weigh.alias("weight"))
+
+    # All pairs of fingerprints within the radius, of one width.
+    of_contents = cut(fingerprint(held, "content").join(contents.select("content", "width"), "content"))
+    index = of_items.withColumn("at", keyed(neighbours())).select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"), "width", "at.block", "at.value")
+    probes = of_contents.withColumn("at", keyed([0])).select("content", "fp", "total", "width", "at.block", "at.value")
+    near = probes.join(index, ["width", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     near = near.select("content", "item", "total", "item_total").distinct()
 
     # Exact similarity of the pairs found.

@@ -64,6 +64,21 @@ def test_against_all_windows(spark, seed):
     assert all(out[k] == expected[k] for k in out if expected[k] == 1.0)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 6])
+def test_every_window_of_the_similarity(spark, seed):
+    docs, items = corpus(seed)
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 6) for r in got.collect()} == brute(docs, items)
+
+
+def test_windows_between_aligned_ones(spark):
+    item = [f"i{n}" for n in range(60)]
+    words = [f"x{n}" for n in range(100)] + ["a", "b", "c"] + item[3:30] + [f"m{n}" for n in range(6)] + item[30:57] + ["d", "e", "f"] + [f"y{n}" for n in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    (found,) = decontaminate.contaminated(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert (found["item_id"], found["start"], found["similarity"]) == (7, 103, round(46 / 56, 9))
+
+
 def test_index_finds_every_pair_within_the_radius(spark):
     rng = random.Random(5)
     pairs = []
