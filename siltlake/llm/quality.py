@@ -3,11 +3,15 @@
 Base counts follow their definitions literally. The method tokenises each distinct word with
 two public vocabularies, a byte-level BPE and a BPE with byte fallback, and measures over the
 whole text: characters per token of both, the share of byte-fallback tokens, and the entropy
-of the tokens. Each measure has a band per script; a text outside a band is rejected.
+of the tokens. Each measure has a band per script; a text outside a band is rejected. A band is taken
+from the table: the quantiles of the measure at the tail share TAIL on both sides, over all texts of the
+script that pass the base rules, widened by the greater of their distances from the median. Junk of up to
+that share of a script does not move its bands. The fixed BANDS hold as well, and alone for scripts of
+fewer than LEAST_DOCS such texts.
 
 Defined results: null or blank texts have no words, so every count is 0 and base_failed is true;
-texts with fewer than MIN_TOKENS tokens are judged by the base rules alone; repeated rows get
-equal results; columns besides doc_id and text are ignored. Texts of any length are read whole.
+texts that pass the base rules are judged by the bands, however short; repeated rows get
+equal results and count once each for the bands; columns besides doc_id and text are ignored. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,9 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, mixed, rolled, table, texts
+from siltlake.llm.common import WordTable, cut, mixed, rolled, table, texts
 
 #: Where the public vocabularies lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -34,14 +39,16 @@ MIN_WORDS = 10
 MOST_REPEATED = 20  # per cent of words
 #: Distinct words whose tokens a worker remembers.
 WORDS = 600_000
-#: Below so many tokens the measures say too little to reject a text.
-MIN_TOKENS = 50
+#: Share of a script's texts that may lie beyond either quantile, and texts a script needs for bands of its own.
+TAIL, LEAST_DOCS = 0.05, 100
+#: Least widening of a band: characters per token, byte-fallback share, share of the even entropy.
+LEAST_WIDENING = {"chars_per_token": 0.25, "chars_per_byte_bpe_token": 0.25, "byte_share": 0.1, "token_entropy": 0.1}
 #: Ids of the byte-fallback tokens in the vocabulary with byte fallback.
 BYTE_IDS = (3, 259)
-#: Rejection bands by script: least and most characters per token (byte fallback BPE, byte-level
+#: Outermost bands by script: least and most characters per token (byte fallback BPE, byte-level
 #: BPE), most byte-fallback share, least share of the entropy that evenly used tokens would have.
 BANDS = {
-    "LATIN": ((1.05, 9.0), (0.95, 9.0), 0.20, 0.35),
+    "LATIN": ((1.3, 9.0), (1.2, 9.0), 0.20, 0.35),
     "CYRILLIC": ((0.8, 9.0), (0.4, 9.0), 0.30, 0.35),
     "GREEK": ((0.5, 9.0), (0.3, 9.0), 0.50, 0.35),
     "CJK": ((0.3, 4.0), (0.2, 4.0), 0.80, 0.35),
@@ -148,16 +155,50 @@ def score_batches(where: str = TOKENIZERS):
                 failed = len(words) < MIN_WORDS or 100 * repeats > MOST_REPEATED * len(words)
                 name = script(text)
                 measures = (chars / max(n, 1), chars / max(n_fine, 1), in_bytes / max(n, 1), entropy)
-                reason = "base" if failed else verdict(name, *measures, n) if n >= MIN_TOKENS else ""
+                reason = "base" if failed else verdict(name, *measures, n)
                 out.append((doc_id, len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats, failed, not reason, name, *measures, reason))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return run
 
 
+def banded() -> dict[str, Column]:
+    """The measures that bands are taken of; entropy as a share of what evenly used tokens would have."""
+    n = F.round(F.col("word_chars") / F.col("chars_per_token"))
+    even = F.greatest(F.lit(1.0), F.log2(F.least(n, F.lit(1000.0))))
+    return {m: F.col(m) / even if m == "token_entropy" else F.col(m) for m in LEAST_WIDENING}
+
+
+def bands_of(measured: DataFrame) -> DataFrame:
+    """script, and for each measure low_ and high_: the bands of scripts with enough texts that pass the base rules."""
+    live = measured.where(~F.col("base_failed"))
+    # On a grid, so that a group holds a bounded number of distinct values and the result depends on no order.
+    quantiles = [F.percentile(F.round(x, 3), F.array(F.lit(TAIL), F.lit(0.5), F.lit(1 - TAIL))).alias(m) for m, x in banded().items()]
+    found = live.groupBy(F.col("script").alias("of")).agg(F.count(F.lit(1)).alias("n_docs"), *quantiles).where(F.col("n_docs") >= LEAST_DOCS)
+    out = [F.col("of")]
+    for m, least in LEAST_WIDENING.items():
+        low, middle, high = (F.col(m)[k] for k in range(3))
+        wide = F.greatest(middle - low, high - middle, F.lit(least))
+        out += [(low - wide).alias(f"low_{m}"), (high + wide).alias(f"high_{m}")]
+    return found.select(*out)
+
+
+def judged(measured: DataFrame, bands: DataFrame) -> DataFrame:
+    """measured with the verdict of bands where no fixed band and no base rule rejects a text."""
+    joined = measured.join(F.broadcast(bands), F.col("script") == F.col("of"), "left")
+    reason = F.lit("")
+    for m, x in reversed(banded().items()):
+        low, high = x < F.col(f"low_{m}"), x > F.col(f"high_{m}")
+        out = {"byte_share": high, "token_entropy": low}.get(m, low | high)
+        reason = F.when(out, F.lit(m)).otherwise(reason)
+    joined = joined.withColumn("reason", F.when(F.col("reason") == "", reason).otherwise(F.col("reason")))
+    return joined.withColumn("kept", F.col("reason") == "").select(measured.columns)
+
+
 def quality(docs: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """Counts, measures and verdict for every row of docs."""
-    return texts(docs).mapInPandas(score_batches(tokenizers), SCHEMA)
+    measured = cut(texts(docs).mapInPandas(score_batches(tokenizers), SCHEMA))
+    return judged(measured, bands_of(measured))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

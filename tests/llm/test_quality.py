@@ -1,5 +1,7 @@
+import base64
 import random
 import re
+import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,3 +71,45 @@ def test_edge_rows(spark):
     assert all(out[k]["base_failed"] and not out[k]["kept"] and out[k]["n_words"] == 0 for k in (1, 2, 3))
     assert (out[4]["n_words"], out[4]["n_repeat_words"], out[4]["base_failed"]) == (100_000, 100_000, True)
     assert quality.quality(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def junk(rng, n):
+    """Texts of n runs each of base64, hex, printable ASCII and letters, all by chance."""
+    runs = {
+        "base64": lambda: base64.b64encode(rng.randbytes(rng.randint(12, 40))).decode(),
+        "hex": lambda: rng.randbytes(rng.randint(4, 20)).hex(),
+        "ascii": lambda: "".join(chr(rng.randint(33, 126)) for _ in range(rng.randint(5, 30))),
+        "letters": lambda: "".join(rng.choices(string.ascii_lowercase, k=rng.randint(3, 12))),
+    }
+    return {f"{k} {n}": " ".join(f() for _ in range(n)) for k, f in runs.items()}
+
+
+PROSE = {
+    "LATIN": "the quick brown fox jumped over a lazy dog near the river bank while seven people watched it from their old house and talked about weather",
+    "CYRILLIC": "быстрая лиса прыгнула через ленивую собаку у берега реки пока семь человек смотрели на неё из старого дома и говорили о погоде",
+    "GREEK": "η γρήγορη αλεπού πήδηξε πάνω από το τεμπέλικο σκυλί κοντά στην όχθη του ποταμού ενώ επτά άνθρωποι κοίταζαν από το παλιό σπίτι",
+    "CJK": "敏捷的 狐狸 跳过 懒狗 在 河岸 附近 七个 人 从 老房子 里 看着 它 并且 谈论 天气 今天 很好 我们 明天 再去",
+    "HANGUL": "빠른 갈색 여우가 강둑 근처에서 게으른 개를 뛰어넘었고 일곱 사람이 오래된 집에서 그것을 보며 날씨에 대해 이야기했다",
+}
+
+
+def test_bands_reject_encoded_data_and_keep_prose(spark):
+    rng = random.Random(4)
+    rows = [f"prose {name}" for name in PROSE for _ in range(400)]  # so that junk is within the tail share
+    rows = [(kind, " ".join(rng.choices(PROSE[kind[6:]].split(), k=rng.choice([15, 60, 200])))) for kind in rows]
+    bad = {k: t for n in (12, 60, 400) for k, t in junk(rng, n).items() if k != "letters 12"}
+    rows += list(bad.items())
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in quality.quality(docs).collect()}
+    kept = {kind: [] for kind, _ in rows}
+    for i, (kind, _) in enumerate(rows):
+        if not out[i]["base_failed"]:
+            kept[kind].append(out[i]["kept"])
+    assert not any(any(v) for k, v in kept.items() if k in bad and not k.startswith("letters"))
+    assert not kept["letters 400"][0] and not kept["letters 60"][0]
+    assert all(sum(v) >= 0.99 * len(v) and len(v) > 20 for k, v in kept.items() if k.startswith("prose"))
+
+
+def test_small_tables_reject_encoded_data_too():
+    bad = {k: t for n in (12, 60) for k, t in junk(random.Random(5), n).items() if "letters" not in k}
+    assert not scored(list(bad.values()))["kept"].any()
