@@ -5,7 +5,8 @@ join then follows chosen paths: a text gets 64 min-hash coordinates; a run sampl
 and with probability 1/similarity - 1 another) and splits the texts by their values there; buckets
 of more than LEAF texts are split again on coordinates sampled by their path, up to DEPTH times. The
 number of runs follows from the recall asked for at the least similarity: the chance that a pair
-stays together down to DEPTH is a branching process with known survival.
+stays together down to DEPTH is a branching process with known survival. All runs draw from the same
+coordinates, so the recall is that chance over all runs, averaged over the number that agree.
 
 Buckets are compared by brute force on the coordinates. As a first step every bucket's texts are held
 against one of them, its pivot; texts found alike make groups, and a bucket within one group is
@@ -59,17 +60,36 @@ WORD = re.compile(r"[^\W_]+")
 SIGNED = "doc_id long, cls binary, sig binary, n_words long"
 
 
-def survival(depth: int, similarity: float) -> float:
-    """Chance that a pair shares a path down to depth: a node samples 1 or 2 coordinates, 1/similarity on average."""
+def survival(depth: int, similarity: float, agreeing: float | None = None) -> float:
+    """Chance that a pair shares a path down to depth: a node samples 1 or 2 coordinates, 1/similarity on average.
+
+    agreeing is the share of coordinates that agree, similarity if not given.
+    """
     second, p = 1 / similarity - 1, 1.0
     for _ in range(depth):
-        q = similarity * p
+        q = (similarity if agreeing is None else agreeing) * p
         p = (1 - second) * q + second * (1 - (1 - q) ** 2)
     return p
 
 
+def recall_of(runs: int, depth: int = DEPTH, similarity: float = SIMILARITY) -> float:
+    """Chance that a pair of the similarity meets in some run and has enough coordinates that agree."""
+    chance = lambda k: math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k)
+    met = lambda k: 1 - (1 - survival(depth, similarity, k / COORDINATES)) ** runs
+    return sum(chance(k) * met(k) for k in range(needed(), COORDINATES + 1))
+
+
 def runs_for(recall: float = RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(depth, similarity)))
+    """The least number of runs of the recall."""
+    most = recall_of(1 << 20, depth, similarity)
+    if recall > most:
+        raise ValueError(f"{COORDINATES} coordinates give a recall of {most:.6f} at most")
+    return next(n for n in range(1, 1 << 20) if recall_of(n, depth, similarity) >= recall)
+
+
+def needed() -> int:
+    """The least number of agreeing coordinates of texts that look alike."""
+    return math.ceil((SIMILARITY - MARGIN) * COORDINATES)
 
 
 def word_codes(words: list[str]) -> np.ndarray:
@@ -163,7 +183,7 @@ def in_blocks(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
 
 def alike_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows pivot, pivot_sig, cls, sig: those whose coordinates agree on enough places, as a, b."""
-    need = math.ceil((SIMILARITY - MARGIN) * COORDINATES)
+    need = needed()
     for batch in batches:
         t = pa.Table.from_batches([batch])
         sig, pivot = (np.frombuffer(b"".join(t[c].to_pylist()), np.int32).reshape(len(t), -1) for c in ("sig", "pivot_sig"))
@@ -214,7 +234,7 @@ def roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
 
 def look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of a forest over texts of each unit whose coordinates agree on enough places."""
-    need = math.ceil((SIMILARITY - MARGIN) * COORDINATES)
+    need = needed()
     a: list[bytes] = []
     b: list[bytes] = []
     for _, rows in groups(batches, "unit"):

@@ -1,5 +1,9 @@
 import random
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
 from siltlake.llm import jaccard
 
 
@@ -102,3 +106,24 @@ def test_components(spark):
 
 def test_runs_meet_the_recall():
     assert (1 - jaccard.survival(jaccard.DEPTH, 0.8)) ** jaccard.runs_for() <= 1 - jaccard.RECALL
+
+
+def test_recall_at_full_depth(spark):
+    """Pairs of just the least similarity meet in some run at the last split and pass the filter."""
+    n, rng = 40_000, np.random.default_rng(8)
+    one, other = rng.integers(0, 1 << 31, (2, n, jaccard.COORDINATES), dtype=np.int32)
+    same = rng.random(one.shape) < jaccard.SIMILARITY
+    other = np.where(same, one, other)
+    enough = same.sum(axis=1) >= jaccard.needed()
+    rows = pd.DataFrame({"pair": np.tile(np.arange(n), 2), "side": np.repeat([0, 1], n), "sig": [x.tobytes() for x in np.concatenate([one, other])]})
+    df = spark.createDataFrame(rows[np.tile(enough, 2)], "pair long, side int, sig binary").repartition(8)
+    paths = df.select("pair", "side", "sig", F.explode(jaccard.roots_of(jaccard.runs_for(), jaccard.ROOT)).alias("path"))
+    for _ in range(jaccard.ROOT, jaccard.DEPTH):
+        paths = paths.select("pair", "side", "sig", F.explode(jaccard.children(F.col("path"))).alias("path"))
+    met = paths.groupBy("pair", "path").agg(F.count_distinct("side").alias("sides")).where("sides = 2").select("pair").distinct().count()
+    assert n - met <= n * (1 - jaccard.RECALL)
+
+
+def test_recall_is_averaged_over_the_agreeing_coordinates():
+    assert jaccard.recall_of(9) < 0.9985
+    assert jaccard.recall_of(jaccard.runs_for()) >= jaccard.RECALL > jaccard.recall_of(jaccard.runs_for() - 1)
