@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words a Python worker remembers before it starts afresh.
 WORD_CACHE = 250_000
+#: New words that a worker looks at together.
+BLOCK = 4096
+#: Rows whose texts a worker holds as Python strings at once.
+SLICE = 500
+#: Arrow types of the types in a schema's text.
+KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +35,40 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def shape(ddl: str, more: dict[str, pa.DataType] | None = None) -> pa.Schema:
+    """The Arrow schema of columns given as text; more has the types that KINDS lacks."""
+    return pa.schema([(name, ((more or {}) | KINDS)[kind]) for name, kind in (c.split(" ", 1) for c in ddl.split(", "))])
+
+
+def arrays(rows: list[tuple], columns: pa.Schema) -> list[pa.Array]:
+    return [pa.array(values, f.type) for values, f in zip(zip(*rows), columns)] if rows else [pa.array([], f.type) for f in columns]
+
+
+def per_text(docs: DataFrame, begin: Callable[[], Callable[[str | None], tuple]], ddl: str, more: dict[str, pa.DataType] | None = None, beside: str = "doc_id long") -> DataFrame:
+    """The columns of docs named beside, and in those of ddl what the function that begin gives makes of each text.
+
+    begin runs once a task. Ids never leave Arrow, so a null beside them changes none of them.
+    """
+    columns, names = shape(ddl, more), shape(beside).names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = begin()
+        for batch in batches:
+            for k in range(0, batch.num_rows, SLICE):
+                part = batch.slice(k, SLICE)
+                made = arrays([of(t) for t in part["text"].to_pylist()], columns)
+                yield pa.RecordBatch.from_arrays([*(part[n] for n in names), *made], [*names, *columns.names])
+
+    return docs.select(*names, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{beside}, {ddl}")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; set here only where the session has none, as in tests."""
+    """The folder all executors share, as the session names it; a session on one machine that names none gets a new one."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
         if spark.sparkContext.master.startswith("local-") or not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        where = "/tmp/siltlake-checkpoints"
+        where = tempfile.mkdtemp(prefix="siltlake-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -49,6 +84,12 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of scratch()."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def fraction(key: Column, salt: int) -> Column:
     """A uniform number in [0, 1) that depends on key alone."""
     return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 30)) / float(1 << 30)
@@ -77,7 +118,8 @@ class WordTable:
                 grown = np.zeros((max(2 * len(self.rows), n + len(new)), self.width), self.dtype)
                 grown[:n] = self.rows[:n]
                 self.rows = grown
-            self.rows[n : n + len(new)] = self.make(new)
+            for k in range(0, len(new), BLOCK):
+                self.rows[n + k : n + min(k + BLOCK, len(new))] = self.make(new[k : k + BLOCK])
             self.at.update(zip(new, range(n, n + len(new))))
         return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
 
@@ -108,15 +150,20 @@ def rolled(codes: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
-def groups(batches: Iterable, key: str) -> Iterator[tuple[object, list]]:
+def groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
     """Consecutive rows of one key from Arrow batches, as (key, rows); a group may span batches."""
-    now, rows = None, []
+    now, parts = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if rows and row[key] != now:
-                yield now, rows
-                rows = []
-            now = row[key]
-            rows.append(row)
-    if rows:
-        yield now, rows
+        n = batch.num_rows
+        if not n:
+            continue
+        keys = batch[key].to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), n]
+        for a, b in zip(edges, edges[1:]):
+            if parts and keys[a] != now:
+                yield now, pa.Table.from_batches(parts)
+                parts = []
+            now = keys[a]
+            parts.append(batch.slice(a, b - a))
+    if parts:
+        yield now, pa.Table.from_batches(parts)

@@ -23,8 +23,8 @@ same words) and n_links (other texts of similarity SIMILARITY or more).
 
 Defined results: words are runs of letters and digits in lower case; a text of under five words is
 one shingle of all of them; rows whose text is null or has no words are classes of their own, with
-n_copies 1 and n_links 0; repeated rows are copies; ties take the least doc_id; extra columns are
-ignored. Texts of any length are read whole.
+n_copies 1 and n_links 0; repeated rows are copies; ties take the least doc_id, a null one last; an empty
+table gives no rows; extra columns are ignored. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -35,13 +35,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, cut, groups, rolled, table, texts
+from siltlake.llm.common import WordTable, cut, groups, per_text, rolled, table, texts
 
 SHINGLE, SIMILARITY = 5, 0.8
 COORDINATES = 64
@@ -52,12 +51,14 @@ RECALL = 0.9995
 DEPTH, ROOT, LEAF = 4, 2, 250
 #: Coordinates that may differ by chance below the least similarity: four standard deviations.
 MARGIN = 0.2
+#: Rows of a bucket that a join over buckets holds under one key on average.
+PART = 250
 #: Texts that one block of a comparison of coordinates holds on average, and texts outside a bucket's largest group.
 BLOCK, RESIDUE = 500, 250
 #: Texts, and bytes of shingle sets, that a block of the exact comparison holds on average at most.
 EXACT_TEXTS, EXACT_BYTES = 1000, 6 << 20
 WORD = re.compile(r"[^\W_]+")
-SIGNED = "doc_id long, cls binary, sig binary, n_words long"
+SIGNED = "cls binary, sig binary, n_words long"
 
 
 def survival(depth: int, similarity: float, agreeing: float | None = None) -> float:
@@ -125,20 +126,20 @@ def class_key(codes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(np.ascontiguousarray(codes).tobytes())
 
 
-def sign_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def signer():
+    """The class key, the coordinates and the number of words of a text."""
     shingler = Shingler()
     rng = np.random.default_rng(3)
     xors = rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
     factors = rng.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    for batch in batches:
-        out = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            codes = shingler.codes(text)
-            if len(codes):
-                out.append((doc_id, class_key(codes), min_hashes(shingle_set(codes), xors, factors).tobytes(), len(codes)))
-            else:
-                out.append((doc_id, None, None, 0))
-        yield pd.DataFrame(out, columns=["doc_id", "cls", "sig", "n_words"])
+
+    def sign(text: str | None) -> tuple[bytes | None, bytes | None, int]:
+        codes = shingler.codes(text)
+        if not len(codes):
+            return None, None, 0
+        return class_key(codes), min_hashes(shingle_set(codes), xors, factors).tobytes(), len(codes)
+
+    return sign
 
 
 def chosen(run: int) -> list[int]:
@@ -192,10 +193,17 @@ def alike_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b
 
 
+def beside_bucket(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """rows joined with side, one row for each path; a large bucket is dealt into parts, so that it is not one key of the join."""
+    parts = F.ceil(F.col("n") / float(PART)).cast("int")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("cls"), parts).cast("int"))
+    return dealt.join(side.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("n"), ["path", "part"]).drop("part")
+
+
 def pivot_edges(rows: DataFrame) -> DataFrame:
-    """Edges from the pivot of each bucket of path, cls, sig to the texts that look like it."""
-    pivots = rows.groupBy("path").agg(F.min(F.struct("cls", "sig")).alias("p")).select("path", F.col("p.cls").alias("pivot"), F.col("p.sig").alias("pivot_sig"))
-    met = rows.join(pivots, "path").where(F.col("cls") != F.col("pivot")).select("pivot", "pivot_sig", "cls", "sig")
+    """Edges from the pivot of each bucket of path, cls, sig, n to the texts that look like it."""
+    pivots = rows.groupBy("path").agg(F.min(F.struct("cls", "sig")).alias("p"), F.max("n").alias("n")).select("path", "n", F.col("p.cls").alias("pivot"), F.col("p.sig").alias("pivot_sig"))
+    met = beside_bucket(rows, pivots).where(F.col("cls") != F.col("pivot")).select("pivot", "pivot_sig", "cls", "sig")
     return met.mapInArrow(alike_pivot, "a binary, b binary").distinct()
 
 
@@ -211,91 +219,94 @@ def pivot_groups(edges: DataFrame) -> DataFrame:
 def grouped(rows: DataFrame, known: DataFrame) -> DataFrame:
     """rows with the group of each text (itself where it has none), the bucket's largest group and how many texts are outside it."""
     rows = rows.join(known, rows["cls"] == known["node"], "left").select("path", "cls", "sig", "n", F.coalesce("component", "cls").alias("component"))
-    sizes = rows.groupBy("path", "component").agg(F.count(F.lit(1)).alias("m"))
-    top = sizes.groupBy("path").agg(F.max(F.struct("m", "component")).alias("top")).select("path", F.col("top.m").alias("m"), F.col("top.component").alias("largest"))
-    return rows.join(top, "path").select("path", "cls", "sig", "n", "m", (F.col("component") == F.col("largest")).alias("inner"))
+    sizes = rows.groupBy("path", "component").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"))
+    top = sizes.groupBy("path").agg(F.max(F.struct("m", "component")).alias("top"), F.max("n").alias("n")).select("path", "n", F.col("top.m").alias("m"), F.col("top.component").alias("largest"))
+    return beside_bucket(rows, top).select("path", "cls", "sig", "n", "m", (F.col("component") == F.col("largest")).alias("inner"))
 
 
-def roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
-    """The least member of each place's component."""
-    root = list(range(n))
+def places(cls: list[bytes]) -> list[int]:
+    """Where the distinct texts of a unit stand, in their order."""
+    order = sorted(range(len(cls)), key=cls.__getitem__)
+    return [i for k, i in enumerate(order) if not k or cls[i] != cls[order[k - 1]]]
 
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    for i, j in pairs:
-        a, b = find(i), find(j)
-        root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(n)]
+def roots(linked: np.ndarray) -> np.ndarray:
+    """The least member of each place's component, by a symmetric matrix of links; every row of it is read once."""
+    root = np.full(len(linked), -1)
+    for i in range(len(linked)):
+        front = np.array([i])
+        while root[i] in (-1, i) and len(front):
+            root[front] = i
+            front = np.flatnonzero(linked[front].any(axis=0) & (root < 0))
+    return root
 
 
 def look_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of a forest over texts of each unit whose coordinates agree on enough places."""
     need = needed()
-    a: list[bytes] = []
-    b: list[bytes] = []
     for _, rows in groups(batches, "unit"):
-        rows = list({r["cls"]: r for r in sorted(rows, key=lambda r: r["cls"])}.values())
-        sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.int32).reshape(len(rows), -1)
-        pairs = []
-        for k in range(0, len(rows), 32):
-            same = (sig[k : k + 32, None, :] == sig[None, k:, :]).sum(axis=2) >= need
-            pairs += [(i + k, j + k) for i, j in np.argwhere(same).tolist() if i < j]
-        for i, r in enumerate(roots(len(rows), iter(pairs))):
-            if r != i:
-                a.append(rows[r]["cls"])
-                b.append(rows[i]["cls"])
-        if len(a) > 5000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        cls = rows["cls"].to_pylist()
+        at = places(cls)
+        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.int32).reshape(len(cls), -1)[at]
+        linked = np.zeros((len(at), len(at)), bool)
+        for k in range(0, len(at), 16):
+            same = (sig[k : k + 16, None, :] == sig[None, k:, :]).sum(axis=2) >= need
+            linked[k : k + 16, k:], linked[k:, k : k + 16] = same, same.T
+        root = roots(linked)
+        below = np.flatnonzero(root != np.arange(len(root))).tolist()
+        if below:
+            named = lambda x: pa.array([cls[at[i]] for i in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([named(root[below].tolist()), named(below)], ["a", "b"])
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections, by products of slices of the incidence matrix."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    """Sizes of all pairwise intersections, by products of slices of the incidence matrix; what one set alone holds is left out."""
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    np.fill_diagonal(out, [len(s) for s in sets])
+    shared = times[column] > 1
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])[shared]
+    column = (np.cumsum(times > 1) - 1).astype(np.int32)[column[shared]]
     by = np.argsort(column, kind="stable")
     owner, column = owner[by], column[by]
-    out = np.zeros((len(sets), len(sets)))
-    for first in range(0, int(column[-1]) + 1, 4096):
-        lo, hi = np.searchsorted(column, [first, first + 4096])
-        part = np.zeros((len(sets), 4096), np.float32)
+    size = out.diagonal().copy()
+    width = 2048
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [first, first + width])
+        part = np.zeros((len(sets), width), np.float32)
         part[owner[lo:hi], column[lo:hi] - first] = 1
         out += part @ part.T
+    np.fill_diagonal(out, size)
     return out
 
 
+def links_among(sets: list[np.ndarray], part: np.ndarray | None) -> np.ndarray:
+    """Matrix of who is linked to whom; with part, only across the parts."""
+    size, both = np.array([len(s) for s in sets], float), intersections(sets)
+    linked = np.zeros(both.shape, bool)
+    for k in range(0, len(sets), 128):
+        linked[k : k + 128] = both[k : k + 128] >= SIMILARITY * (size[k : k + 128, None] + size - both[k : k + 128]) - 1e-9
+    np.fill_diagonal(linked, False)
+    if part is not None:
+        linked &= part[:, None] != part
+    return linked
+
+
 def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each unit: the number of links of each text, and its root in a forest over the links."""
-    cls: list[bytes] = []
-    links: list[int] = []
-    root_of: list[bytes] = []
-    shape = lambda: pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(links, pa.int64()), pa.array(root_of, pa.binary())], ["cls", "links", "root"])
     for _, rows in groups(batches, "unit"):
-        rows = list({r["cls"]: r for r in sorted(rows, key=lambda r: r["cls"])}.values())
-        if len(rows) > 1:
-            sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-            size = np.array([len(s) for s in sets], float)
-            both = intersections(sets)
-            linked = both >= SIMILARITY * (size[:, None] + size[None, :] - both) - 1e-9
-            np.fill_diagonal(linked, False)
-            if rows[0]["cross"]:  # pairs within a block belong to that block's own unit
-                part = np.array([r["part"] for r in rows])
-                linked &= part[:, None] != part[None, :]
-            root = roots(len(rows), ((i, j) for i, j in np.argwhere(linked).tolist() if i < j))
-            for i, n in enumerate(linked.sum(axis=1).tolist()):
-                if n:
-                    cls.append(rows[i]["cls"])
-                    links.append(n)
-                    root_of.append(rows[root[i]]["cls"])
-        if len(cls) > 5000:
-            yield shape()
-            cls, links, root_of = [], [], []
-    yield shape()
+        cls = rows["cls"].to_pylist()
+        if len(at := places(cls)) < 2:
+            continue
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in rows["shingles"].take(at)]
+        # Pairs within a block belong to that block's own unit.
+        part = rows["part"].to_numpy()[at] if rows["cross"][0].as_py() else None
+        linked = links_among(sets, part)
+        some = np.flatnonzero(linked.any(axis=1))
+        root = roots(linked)[some].tolist()
+        named = lambda x: pa.array([cls[at[i]] for i in x], pa.binary())
+        if len(some):
+            yield pa.RecordBatch.from_arrays([named(some.tolist()), pa.array(linked[some].sum(axis=1), pa.int64()), named(root)], ["cls", "links", "root"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -316,20 +327,18 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("high").alias("node"), F.col("low").alias("component")).union(now.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
 
 
-def with_sets(rows: DataFrame) -> DataFrame:
-    """Replaces text by the shingle set; a row whose words are not those of its cls goes."""
+def set_maker():
+    """The class key of a text and its shingle set; of texts with the same words a task makes the set once."""
+    shingler, seen = Shingler(), set()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler()
-        for batch in batches:
-            out = []
-            for text, cls, component, n in zip(batch["text"], batch["cls"], batch["component"], batch["blocks"]):
-                codes = shingler.codes(text)
-                if len(codes) and class_key(codes) == cls:
-                    out.append((cls, component, n, shingle_set(codes).tobytes()))
-            yield pd.DataFrame(out, columns=["cls", "component", "blocks", "shingles"])
+    def of(text: str | None) -> tuple[bytes | None, bytes | None]:
+        codes = shingler.codes(text)
+        if not len(codes) or (key := class_key(codes)) in seen:
+            return None, None
+        seen.add(key)
+        return key, shingle_set(codes).tobytes()
 
-    return rows.select("text", "cls", "component", "blocks").mapInPandas(run, "cls binary, component binary, blocks double, shingles binary")
+    return of
 
 
 def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
@@ -361,25 +370,53 @@ def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH,
     return starred.union(dealt.mapInArrow(look_alike, "a binary, b binary")).distinct()
 
 
-def similarity_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_copies and n_links for every row of docs."""
-    docs = texts(docs)
-    signed = cut(docs.mapInPandas(sign_batches, SIGNED))
-    distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the digest of the text that tells rows of one doc_id apart."""
+    return texts(docs).withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+
+
+def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs with doc_id, key and cls, and for each cls its first row (top), n_copies, n_links and component."""
+    rows = keyed(docs)
+    signed = cut(per_text(rows, signer, SIGNED, beside="doc_id long, key binary"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("top")
+    distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(first, F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
     near = cut(components(candidates(distinct, recall)))
-    near = near.join(distinct.select("cls", "first", "n_words"), near["node"] == distinct["cls"]).select("cls", "first", "component", "n_words")
+    near = near.join(distinct.select("cls", "top", "n_words"), near["node"] == distinct["cls"]).select("cls", "top", "component", "n_words")
     sizes = near.groupBy("component").agg(F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES)).alias("blocks"))
-    members = near.join(sizes, "component").select("cls", "first", "component", "blocks")
-    sets = with_sets(docs.join(members, docs["doc_id"].eqNullSafe(members["first"])).select("text", "cls", "component", "blocks"))
+    members = near.join(sizes, "component").select("cls", F.col("top.doc_id").alias("of"), F.col("top.key").alias("key"), "component", "blocks")
+    found = rows.join(members, (rows["key"] == members["key"]) & rows["doc_id"].eqNullSafe(members["of"])).select("text", "cls", "component", "blocks")
+    sets = per_text(found, set_maker, "made binary, shingles binary", beside="cls binary, component binary, blocks double").where("made = cls")
     units = in_blocks(sets, "component", F.col("blocks")).select("unit", "cls", "part", "cross", "shingles")
     counted = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(count_links, "cls binary, links long, root binary"))
     links = counted.groupBy("cls").agg(F.sum("links").alias("n_links"))
     found = components(counted.select(F.col("root").alias("a"), F.col("cls").alias("b")))
-    ids = distinct.select("cls", "first", "n_copies").join(found, F.col("cls") == F.col("node"), "left").select("cls", "first", "n_copies", F.coalesce("component", "cls").alias("component"))
-    least = ids.groupBy("component").agg(F.min("first").alias("class_id"))
-    ids = ids.join(least, "component").join(links, "cls", "left").select("cls", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    of = signed.select("doc_id", "cls")
-    return of.join(ids, "cls", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    ids = distinct.select("cls", "top", "n_copies").join(found, F.col("cls") == F.col("node"), "left").select("cls", "top", "n_copies", F.coalesce("component", "cls").alias("component"))
+    return signed.select("doc_id", "key", "cls"), ids.join(links, "cls", "left").select("cls", "top", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component")
+
+
+def similarity_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id, n_copies and n_links for every row of docs."""
+    signed, ids = linked_texts(docs, recall)
+    least = ids.groupBy("component").agg(F.min("top").alias("least")).select("component", F.col("least.doc_id").alias("class_id"))
+    ids = ids.join(least, "component").select("cls", "class_id", "n_copies", "n_links")
+    return signed.select("doc_id", "cls").join(ids, "cls", "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def representatives(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """docs with one row of each class: that of the least doc_id, then of the least digest of its text.
+
+    Rows without words are classes of their own; of rows that repeat a doc_id and its text one stays.
+    """
+    signed, ids = linked_texts(docs, recall)
+    least = ids.groupBy("component").agg(F.min("top").alias("least")).select(F.col("least.doc_id").alias("kept"), F.col("least.key").alias("kept_key"))
+    kept = least.union(signed.where("cls IS NULL").select("doc_id", "key")).distinct()
+    key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    left = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept"]) & (key == kept["kept_key"]), "left_semi")
+    repeated = signed.groupBy("doc_id", "key").count().where("count > 1")
+    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
