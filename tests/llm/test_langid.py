@@ -1,8 +1,8 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
-import pandas as pd
 
 from siltlake.llm import langid
 
@@ -36,7 +36,7 @@ def test_nothing_of_held_out_rows_is_learned(spark):
     rows = corpus()
     other = [(d, "zzzz qqqq", "xx", s) if zlib.crc32(str(d).encode()) % 4 == 2 else (d, t, lang, s) for d, t, lang, s in rows]
     one, two = langid.learn(frame(spark, rows)), langid.learn(frame(spark, other))
-    assert one.langs == two.langs and np.array_equal(one.logp, two.logp)
+    assert one.langs == two.langs and np.array_equal(one.hashes, two.hashes) and np.allclose(one.logp, two.logp)
 
 
 def counts_of(words):
@@ -49,36 +49,66 @@ def counts_of(words):
     return n
 
 
-def test_probabilities_of_what_may_follow_add_up():
-    words = ["banana", "band", "ban", "nab", "an", "anna"]
-    model = langid.Model({"x": counts_of(words), "y": counts_of(["zebra", "zoo"])})
-    row = {int(h): i for i, h in enumerate(model.hashes)}
-    letters = sorted({g for g in counts_of(words) | counts_of(["zebra", "zoo"]) if len(g) == 1 and g != langid.START})
+def fitted(words, n_characters):
+    n = counts_of(words)
+    return langid.fit_language(list(n), list(n.values()), langid.ORDER, -np.log(1 + n_characters))
 
-    def p(context, c):  # interpolated, by the definition of backing off
-        g = context + c
-        if langid.string_hash(g) in row:
-            return np.exp(model.logp[row[langid.string_hash(g)], 0])
-        if not context:
-            return np.exp(model.uniform)
-        back = row.get(langid.string_hash(context))
-        return (np.exp(model.back[back, 0]) if back is not None else 1) * p(context[1:], c)
 
-    for context in ("", "a", "an", "ban", langid.START, langid.START + "ba", "q"):
-        assert abs(sum(p(context, c) for c in letters) - 1) < 0.05
-    for word in ("banana", "zoo", "nope", "ann"):
-        framed = langid.START + word + langid.END
-        expected = sum(np.log(p(framed[max(0, i - langid.ORDER + 1) : i], framed[i])) for i in range(1, len(framed)))
-        got = model.spell([word, "other"])[0]
-        assert abs(got[0] - expected) < 1e-3 and got[-1] == len(word) + 1
+def by_definition(words, n_characters):
+    """p(context, character) of interpolated Kneser-Ney, from dictionaries."""
+    raw, order = counts_of(words), langid.ORDER
+    left = Counter(g[1:] for g in raw if len(g) > 1)
+    used = {g: n if len(g) == order or g[0] == langid.START else left.get(g, n) for g, n in raw.items() if g != langid.START}
+    seen = {}
+    for g, n in used.items():
+        seen.setdefault(g[:-1], []).append(n)
+
+    def discount(size):
+        once, twice = (sum(n == k and len(g) == size for g, n in used.items()) for k in (1, 2))
+        return min(0.95, max(0.1, once / (once + 2 * twice) if once + twice else 0.5))
+
+    def p(context, c):
+        lower = p(context[1:], c) if context else 1 / (1 + n_characters)
+        if context not in seen:
+            return lower
+        d = discount(len(context) + 1)
+        return (max(used.get(context + c, 0) - d, 0) + d * len(seen[context]) * lower) / sum(seen[context])
+
+    return p
+
+
+def test_against_the_definition():
+    one, two = ["banana", "band", "ban", "nab", "an", "anna"], ["zebra", "zoo", "bone"]
+    letters = sorted({c for w in one + two for c in w} | {langid.END})
+    n_characters = len(letters) + 1
+    model = langid.Model({"x": fitted(one, n_characters), "y": fitted(two, n_characters)})
+    for j, words in enumerate((one, two)):
+        p = by_definition(words, n_characters)
+        for context in ("", "a", "an", "ban", langid.START, langid.START + "ba", "q"):
+            assert abs(sum(p(context, c) for c in letters) - 1) < 0.2  # what is left goes to characters never seen
+        for word in ("banana", "zoo", "nope", "ann", "é", "bananazebra"):
+            framed = langid.START + word + langid.END
+            expected = sum(np.log(p(framed[max(0, i - langid.ORDER + 1) : i], framed[i])) for i in range(1, len(framed)))
+            got = model.spell([word, "other"])[0]
+            assert abs(got[j] - expected) < 1e-3 and got[-1] == len(word) + 1
 
 
 def test_rejection_of_what_no_model_knows(spark):
     docs = frame(spark, corpus())
     model = langid.learn(docs)
-    odd = pd.DataFrame({"doc_id": [1, 2], "text": ["xqzj " * 50 + "wvxk " * 50, "kalumi rotéka"]})
-    out = next(langid.score_batches(model)(iter([odd])))
-    assert out["rejected"].tolist() == [True, False]
+    of = langid.scorer(model)
+    assert of("xqzj " * 50 + "wvxk " * 50)[3] and not of("kalumi rotéka")[3]
+
+
+def test_rejection_of_planted_junk(spark):
+    """Languages no model knows, keys, shuffled letters: rejected. Held-out documents: kept."""
+    rows = corpus(600)
+    of, rng = langid.scorer(langid.learn(frame(spark, rows))), random.Random(5)
+    held = [t for d, t, *_ in rows if zlib.crc32(str(d).encode()) % 4 == 2]
+    assert sum(of(t)[3] for t in held) <= 0.01 * len(held)
+    alphabets = ["bcdfghjklmnpqrstvwxz", "абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπρ", "กขคงจฉชซญฎฏฐฑ"]
+    junk = [" ".join("".join(rng.choices(a, k=rng.randint(3, 9))) for _ in range(rng.randint(10, 60))) for a in alphabets for _ in range(50)]
+    assert sum(of(t)[3] for t in junk) >= 0.95 * len(junk)
 
 
 def test_edge_rows(spark):
@@ -92,3 +122,5 @@ def test_edge_rows(spark):
     none = frame(spark, [(1, "text", None, "s"), (2, None, "aa", "s")])
     assert langid.learn(none) is None
     assert {r["lang_pred"] for r in langid.identify(none, None).collect()} == {"und"}
+    big = spark.createDataFrame([(9007199254740993, "kalu"), (None, "kalu")], "doc_id long, text string")
+    assert {r["doc_id"] for r in langid.identify(big, model).collect()} == {9007199254740993, None}
