@@ -1,93 +1,9 @@
-"""Corpus pipeline: language ID, near duplicates, decontamination, secrets, packing.
+"""Corpus pipeline over the documents table: its stages are in siltlake.llm.pipeline.
 
-STAGES lists (name, function); each function takes (spark, docs, sf_dir), works on every row its
-predecessor kept and returns the columns of docs, but for the last, which returns the packed pieces.
-
-* language_id drops documents that the language models reject: those without a letter or null, and
-  those unlike every learned language.
-* near_duplicates keeps the document with the least doc_id of each class of texts linked by a
-  Jaccard similarity of five-word shingles of 0.8 or more; of rows that repeat a document, one.
-* decontamination drops documents that hold a benchmark item.
-* secrets replaces what is secret in a text by REDACTED and sets n_chars of those rows anew.
-* packing lays what is left into sequences.
+STAGES lists (name, function); run(spark, sf_dir) applies them to documents; ORACLE_SQL is None, as SQL
+cannot express trained models, fingerprints and packing.
 """
 
-from __future__ import annotations
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from siltlake.llm import decontaminate, jaccard, langid, packing, secrets
-from siltlake.llm.common import scratch, table
-
-REDACTED = "<SECRET>"
-#: SQL cannot express trained models, fingerprints and packing; tests hold the stages against brute force.
-ORACLE_SQL = None
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.learn(docs)
-    if model is None:
-        return docs.limit(0)
-    score = langid.score_batches(model)
-
-    def keep(batches):
-        for batch in batches:
-            frame = pa.table({"doc_id": batch["doc_id"], "text": batch["text"]}).to_pandas()
-            for verdict in score(iter([frame])):
-                yield batch.filter(pa.array(~verdict["rejected"].to_numpy(bool)))
-
-    return docs.mapInArrow(keep, docs.schema)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = jaccard.similarity_classes(docs)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    left = docs.join(first, docs["doc_id"].eqNullSafe(first["kept"]), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    found = decontaminate.cut(found.select("doc_id").distinct())
-    return docs.join(decontaminate.small(found, found.count()), "doc_id", "left_anti").select(docs.columns)
-
-
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    field = secrets.learn(docs)
-
-    def redact(batches):
-        for batch in batches:
-            texts, lengths = batch["text"].to_pylist(), batch["n_chars"].to_pylist() if "n_chars" in batch.schema.names else []
-            for k, text in enumerate(texts):
-                clean = secrets.redacted(text, field, REDACTED)
-                if clean != text:
-                    texts[k] = clean
-                    if lengths:
-                        lengths[k] = len(clean)
-            columns = {n: c for n, c in zip(batch.schema.names, batch.columns)}
-            columns["text"] = pa.array(texts, batch.schema.field("text").type)
-            if lengths:
-                columns["n_chars"] = pa.array(lengths, batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=batch.schema.names)
-
-    return docs.mapInArrow(redact, docs.schema)
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(docs))
-
-
-STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secret_scan), ("packing", pack)]
-
+from siltlake.llm.pipeline import ORACLE_SQL, STAGES, run
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage; every earlier one is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        path = scratch(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
