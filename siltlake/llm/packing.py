@@ -2,16 +2,17 @@
 
 Documents become token pieces of at most CAPACITY tokens. Full pieces are sequences of their own.
 The others are dealt at random into shards of bounded size; inside a shard, best fit decreasing
-opens the bins, then a local search works on the underfull ones: it moves a piece, exchanges one
-for one or two for one between two bins whenever that raises the sum of squared fills, until bins
-empty. Pieces of bins that are still underfull meet those of other shards in further rounds, each
-with fewer shards, so that the bins left underfull do not grow with the number of shards. Only
-lengths travel; token ids never do.
-
-Defined results: a null text counts as empty and makes one piece holding the end token alone; ties
-are broken by doc_id and piece; repeated rows (the same doc_id twice) make pieces of their own,
-told apart by a copy number; an empty table gives no pieces; extra columns are ignored. Texts of
-any length are encoded whole.
+opens the bins, then a local search exchanges pieces between bins that are not full: one moves, or one or two
+go for one, or one for two, whenever that makes the fuller bin fuller still and so raises the sum of squared
+fills. Bins that run empty go. It ends where no exchange is left, or where the tokens need as many bins as
+there are. Pieces of bins that are not full meet those of other shards in further rounds, until one shard
+is left, a round empties no bin, or no fewer bins could hold them. Only lengths travel; token ids never do.
+
+Defined results: a null text counts as empty and makes one piece holding the end token alone; special strings
+of the tokenizer give their ids, as it gives them by default; every piece gets a number of its own
+when pieces are first written, by which ties are broken and repeated rows (the same doc_id
+twice) are told apart; an empty table gives no pieces; extra columns are ignored. Texts of any length are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -24,73 +25,75 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import cut, table, texts
+from siltlake.llm.common import SLICE, arrays, cut, shape, table, texts
 
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+#: Name of the public vocabulary.
+VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 #: Pieces a shard holds on average: the bound on what one task packs at once.
 SHARD = 8_000
-#: A bin with more free tokens than this is underfull.
-SLACK = 8
-#: Rounds after the first; each deals underfull bins' pieces to a tenth of the shards.
-ROUNDS = 4
-#: Improving exchanges a shard makes at most in a round, for each underfull bin.
-MOVES = 30
-#: Bins, the fullest of the underfull ones, that the emptiest bin tries for an exchange.
-NEIGHBOURS = 64
-#: Distinct chunks, and parts of chunks, whose ids a worker remembers.
-CHUNKS, PARTS = 200_000, 350_000
+#: Characters of distinct chunks, and of parts of chunks, whose ids a worker remembers; longer ones than LONG are not remembered.
+CHUNKS, PARTS, LONG = 1_500_000, 2_500_000, 200
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Token ids of whole texts, put together from those of their chunks between spaces.
+    """Token ids of whole texts, put together from those of their chunks between spaces, by the tokenizer as it comes.
 
     The tokenizer drops white space and never joins what stands on both sides of it, so the ids of
     a text are those of its chunks in a row; chunks that recur are encoded once. It also lower-cases,
     and parts letters from signs that follow them; so a new chunk is put together from its letters in
-    lower case and the signs at its end, which recur more often than the chunk.
+    lower case and the signs at its end, which recur more often than the chunk. A chunk that may hold a special
+    string is left to the tokenizer as it is.
     """
 
     TAIL = ",.;:!?#$%&*|"
     #: A chunk with a character outside these is left to the tokenizer as it is.
     ODD = re.compile(r"[^\x00-įĲ-ſ]")
 
-    def __init__(self, tokenizer: str = TOKENIZER):
+    def __init__(self, tokenizer: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(tokenizer or public_tokenizers.path(VOCABULARY))
         self.model = self.tokenizer.model
         # Byte-level vocabularies show a byte as its own character if it prints, else as one from 256 on.
         prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in prints]
         self.bytes_shown = {b: 256 + n for n, b in enumerate(hidden)}
+        self.forget()
+        self.space = re.compile(r"[\t\n\r]")
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
-        self.space = re.compile(r"[\t\n\r]")
+        self.held = self.held_parts = 0
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if len(self.known) > CHUNKS:
-            self.known.clear()
+        if self.held > CHUNKS:
+            self.known, self.held = {}, 0
         chunks = self.space.sub(" ", text).split(" ")
         if new := [c for c in dict.fromkeys(chunks) if c not in self.known]:
             self.learn(new)
-        return b"".join(map(self.known.__getitem__, chunks))
+        out = b"".join(map(self.known.__getitem__, chunks))
+        for c in new:
+            if len(c) > LONG:
+                del self.known[c]
+        return out
 
     def learn(self, chunks: list[str]) -> None:
-        if len(self.parts) > PARTS:
-            self.parts = {"": b""}
+        if self.held_parts > PARTS:
+            self.parts, self.held_parts = {"": b""}, 0
         pairs = []
         for c in chunks:
-            if self.ODD.search(c):
+            if "<|" in c or self.ODD.search(c):
                 pairs.append((c, ""))
                 continue
             low = c.lower()
@@ -105,32 +108,41 @@ class Encoder:
             rest = [p for p in new if p not in self.parts]
             for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
                 self.parts[p] = np.array(e.ids, "<u4").tobytes()
+            self.held_parts += sum(map(len, new))
         for c, (head, tail) in zip(chunks, pairs):
             self.known[c] = self.parts[head] + self.parts[tail]
+        self.held += sum(map(len, chunks))
+        for head in {head for head, _ in pairs if len(head) > LONG}:
+            del self.parts[head]
 
 
-def cut_batches(tokenizer: str, capacity: int, with_ids: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def cut_batches(tokenizer: str | None, capacity: int, with_ids: bool):
+    columns = shape(PIECES.split(", ", 1)[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
-        names = [c.split()[0] for c in PIECES.split(", ")]
         for batch in batches:
-            out, ids = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                whole = encoder.encode(text or "") + end
-                for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
-                    part = whole[at : at + 4 * capacity]
-                    out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                    if with_ids:
-                        ids.append(np.frombuffer(part, "<u4").astype(np.int64))
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.assign(ids=ids) if with_ids else frame
+            for k in range(0, batch.num_rows, SLICE):
+                part = batch.slice(k, SLICE)
+                of, out, ids = [], [], []
+                for i, text in enumerate(part["text"].to_pylist()):
+                    whole = encoder.encode(text or "") + end
+                    for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
+                        own = whole[at : at + 4 * capacity]
+                        of.append(i)
+                        out.append((piece, at // 4, len(own) // 4, zlib.crc32(own)))
+                        if with_ids:
+                            ids.append(np.frombuffer(own, "<u4").astype(np.int64))
+                made = [part["doc_id"].take(pa.array(of, pa.int32())), *arrays(out, columns)]
+                names = ["doc_id", *columns.names]
+                yield pa.RecordBatch.from_arrays(made + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
 
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """One row per piece; with_ids adds the token ids themselves."""
-    return texts(docs).mapInPandas(cut_batches(tokenizer, capacity, with_ids), PIECES + ", ids array<long>" * with_ids)
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """One row per piece; with_ids adds the token ids themselves. tokenizer is a file's place, the public vocabulary's if not given."""
+    return texts(docs).mapInArrow(cut_batches(tokenizer, capacity, with_ids), PIECES + ", ids array<long>" * with_ids)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -151,93 +163,151 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: list[int], capacity: int, slack: int = SLACK, moves: int = MOVES) -> list[list[int]]:
-    """Local search between underfull bins.
+class Bins:
+    """Bins of pieces with the pieces' sizes by bin in flat arrays, for the local search.
 
-    Takes bins from the emptiest on and looks for a move, an exchange of one for one or of two for one
-    with a fuller bin that makes that one fuller still; each raises the sum of squared fills. After
-    an exchange the search starts over, or, with many bins, goes on. Empty bins go.
+    Within a bin pieces of one size are alike, so at most some ninety sizes of a bin of 4096 tokens matter, however
+    many pieces it holds.
     """
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    low = sorted((b for b in range(len(bins)) if capacity - fill[b] > slack), key=lambda b: fill[b])
-    left, at = moves * len(low), 0
-    while at < len(low) - 1 and left > 0:
-        poor = low[at]
-        for rich in reversed(low[max(at + 1, len(low) - NEIGHBOURS) :]):
-            if swap := find_swap(bins[poor], bins[rich], lengths, capacity - fill[rich]):
-                out, back = swap
-                gain = sum(lengths[i] for i in out) - sum(lengths[i] for i in back)
-                bins[poor] = [i for i in bins[poor] if i not in out] + back
-                bins[rich] = [i for i in bins[rich] if i not in back] + out
-                fill[poor], fill[rich] = fill[poor] - gain, fill[rich] + gain
-                low = sorted((b for b in low if bins[b] and capacity - fill[b] > slack), key=lambda b: fill[b])
-                left -= 1
-                at = 0 if len(low) <= NEIGHBOURS else at
-                break
-        else:
-            at += 1
-    return [b for b in bins if b]
-
-
-def find_swap(poor: list[int], rich: list[int], lengths: list[int], free: int) -> tuple[list[int], list[int]] | None:
-    """What leaves the poorer bin and what comes back, with the largest gain that fits."""
-    best, found = 0, None
-    singles = [(lengths[i], [i]) for i in poor]
-    pairs = [(lengths[i] + lengths[j], [i, j]) for n, i in enumerate(poor) for j in poor[n + 1 :]] if len(poor) <= 40 else []
-    back = sorted([(0, [])] + [(lengths[i], [i]) for i in rich])
-    sizes = [x[0] for x in back]
-    for size, out in singles + pairs:
-        at = bisect.bisect_left(sizes, size - free)  # the smallest return that still fits
-        if at < len(back) and best < size - sizes[at]:
-            best, found = size - sizes[at], (out, back[at][1])
-    two = sorted((lengths[i] + lengths[j], [i, j]) for n, i in enumerate(rich) for j in rich[n + 1 :]) if len(rich) <= 40 else []
-    for size, out in singles:  # one for two
-        at = bisect.bisect_left(two, (size - free, []))
-        if at < len(two) and best < size - two[at][0]:
-            best, found = size - two[at][0], (out, two[at][1])
-    return found
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.capacity, self.lengths = capacity, lengths
+        self.held: list[dict[int, list[int]]] = []
+        for b in bins:
+            sizes: dict[int, list[int]] = {}
+            for i in b:
+                sizes.setdefault(lengths[i], []).append(i)
+            self.held.append(sizes)
+        self.fill = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+        self.one, self.two = [None] * len(bins), [None] * len(bins)
+        for b in range(len(bins)):
+            self.refresh(b)
+
+    def refresh(self, b: int) -> None:
+        """The sums that one piece, and that two pieces, of a bin make."""
+        sizes = np.array(sorted(self.held[b]), np.int64)
+        low, high = np.triu_indices(len(sizes), 1)
+        twice = np.array([n for n in sizes.tolist() if len(self.held[b][n]) > 1], np.int64)
+        self.one[b], self.two[b] = sizes, np.unique(np.concatenate([sizes[low] + sizes[high], 2 * twice]))
+
+    def pair(self, b: int, total: int) -> list[int]:
+        """Sizes of two pieces of a bin that make total."""
+        for n in self.held[b]:
+            if total - n in self.held[b] and (total != 2 * n or len(self.held[b][n]) > 1):
+                return [n, total - n]
+        raise KeyError(total)
+
+    def swap(self, poor: int, rich: np.ndarray) -> tuple[int, list[int], list[int]] | None:
+        """The exchange of a bin with fuller ones that has the largest gain: the other bin, the sizes that leave and those that come back."""
+        best = (0, None)
+        for out, back in (("one", "none"), ("one", "one"), ("two", "one"), ("one", "two")):
+            leaving = getattr(self, out)[poor]
+            if back == "none":
+                coming, of = np.zeros(len(rich), np.int64), rich
+            else:
+                sizes = [getattr(self, back)[b] for b in rich.tolist()]
+                coming, of = np.concatenate(sizes), np.repeat(rich, [len(s) for s in sizes])
+            if not len(coming) or not len(leaving):
+                continue
+            # A gain fits if it is at most the bin's room: of the sums that leave, the largest up to what comes back and the room.
+            most = coming + self.capacity - self.fill[of]
+            at = np.searchsorted(leaving, most, side="right") - 1
+            gain = np.where(at >= 0, leaving[np.maximum(at, 0)] - coming, 0)
+            k = int(gain.argmax())
+            if gain[k] > best[0]:
+                best = (int(gain[k]), (int(of[k]), out, int(leaving[at[k]]), back, int(coming[k])))
+        if best[1] is None:
+            return None
+        b, out, leaves, back, comes = best[1]
+        return b, [leaves] if out == "one" else self.pair(poor, leaves), [] if back == "none" else [comes] if back == "one" else self.pair(b, comes)
+
+    def move(self, a: int, b: int, sizes: list[int]) -> None:
+        for n in sizes:
+            i = self.held[a][n].pop()
+            if not self.held[a][n]:
+                del self.held[a][n]
+            self.held[b].setdefault(n, []).append(i)
+            self.fill[a] -= n
+            self.fill[b] += n
+
+
+def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """Local search between the bins that are not full, to a local optimum.
+
+    Takes bins from the emptiest on and exchanges with those at least as full that are not full yet, the largest
+    gain first. Each exchange raises the sum of squared fills, so the search ends. Empty bins go. Where the
+    tokens need as many bins as there are, nothing is to be gained.
+    """
+    b = Bins(bins, lengths, capacity)
+    least = -(-int(b.fill.sum()) // capacity)
+    live = [k for k in range(len(bins)) if b.fill[k]]
+    changed = True
+    while changed and len(live) > least:
+        changed = False
+        for poor in sorted(live, key=lambda k: b.fill[k]):
+            while b.fill[poor] and len(live) > least:
+                rich = np.array([k for k in live if k != poor and b.fill[poor] <= b.fill[k] < capacity], np.int64)
+                found = b.swap(poor, rich) if len(rich) else None
+                if not found:
+                    break
+                other, out, back = found
+                b.move(poor, other, out)
+                b.move(other, poor, back)
+                b.refresh(poor)
+                b.refresh(other)
+                changed = True
+                if not b.fill[poor]:
+                    live.remove(poor)
+    return [[i for places in b.held[k].values() for i in places] for k in live]
 
 
 def pack_shard(capacity: int, last: bool):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "copy"]).reset_index(drop=True)
-        lengths = rows["length"].tolist()
-        sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-        packed = np.zeros(len(rows), bool)
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("copy")
+        lengths = rows["length"].to_pylist()
+        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        packed = np.zeros(len(lengths), bool)
         for n, b in enumerate(improve(best_fit(lengths, capacity), lengths, capacity)):
             at = 0
             for i in b:
                 sequence[i], offset[i] = n, at
                 at += lengths[i]
-            packed[b] = last or capacity - at <= SLACK
-        return rows.assign(bin=sequence, offset=offset, packed=packed)
+            packed[b] = last or at == capacity
+        made = {"bin": sequence, "offset": offset, "packed": packed}
+        return pa.table({n: rows[n] for n in rows.column_names} | made).select(PACKED.names)
 
     return run
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, rounds: int = ROUNDS) -> DataFrame:
+PLACED = PIECES + ", copy long, shard long, bin long, offset long, packed boolean"
+PACKED = shape(PLACED)
+
+
+def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
     """Adds sequence_id and offset to rows of pieces().
 
     A sequence's number holds the round, the shard and the bin within it.
     """
     # A number of its own for every row, so that rows that are alike get places of their own too.
     keyed = cut(found.withColumn("copy", F.monotonically_increasing_id()))
-    n_open = keyed.where(F.col("length") < capacity).count()
-    full = keyed.where(F.col("length") >= capacity).withColumn("sequence_id", -1 - F.col("copy")).withColumn("offset", F.lit(0).cast("long"))
+    is_full = F.col("length") >= capacity
+    full = keyed.where(is_full).withColumn("sequence_id", -1 - F.col("copy")).withColumn("offset", F.lit(0).cast("long"))
     out = [full.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")]
-    rest = keyed.where(F.col("length") < capacity)
-    shape = "doc_id long, piece int, start long, length long, ids_crc32 long, copy long, shard long, bin long, offset long, packed boolean"
-    for turn in range(rounds + 1):
+    rest = keyed.where(~is_full)
+    n_open, turn, bins_before = rest.count(), 0, None
+    while n_open:
         shards = max(1, round(n_open / shard))
-        last = turn == rounds or shards == 1
         dealt = rest.withColumn("shard", F.pmod(F.xxhash64("copy", F.lit(turn)), F.lit(shards)))
-        done = cut(dealt.groupBy("shard").applyInPandas(pack_shard(capacity, last), shape))
-        number = F.lit(turn) * (1 << 58) + F.col("shard") * (1 << 24) + F.col("bin")
-        out.append(done.where("packed").withColumn("sequence_id", number).select(*out[0].columns))
-        if last:
+        done = cut(dealt.groupBy("shard").applyInArrow(pack_shard(capacity, shards == 1), PLACED))
+        number = F.lit(turn) * (1 << 50) + F.col("shard") * (1 << 20) + F.col("bin")
+        left = done.where("NOT packed")
+        bins = left.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("tokens"))
+        n_open, n_bins, tokens = bins.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+        ends = n_bins <= -(-tokens // capacity) or (bins_before is not None and n_bins >= bins_before)
+        out.append((done if ends else done.where("packed")).withColumn("sequence_id", number).select(*out[0].columns))
+        if ends:
             break
-        rest = done.where("NOT packed").drop("shard", "bin", "offset", "packed")
-        n_open = rest.count()
+        rest, turn, bins_before = left.select(*keyed.columns), turn + 1, n_bins
     result = out[0]
     for part in out[1:]:
         result = result.unionByName(part)

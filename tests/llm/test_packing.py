@@ -21,24 +21,103 @@ def test_chunks_give_the_ids_of_the_whole(text):
     assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == direct(text)
 
 
-def test_special_strings_are_text():
-    assert 49407 not in np.frombuffer(ENCODER.encode("a <|endoftext|> b"), "<u4")
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|startoftext|>", "x<|endoftext|>y,", "<|ENDOFTEXT|> <|endoftext|", "A<|endoftext|>B <|endoftext|><|endoftext|>!", "<| endoftext |>"])
+def test_special_strings_are_as_the_tokenizer_has_them(text):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == whole
+    assert text != "a <|endoftext|> b" or whole == [320, 49407, 321]
+
+
+def test_caches_start_afresh_and_long_chunks_are_not_kept(monkeypatch):
+    monkeypatch.setattr(packing, "CHUNKS", 50)
+    monkeypatch.setattr(packing, "PARTS", 50)
+    encoder = packing.Encoder()
+    for k in range(60):
+        text = f"word{k} Other, {'long' * 100}{k} <|endoftext|>x"
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == direct(text)
+    assert len(encoder.known) < 30 and max(map(len, encoder.known)) <= packing.LONG and max(map(len, encoder.parts)) <= packing.LONG
 
 
 @pytest.mark.parametrize("seed", range(5))
 def test_bins_hold_everything_once_and_fit(seed):
     rng = random.Random(seed)
     lengths = [rng.randint(1, 100) for _ in range(500)]
-    bins = packing.improve(packing.best_fit(lengths, 100), lengths, 100, slack=0)
+    bins = packing.improve(packing.best_fit(lengths, 100), lengths, 100)
     assert sorted(i for b in bins for i in b) == list(range(500))
     assert all(sum(lengths[i] for i in b) <= 100 for b in bins)
     least = max(-(-sum(lengths) // 100), sum(n > 50 for n in lengths))
     assert least <= len(bins) <= 1.05 * least + 1
 
 
+def fewest(lengths, capacity):
+    """The least number of bins, by trying every place of every piece."""
+    best = [len(lengths)]
+
+    def place(k, fills):
+        if len(fills) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(fills)
+            return
+        for f in sorted(set(fills)):
+            if f + lengths[k] <= capacity:
+                at = fills.index(f)
+                place(k + 1, fills[:at] + [f + lengths[k]] + fills[at + 1 :])
+        place(k + 1, [*fills, lengths[k]])
+
+    lengths = sorted(lengths, reverse=True)
+    place(0, [])
+    return best[0]
+
+
+def test_against_exhaustive_packing():
+    rng, off, gained, beaten = random.Random(4), 0, 0, 0
+    for _ in range(300):
+        lengths = [rng.randint(1, 30) for _ in range(rng.randint(1, 9))]
+        first = packing.best_fit(lengths, 30)
+        bins, best = packing.improve(first, lengths, 30), fewest(lengths, 30)
+        assert best <= len(bins) <= len(first) and sorted(i for b in bins for i in b) == list(range(len(lengths)))
+        off += len(bins) > best
+    # Sets that best fit decreasing packs into one bin more than needed.
+    for _ in range(4000):
+        lengths = [rng.choice((6, 7, 8, 9, 11, 12, 13, 14)) for _ in range(rng.randint(6, 9))]
+        first = packing.best_fit(lengths, 30)
+        if len(first) > -(-sum(lengths) // 30) and len(first) > fewest(lengths, 30):
+            beaten += 1
+            gained += len(packing.improve(first, lengths, 30)) < len(first)
+    assert off <= 3 and beaten >= 20 and gained >= 0.5 * beaten
+
+
+def test_local_search_ends_where_no_exchange_is_left():
+    """Brute force over all exchanges of the four kinds finds none that makes a bin fuller that is at least as full."""
+    rng = random.Random(8)
+    for _ in range(40):
+        lengths = [rng.randint(3, 40) for _ in range(40)]
+        start = [[i] for i in range(40)]
+        bins = packing.improve(start, lengths, 50)
+        fill = [sum(lengths[i] for i in b) for b in bins]
+        if len(bins) == -(-sum(lengths) // 50):
+            continue
+        sums = lambda b: {1: {lengths[i] for i in b}, 2: {lengths[i] + lengths[j] for n, i in enumerate(b) for j in b[n + 1 :]}, 0: {0}}
+        for p, poor in enumerate(bins):
+            for r, rich in enumerate(bins):
+                if p != r and fill[p] <= fill[r]:
+                    for a, b in ((1, 0), (1, 1), (2, 1), (1, 2)):
+                        assert not any(0 < x - y <= 50 - fill[r] for x in sums(poor)[a] for y in sums(rich)[b])
+
+
+def test_bins_of_many_pieces_take_part():
+    lengths = [1] * 90 + [55, 55, 55] + [45] * 2
+    bins = [list(range(60)), [90], [91], [92], [93], [94], list(range(60, 90))]
+    assert len(packing.improve(bins, lengths, 100)) == 4
+
+
 def test_local_search_empties_a_bin():
     lengths = [6, 3, 4, 2, 5]  # 20 in two bins of 10, from a poor start in three
-    assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 10, slack=0)) == 2
+    assert len(packing.improve([[0, 1], [2, 3], [4]], lengths, 10)) == 2
 
 
 def pack(spark, rows, **options):
@@ -77,6 +156,10 @@ def test_empty_table(spark):
     assert pack(spark, []) == []
 
 
+def test_ids_beside_nulls(spark):
+    assert {r["doc_id"] for r in pack(spark, [(9007199254740993, "a b", None, None), (None, "c", None, None)])} == {9007199254740993, None}
+
+
 def test_ids_come_with_the_pieces_on_request(spark):
     docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
     assert packing.pieces(docs, with_ids=True).first()["ids"] == direct("hello world") + [1]
