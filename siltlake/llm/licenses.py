@@ -7,27 +7,30 @@ interval of one already kept is suppressed. The base phrases are counted apart a
 are never suppressed.
 
 Defined results: null and empty texts have no words, no labels, null first_word and last_word and
-score 0; ties between rules go to the earlier one; repeated rows get equal results; columns
-besides doc_id and text are ignored. Texts of any length are scanned whole.
+score 0; ties between rules go to the earlier one; repeated rows get equal results; an empty table gives
+no rows; columns besides doc_id and text are ignored. Texts of any length are scanned whole, in time that grows
+with their words and detections.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm.common import table, texts
+from siltlake.llm.common import per_text, table, texts
 from siltlake.llm.license_rules import RULES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {a: a + 32 for a in range(ord("A"), ord("Z") + 1)}
 #: Phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, detections array<struct<label:string,rule:int,priority:int,start:long,end:long>>"
+DETECTIONS = "array<struct<label:string,rule:int,priority:int,start:long,end:long>>"
+SCHEMA = f"n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, detections {DETECTIONS}"
+ARROW = {DETECTIONS: pa.list_(pa.struct([("label", pa.string()), ("rule", pa.int32()), ("priority", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))}
 
 
 @dataclass(frozen=True)
@@ -55,9 +58,16 @@ def rules(source: str = RULES) -> list[Rule]:
 def settle(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """What interval containment leaves of (start, end, rule), in order of start."""
     kept: list[tuple[int, int, Rule]] = []
+    # The kept intervals that lie in no other, by start and thus by end: the last one that starts early enough reaches furthest.
+    starts: list[int] = []
+    ends: list[int] = []
     for start, end, rule in sorted(found, key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].number)):
-        if not any(a <= start and end <= b for a, b, _ in kept):
-            kept.append((start, end, rule))
+        before = bisect_right(starts, start)
+        if before and ends[before - 1] >= end:
+            continue
+        kept.append((start, end, rule))
+        low, high = bisect_left(starts, start), bisect_right(ends, end)
+        starts[low : max(low, high)], ends[low : max(low, high)] = [start], [end]
     return sorted(kept, key=lambda x: (x[0], x[1], x[2].number))
 
 
@@ -76,8 +86,14 @@ class Scanner:
         if not seen:
             return len(words), 0, None, None, "", "", 0.0, []
         line = f" {' '.join(words)} "
-        # starts[k] is where word k stands in line; found lazily, as most texts have few hits
-        word_at = lambda at: line.count(" ", 0, at)
+        spaces: list[int] = []
+
+        def word_at(at: int) -> int:
+            """The number of spaces before a place in line."""
+            if not spaces:
+                spaces.extend(m.start() for m in re.finditer(" ", line))
+            return bisect_left(spaces, at)
+
         places, base = [], set()
         for first, phrase, label in self.base:
             if first in seen:
@@ -97,17 +113,9 @@ class Scanner:
                 [{"label": r.label, "rule": r.number, "priority": r.priority, "start": a, "end": b} for a, b, r in kept])
 
 
-def scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    scanner = Scanner()
-    for batch in batches:
-        rows = [(d, *scanner.scan(t)) for d, t in zip(batch["doc_id"], batch["text"])]
-        frame = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"])
-        yield frame.astype({"first_word": "Int64", "last_word": "Int64"})
-
-
 def scan(docs: DataFrame) -> DataFrame:
     """Counts, labels and detections for every row of docs."""
-    return texts(docs).mapInPandas(scan_batches, SCHEMA)
+    return per_text(texts(docs), lambda: Scanner().scan, SCHEMA, ARROW)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,7 +63,32 @@ def test_settling_against_brute_force():
         assert not any(y is not x and y[0] <= x[0] and x[1] <= y[1] and y[2].priority >= x[2].priority and y in kept[: kept.index(x)] and y[:2] == x[:2] for y in kept)
 
 
+def quadratic(found):
+    kept = []
+    for start, end, rule in sorted(found, key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].number)):
+        if not any(a <= start and end <= b for a, b, _ in kept):
+            kept.append((start, end, rule))
+    return sorted(kept, key=lambda x: (x[0], x[1], x[2].number))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(1, 9), st.integers(0, 5)), max_size=30))
+def test_settling_is_containment_in_any_kept(places):
+    rules = [licenses.Rule(n, str(n), p, "x", re.compile("x")) for n, p in enumerate((90, 50, 50, 70, 10, 90))]
+    found = [(a, a + n, rules[r]) for a, n, r in places]
+    assert licenses.settle(found) == quadratic(found)
+
+
+def test_a_megabyte_of_detections_is_linear():
+    began = time.time()
+    out = SCANNER.scan("mit license foo " * 65_000)
+    assert out[1] == 65_000 and out[3] == 3 * 64_999 and len(out[7]) >= 65_000
+    assert time.time() - began < 60
+
+
 def test_edge_rows(spark):
+    big = spark.createDataFrame([(9007199254740993, "a"), (None, "b")], "doc_id long, text string")
+    assert {r["doc_id"] for r in licenses.scan(big).collect()} == {9007199254740993, None}
     rows = [(1, None, "l"), (2, "", None), (3, "mit license " * 20_000, None), (4, "MIT license", None), (4, "MIT license", None), (None, "cc by", None)]
     out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, labels string")).collect()
     assert len(out) == 6
