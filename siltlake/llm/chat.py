@@ -11,7 +11,8 @@ task sorts.
 Defined results: messages are ordered by turn (null first), role and text; a null role is the
 participant `unknown`; a null text is empty; a null conv_id is a conversation of its own; a
 conversation of system turns alone has no participant and no rows; equal rows are rendered as
-often as they occur; `<|` in a text is broken up as `< |` so that no text can end its own turn; extra
+often as they occur; `<|` in a text or a role is broken up as `< |`, and line breaks in a rendered role are spaces, so that
+neither can end its own turn or begin another; an empty table gives no rows; texts of any length are rendered whole; extra
 columns are ignored.
 """
 
@@ -35,7 +36,8 @@ def rotate(conversations: DataFrame, block: int = BLOCK) -> DataFrame:
     )
     speakers = rows.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("role").alias("speaker")).distinct()
     own = F.col("role") == F.col("speaker")
-    as_role = F.when(own, F.lit("assistant")).when(F.col("role") == SYSTEM, F.lit(SYSTEM)).otherwise(F.concat(F.lit("user name="), "role"))
+    name = F.translate(F.regexp_replace("role", r"<\|", "< |"), "\r\n", "  ")
+    as_role = F.when(own, F.lit("assistant")).when(F.col("role") == SYSTEM, F.lit(SYSTEM)).otherwise(F.concat(F.lit("user name="), name))
     head = F.concat(F.lit("<|im_start|>"), as_role, F.lit("\n"))
     body = F.concat(F.regexp_replace("text", r"<\|", "< |"), F.lit("<|im_end|>\n"))
     seen = rows.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).select(
@@ -68,7 +70,7 @@ ORACLE_SQL = r"""
 WITH r AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
 s AS (SELECT DISTINCT conv_id AS c, role AS speaker FROM r WHERE role <> 'system'),
 h AS (SELECT conv_id, speaker, turn, role, text,
-    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE 'user name=' || role END || chr(10) AS head,
+    '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE 'user name=' || translate(replace(role, '<|', '< |'), chr(13) || chr(10), '  ') END || chr(10) AS head,
     replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
   FROM r JOIN s ON conv_id IS NOT DISTINCT FROM c),
 p AS (SELECT *, sum(length(head || body)) OVER w AS e, row_number() OVER w AS seq FROM h
