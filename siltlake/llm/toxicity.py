@@ -8,7 +8,8 @@ automaton finds the terms; the weights found, alone and by length, make a score
 function calibrates.
 
 Defined results: null and empty texts get the score of a text without hits; with no labelled rows,
-or none toxic, every score is 0; null labels are skipped; repeated rows get equal results; columns
+or none toxic, every score is 0; null labels are skipped; of several labels of a document the larger counts; repeated rows
+get equal results, and a score at the threshold counts as toxic; an empty table gives no rows; columns
 besides doc_id and text (and toxic in labels) are ignored. Texts of any length are scanned whole.
 """
 
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import cut, fraction, held_out, table, texts
+from siltlake.llm.common import cut, fraction, held_out, per_text, table, texts
 
 #: Expected number of labelled documents to learn from: the bound on the sample.
 TRAIN_DOCS = 20_000
@@ -37,7 +38,7 @@ LEAST_CONTEXTS = 0.25
 #: A phrase is an exception with so many documents and at most this share of the term's toxic rate.
 EXCEPTION_DOCS, EXCEPTION_SHARE = 5, 0.25
 THRESHOLD = 0.3
-SCHEMA = "doc_id long, score double, n_hits long, n_exceptions long, matched string"
+SCHEMA = "score double, n_hits long, n_exceptions long, matched string"
 
 #: Signs read as letters; l is folded with i, as 1 stands for either.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i", "l": "i"}
@@ -87,10 +88,17 @@ class Lexicon:
 
 
 def neighbour(text: str, at: int, step: int) -> str:
-    """The word before (step -1) or after (step 1) the place in a folded text."""
-    piece = text[max(0, at - 40) : at] if step < 0 else text[at : at + 40]
-    words = WORD.findall(piece)
-    return (words[-1] if step < 0 else words[0]) if words else ""
+    """The word before (step -1) or after (step 1) the place in a folded text, however far and long it is."""
+    if step > 0:
+        met = WORD.search(text, at)
+        return met[0] if met else ""
+    end = at
+    while end and not text[end - 1].isalnum():
+        end -= 1
+    begin = end
+    while begin and text[begin - 1].isalnum():
+        begin -= 1
+    return text[begin:end]
 
 
 def hits(text: str, automaton, exceptions: set[tuple[str, str]]) -> Iterator[tuple[str, str, str, bool]]:
@@ -198,22 +206,19 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> L
     return lexicon
 
 
-def score_batches(lexicon: Lexicon):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton = lexicon.automaton()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                x, found, excepted = features(text, lexicon, automaton)
-                rows.append((doc_id, lexicon.score(x), len(found), excepted, ",".join(sorted(set(found)))))
-            yield pd.DataFrame(rows, columns=["doc_id", "score", "n_hits", "n_exceptions", "matched"])
+def scorer(lexicon: Lexicon):
+    automaton = lexicon.automaton()
 
-    return run
+    def score(text: str | None) -> tuple[float, int, int, str]:
+        x, found, excepted = features(text, lexicon, automaton)
+        return lexicon.score(x), len(found), excepted, ",".join(sorted(set(found)))
+
+    return score
 
 
 def toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Score and matched terms for every row of docs."""
-    return texts(docs).mapInPandas(score_batches(lexicon), SCHEMA)
+    return per_text(texts(docs), lambda: scorer(lexicon), SCHEMA)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

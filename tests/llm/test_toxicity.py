@@ -1,6 +1,10 @@
+import math
 import random
 import zlib
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from siltlake.llm import toxicity
 
 BAD = ["idiot", "scum", "worthless", "clown"]
@@ -61,7 +65,45 @@ def test_hits_are_whole_words():
     assert lexicon.score(x) > lexicon.score(clean)
 
 
+def naive(text, lexicon):
+    """Terms and exceptions by going through the folded words one by one."""
+    words = toxicity.WORD.findall(toxicity.fold(text))
+    found, excepted = [], 0
+    for k, w in enumerate(words):
+        if w in lexicon.weights:
+            before, after = words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else ""
+            if (before, w) in lexicon.exceptions or (w, after) in lexicon.exceptions:
+                excepted += 1
+            else:
+                found.append(w)
+    weight = sum(lexicon.weights[t] for t in found)
+    folded = toxicity.fold(text)
+    n_words = folded.count(" ") + folded.count("\n") + 1
+    return [float(bool(found)), math.log1p(weight), 100 * weight / (n_words + 100)], sorted(found), excepted
+
+
+LEXICON = toxicity.Lexicon({toxicity.fold(w): 1.0 + n for n, w in enumerate((*BAD, "ass", "assassin"))}, {("pond", "scum"), ("circus", toxicity.fold("clown")), ("x" * 60, "scum"), (toxicity.fold("idiot"), "savant")}, (1.0, 1.0, 1.0), -3.0)
+AUTOMATON = LEXICON.automaton()
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(["scum", "$CUM", "pond", "Pond ", "circus", "cl0wn", "1diot", "savant", "ass", "assassin", "assassins", "x" * 60, " ", " " * 50, "\n", "_", "-", ".", "é", "ІԁıоТ", "​"]), max_size=14))
+def test_against_a_naive_matcher(parts):
+    text = "".join(parts)
+    x, found, excepted = toxicity.features(text, LEXICON, AUTOMATON)
+    expected, terms, free = naive(text, LEXICON)
+    assert sorted(found) == terms and excepted == free and all(abs(a - b) < 1e-9 for a, b in zip(x, expected))
+
+
+def test_neighbours_far_away_and_long():
+    for text in ("x" * 60 + " scum", "pond" + " " * 45 + "scum", "scum"):
+        _, found, excepted = toxicity.features(text, LEXICON, AUTOMATON)
+        assert (len(found), excepted) == ((1, 0) if text == "scum" else (0, 1))
+
+
 def test_edge_rows(spark):
+    big = spark.createDataFrame([(9007199254740993, "a"), (None, "b")], "doc_id long, text string")
+    assert {r["doc_id"] for r in toxicity.toxicity(big, LEXICON).collect()} == {9007199254740993, None}
     lexicon = toxicity.Lexicon({"scum": 2.0}, set(), (1.0, 1.0, 1.0), -3.0)
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "scum " * 50_000, 1), (4, "a", 1), (4, "a", 1), (None, "scum", 1)], "doc_id long, text string, n_hits int")
     out = {r["doc_id"]: r for r in toxicity.toxicity(docs, lexicon).collect()}
