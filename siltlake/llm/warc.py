@@ -6,12 +6,15 @@ their content lengths. assemble() brings the records of a transaction together t
 concurrent-to identifiers and gives one nested row per capture.
 
 Among pages with equal payloads of at least least_bytes bytes, the one with the largest page_id is
-the response and the others are revisits that refer to it.
+the response and the others are revisits that refer to it. A record's identifier has the page_id, the
+payload's digest and a tag of the url, so captures that differ in any of them stay apart. Only identifiers and digests
+are grouped; payloads are joined with the groups' results where they stand, and a digest that holds a large share of the
+pages is one key of that join, which Spark's skew join splits.
 
 Defined results: a null html is an empty payload; a null url becomes `urn:page:<page_id>`; a null
 page_id counts as smaller than any other and stays null; equal rows are stored, and come back, as
-often as they occur; line breaks in a url are percent-encoded; an empty table makes no captures;
-extra columns are ignored.
+often as they occur; of pages with one page_id and payload all are responses; line breaks in a url are percent-encoded; an empty
+table makes no captures; payloads of any length are stored whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,12 +52,13 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def captures(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest and first: the response's page_id, or null where the row is it."""
+    """page_id, url, html, payload_bytes, payload_digest, tag and first: page_id and tag of the response, or null where the row is one."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("long")).withColumn("payload_digest", base32_sha1(F.col("html")))
-    firsts = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.max("page_id").alias("first"))
+    rows = rows.withColumn("tag", F.hex(F.xxhash64("url")))
+    firsts = rows.where((F.col("payload_bytes") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("payload_digest").agg(F.max(F.struct("page_id", "tag")).alias("first"))
     joined = rows.join(firsts, "payload_digest", "left")
-    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.col("payload_bytes") >= least_bytes)
+    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("payload_bytes") >= least_bytes)
     return joined.withColumn("first", F.when(other, F.col("first")))
 
 
@@ -69,18 +73,18 @@ def write(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, file_byte
     total = pages.agg(F.sum(F.octet_length(F.col("html").cast("string"))).alias("b"), F.count(F.lit(1)).alias("n")).first()
     per_file = 3 * max(1, int(file_bytes / max(1.0, (total["b"] or 0) / max(1, total["n"]) + 1)))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
-    named = lambda which, number: F.concat(F.lit(f"{URN}:"), number, F.lit(":"), F.col("payload_digest"), F.lit(f":{which}"))
-    main = named("main", page)
+    named = lambda which, number=page, tag=F.col("tag"): F.concat(F.lit(f"{URN}:"), number, F.lit(":"), F.col("payload_digest"), F.lit(":"), tag, F.lit(f":{which}"))
+    main = named("main")
     uri = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.concat(F.lit("urn:page:"), page)), "\r", "%0D"), "\n", "%0A")
     header = lambda name, value: F.concat(F.lit(f"{EOL}{name}: "), value)
     angled = lambda value: F.concat(F.lit("<"), value, F.lit(">"))
     digest = header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest")))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(EOL + EOL))
     response = record("response", main, uri, "application/http; msgtype=response", F.concat(http, "html"), digest)
-    first = named("main", F.col("first").cast("string"))
+    first = named("main", F.col("first.page_id").cast("string"), F.col("first.tag"))
     revisit = record("revisit", main, uri, "application/http; msgtype=response", http, digest, header("WARC-Profile", F.lit(PROFILE)), header("WARC-Refers-To", angled(first)))
-    request = record("request", named("request", page), uri, "application/http; msgtype=request", F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{EOL}Accept: text/html{EOL}{EOL}")), header("WARC-Concurrent-To", angled(main)))
-    metadata = record("metadata", named("metadata", page), uri, "application/warc-fields", F.concat(F.lit("page-id: "), page, F.lit(EOL)), header("WARC-Concurrent-To", angled(main)))
+    request = record("request", named("request"), uri, "application/http; msgtype=request", F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{EOL}Accept: text/html{EOL}{EOL}")), header("WARC-Concurrent-To", angled(main)))
+    metadata = record("metadata", named("metadata"), uri, "application/warc-fields", F.concat(F.lit("page-id: "), page, F.lit(EOL)), header("WARC-Concurrent-To", angled(main)))
     rows = captures(pages, least_bytes).select(F.explode(F.array(request, F.when(F.col("first").isNull(), response).otherwise(revisit), metadata)).alias("value"))
     rows.write.option("lineSep", EOL + EOL).option("compression", "gzip").option("maxRecordsPerFile", per_file).mode("errorifexists").text(path)
 

@@ -44,6 +44,15 @@ def test_edge_rows(spark):
     assert out == [("page-id: 1", "revisit", 0), ("page-id: 2", "response", 0), ("page-id: 5", "response", 4), ("page-id: 5", "response", 4), ("page-id: null", "revisit", 4)]
 
 
+def test_equal_ids_and_payloads_under_other_urls(spark):
+    _, found = trip(spark, [(1, "http://a/", "same", None), (1, "http://b/", "same", None), (0, "http://c/", "same", None), (0, None, "same", None)])
+    out = found.collect()
+    assert sorted((r["response"]["target_uri"], r["request"]["target_uri"], r["response"]["record_type"]) for r in out) == [
+        ("http://a/", "http://a/", "response"), ("http://b/", "http://b/", "response"), ("http://c/", "http://c/", "revisit"), ("urn:page:0", "urn:page:0", "revisit"),
+    ]
+    assert {r["response"]["refers_to"] for r in out} - {None} <= {r["capture_id"] for r in out if r["response"]["record_type"] == "response"}
+
+
 def test_empty_table(spark):
     path = scratch(spark, "warc-test")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
