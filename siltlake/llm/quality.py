@@ -10,8 +10,9 @@ that share of a script does not move its bands. The fixed BANDS hold as well, an
 fewer than LEAST_DOCS such texts.
 
 Defined results: null or blank texts have no words, so every count is 0 and base_failed is true;
-texts that pass the base rules are judged by the bands, however short; repeated rows get
-equal results and count once each for the bands; columns besides doc_id and text are ignored. Texts of any length are read whole.
+texts that pass the base rules are judged by the bands, however short; a measure on a band's edge is inside; repeated rows get
+equal results and count once each for the bands; an empty table gives no rows; columns besides doc_id and text are ignored. Texts of
+any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,17 +21,15 @@ import base64
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, cut, mixed, rolled, table, texts
+from siltlake.llm.common import WordTable, cut, mixed, per_text, rolled, table, texts
 
-#: Where the public vocabularies lie.
-TOKENIZERS = "/opt/tokenizers"
+#: Names of the public vocabularies: with byte fallback, and byte-level.
+VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_LETTER = re.compile(r"[A-Za-z]")
 SYMBOLS = "#*$%&|<>"
@@ -57,19 +56,20 @@ BANDS = {
     "other": ((0.2, 9.0), (0.15, 9.0), 0.98, 0.30),
     "none": ((0.5, 9.0), (0.4, 9.0), 0.20, 0.30),
 }
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, chars_per_token double, chars_per_byte_bpe_token double, byte_share double, token_entropy double, reason string"
+SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, chars_per_token double, chars_per_byte_bpe_token double, byte_share double, token_entropy double, reason string"
 
 
 class Tokens:
     """Token counts of words under two vocabularies, and the ids under the first."""
 
-    def __init__(self, where: str = TOKENIZERS):
+    def __init__(self, where: tuple[str, str] | None = None):
         import sentencepiece
         import tiktoken
-        from public_tokenizers import PATTERN
+        from public_tokenizers import PATTERN, path
 
-        self.pieces = sentencepiece.SentencePieceProcessor(model_file=f"{where}/piece_bpe_32k.model")
-        with open(f"{where}/byte_bpe_50k.tiktoken", "rb") as f:
+        pieces, ranked = where or map(path, VOCABULARIES)
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        with open(ranked, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes = tiktoken.Encoding("byte_bpe_50k", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.ids: list[bytes] = []
@@ -132,34 +132,32 @@ def verdict(name: str, coarse: float, fine: float, share: float, entropy: float,
     return ""
 
 
-def score_batches(where: str = TOKENIZERS):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = Tokens(where)
-        known = WordTable(tokens.make, 3, np.int64, WORDS)
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                if len(known.at) > known.most:
-                    known.clear()
-                    tokens.ids.clear()
-                text = text or ""
-                words = WORD.findall(text)
-                at = known.indexes(words)
-                codes, length, fine = known.rows[at].T
-                chars, n_fine = int(length.sum()), int(fine.sum())
-                repeats = repeated_words(codes.view(np.uint64).copy())
-                used = np.bincount(np.frombuffer(b"".join(map(tokens.ids.__getitem__, at.tolist())), np.uint16), minlength=BYTE_IDS[1])
-                n, in_bytes = int(used.sum()), int(used[slice(*BYTE_IDS)].sum())
-                p = used[used > 0] / max(n, 1)
-                entropy = float(-(p * np.log2(p)).sum()) if n else 0.0
-                failed = len(words) < MIN_WORDS or 100 * repeats > MOST_REPEATED * len(words)
-                name = script(text)
-                measures = (chars / max(n, 1), chars / max(n_fine, 1), in_bytes / max(n, 1), entropy)
-                reason = "base" if failed else verdict(name, *measures, n)
-                out.append((doc_id, len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats, failed, not reason, name, *measures, reason))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    return run
+def scorer(where: tuple[str, str] | None = None):
+    """Counts and measures of a text, and the verdict of the fixed bands."""
+    tokens = Tokens(where)
+    known = WordTable(tokens.make, 3, np.int64, WORDS)
+
+    def measure(text: str | None) -> tuple:
+        if len(known.at) > known.most:
+            known.clear()
+            tokens.ids.clear()
+        text = text or ""
+        words = WORD.findall(text)
+        at = known.indexes(words)
+        codes, length, fine = known.rows[at].T
+        chars, n_fine = int(length.sum()), int(fine.sum())
+        repeats = repeated_words(codes.view(np.uint64).copy())
+        used = np.bincount(np.frombuffer(b"".join(map(tokens.ids.__getitem__, at.tolist())), np.uint16), minlength=BYTE_IDS[1])
+        n, in_bytes = int(used.sum()), int(used[slice(*BYTE_IDS)].sum())
+        p = used[used > 0] / max(n, 1)
+        entropy = float(-(p * np.log2(p)).sum()) if n else 0.0
+        failed = len(words) < MIN_WORDS or 100 * repeats > MOST_REPEATED * len(words)
+        name = script(text)
+        measures = (chars / max(n, 1), chars / max(n_fine, 1), in_bytes / max(n, 1), entropy)
+        reason = "base" if failed else verdict(name, *measures, n)
+        return len(words), chars, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeats, failed, not reason, name, *measures, reason
+
+    return measure
 
 
 def banded() -> dict[str, Column]:
@@ -195,9 +193,9 @@ def judged(measured: DataFrame, bands: DataFrame) -> DataFrame:
     return joined.withColumn("kept", F.col("reason") == "").select(measured.columns)
 
 
-def quality(docs: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
-    """Counts, measures and verdict for every row of docs."""
-    measured = cut(texts(docs).mapInPandas(score_batches(tokenizers), SCHEMA))
+def quality(docs: DataFrame, vocabularies: tuple[str, str] | None = None) -> DataFrame:
+    """Counts, measures and verdict for every row of docs. vocabularies are two files' places, the public ones' if not given."""
+    measured = cut(per_text(texts(docs), lambda: scorer(vocabularies), SCHEMA))
     return judged(measured, bands_of(measured))
 
 

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltlake.llm import quality
+from siltlake.llm.common import shape
 from siltlake.llm.quality import WORD
 
 
@@ -32,7 +33,8 @@ def plain(text):
 def scored(texts):
     import pandas as pd
 
-    return next(quality.score_batches()(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})])))
+    of = quality.scorer()
+    return pd.DataFrame([of(t) for t in texts], columns=shape(quality.SCHEMA).names)
 
 
 @settings(max_examples=100, deadline=None)
