@@ -4,20 +4,24 @@ A window is as many words of a document as an item has, or what is left of them
 cannot be as similar to an item as asked for unless the item's shingles in it, each place counted,
 weigh that share of the item. Such windows are laid at every start, aligned to a shared shingle or not;
 all others are below the similarity. The starts come from a running sum over the places where shared
-shingles enter and leave. Windows of one width with the same words are one content. Contents and items
-get 64-bit SimHash fingerprints of their weighted shingles; a multi-index over BLOCKS blocks of bits
-finds every pair within RADIUS: two fingerprints that differ in at most BLOCKS * (NEAR + 1) - 1 bits
+shingles enter and leave. Windows of one width with the same words are one content.
+
+Contents and items get 64-bit SimHash fingerprints of their weighted shingles; a multi-index over BLOCKS blocks
+of bits finds every pair within RADIUS: two fingerprints that differ in at most BLOCKS * (NEAR + 1) - 1 bits
 differ in at most NEAR bits of some block, and the index holds all such neighbours of the items'
-blocks. Pairs of one width found are verified by their exact weighted similarity.
+blocks. A content is only looked up for the items it was laid for, as it is below the similarity to all others;
+so the index is probed BLOCKS times for each content and item of its own, not with contents times items.
+Pairs found are verified by their exact weighted similarity.
 
 The similarity is the weight of the shared shingles over that of the heavier side. A shingle weighs
 its number of occurrences times log(1 + items / items that hold it); one that no item holds
-weighs as one that a single item holds.
+weighs as one that a single item holds. Items with the same words are looked for once.
 
 Defined results: words are runs of letters and digits in lower case; an item of under five words is
 one shingle of all of them; null and empty documents and items match nothing, nor do documents with
 a null doc_id, which no row could name; repeated items are
-reported each; repeated rows of a document count as more windows of it; extra columns are
+reported each, and each counts as an item; repeated rows of a document count as more windows of it; of windows with equal
+similarity the first is told; empty tables give no rows; extra columns are
 ignored. Documents of any length are read whole.
 """
 
@@ -64,15 +68,14 @@ def fingerprint(weighted: DataFrame, key: str) -> DataFrame:
     return sums.select(key, reduce(lambda x, y: x.bitwiseOR(y), bits).alias("fp"), "total")
 
 
-def block(b: int) -> Column:
-    return F.shiftrightunsigned("fp", b * WIDTH).bitwiseAND((1 << min(WIDTH, BITS - b * WIDTH)) - 1)
-
-
-def keyed(masks: list[int]) -> Column:
-    """A row for each block, and each mask over it: block and value."""
+def keyed(fp: str, flips: int) -> Column:
+    """A row for each block of a fingerprint, and each value of it with at most so many bits flipped: block and value."""
 
     def of(b: int) -> Column:
-        return F.transform(F.lit(masks), lambda m: F.struct(F.lit(b).alias("block"), block(b).bitwiseXOR(m.cast("long")).alias("value")))
+        width = min(WIDTH, BITS - b * WIDTH)
+        masks = [sum(1 << i for i in c) for n in range(flips + 1) for c in combinations(range(width), n)]
+        own = F.shiftrightunsigned(fp, b * WIDTH).bitwiseAND((1 << width) - 1)
+        return F.transform(F.lit(masks), lambda m: F.struct(F.lit(b).alias("block"), own.bitwiseXOR(m.cast("long")).alias("value")))
 
     return F.explode(F.flatten(F.array(*map(of, range(BLOCKS))))).alias("at")
 
@@ -87,30 +90,35 @@ def marked(k: int) -> Column:
     return F.transform(shingles(k), lambda h, i: F.struct(F.lit(k).alias("k"), i.alias("pos"), h.alias("h")))
 
 
-def neighbours() -> list[int]:
-    """All masks of a block with at most NEAR bits."""
-    return [sum(1 << i for i in c) for n in range(NEAR + 1) for c in combinations(range(WIDTH), n)]
+def within_radius(probes: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of rows with equal keys whose fingerprints fp and item_fp differ in at most RADIUS bits, each once."""
+    left = probes.select("*", keyed("fp", 0)).select("*", "at.block", "at.value").drop("at")
+    right = index.select("*", keyed("item_fp", NEAR)).select("*", "at.block", "at.value").drop("at")
+    met = left.join(right, [*keys, "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    return met.drop("block", "value").distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, n_windows, similarity (the best window's) and start (its first word)."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words().alias("words")).where(F.size("words") > 0)
-    items = cut(items.withColumn("item", F.monotonically_increasing_id()).withColumn("k", F.least(F.lit(SHINGLE), F.size("words"))))
+    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words().alias("words")).where(F.size("words") > 0)
+    named = cut(named.withColumn("item", F.xxhash64("words")))
+    n_items = named.count()
+    items = cut(named.groupBy("item").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("times")).withColumn("k", F.least(F.lit(SHINGLE), F.size("words"))))
     sizes = [r["k"] for r in items.select("k").distinct().collect()]  # at most SHINGLE numbers
-    n_items = items.count()
-    per_size = [items.where(F.col("k") == k).select("item", F.size("words").alias("width"), "k", F.posexplode(shingles(k)).alias("at", "h")) for k in sizes]
+    per_size = [items.where(F.col("k") == k).select("item", "times", F.size("words").alias("width"), "k", F.posexplode(shingles(k)).alias("at", "h")) for k in sizes]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not per_size:
         return docs.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0.0).alias("similarity"), F.lit(0).cast("long").alias("start"))
     placed = cut(reduce(DataFrame.unionByName, per_size))
     grains = lambda holders: F.round(F.log1p(F.lit(float(n_items)) / holders) * GRAIN).cast("long")
-    rarity = cut(placed.groupBy("h").agg(grains(F.count_distinct("item")).alias("rarity")))
+    holders = placed.select("h", "item", "times").distinct().groupBy("h").agg(F.sum("times").alias("holders"))
+    rarity = cut(holders.select("h", grains(F.col("holders")).alias("rarity")))
     n_placed = placed.count()
 
     weigh = F.col("n") * F.coalesce("rarity", grains(F.lit(1)))
     own = placed.groupBy("item", "width", "k", "h").agg(F.count(F.lit(1)).alias("n")).join(small(rarity, n_placed), "h", "left")
     own = cut(own.select("item", "width", "k", "h", "rarity", weigh.alias("weight")))
-    of_items = cut(fingerprint(own, "item").join(items.select("item", F.size("words").alias("width")), "item"))
+    of_items = cut(fingerprint(own, "item"))
 
     # The places where a document holds a shingle of an item.
     tokens = docs.where(F.col("doc_id").isNotNull()).select("doc_id", words().alias("words"))
@@ -129,8 +137,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     steps = steps.groupBy("doc_id", "item", "width", "need", "step.start").agg(F.sum("step.more").alias("more"))
     run = Window.partitionBy("doc_id", "item").orderBy("start")
     held_from = F.sum("more").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    spans = steps.select("doc_id", "width", "need", "start", held_from.alias("held"), F.lead("start").over(run).alias("end")).where(F.col("held") >= F.col("need"))
-    starts = spans.select("doc_id", "width", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("start")).distinct()
+    spans = steps.select("doc_id", "item", "width", "need", "start", held_from.alias("held"), F.lead("start").over(run).alias("end")).where(F.col("held") >= F.col("need"))
+    wanted = cut(spans.select("doc_id", "item", "width", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("start")))
+    starts = wanted.select("doc_id", "width", "start").distinct()
     windows = cut(starts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "width")).alias("windows")))
     n_docs = windows.count()
 
@@ -144,18 +153,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     held = contents.select("content", F.explode("hs").alias("h")).groupBy("content", "h").agg(F.count(F.lit(1)).alias("n"))
     held = held.join(small(rarity, n_placed), "h", "left").select("content", "h", weigh.alias("weight"))
 
-    # All pairs of fingerprints within the radius, of one width.
-    of_contents = cut(fingerprint(held, "content").join(contents.select("content", "width"), "content"))
-    index = of_items.withColumn("at", keyed(neighbours())).select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"), "width", "at.block", "at.value")
-    probes = of_contents.withColumn("at", keyed([0])).select("content", "fp", "total", "width", "at.block", "at.value")
-    near = probes.join(index, ["width", "block", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-    near = near.select("content", "item", "total", "item_total").distinct()
+    # All pairs of fingerprints within the radius, of contents and the items they were laid for.
+    of_contents = cut(fingerprint(held, "content"))
+    asked = wanted.join(laid.select("doc_id", "start", "width", "content"), ["doc_id", "start", "width"]).select("content", "item").distinct()
+    near = within_radius(asked.join(of_contents, "content"), of_items.select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total")), ["item"])
 
     # Exact similarity of the pairs found.
     theirs = own.select("item", "h", F.col("weight").alias("item_weight"))
     shared = near.join(held, "content").join(theirs, ["item", "h"]).groupBy("content", "item", "total", "item_total").agg(F.sum(F.least("weight", "item_weight")).alias("shared"))
     alike = shared.select("content", "item", (F.col("shared") / F.greatest("total", "item_total")).alias("similarity")).where(F.col("similarity") >= similarity - 1e-9)
-    found = laid.select("doc_id", "start", "content").join(alike, "content").join(items.select("item", "item_id"), "item")
+    found = laid.select("doc_id", "start", "content").join(alike, "content").join(named.select("item", "item_id"), "item")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("before")))
     return found.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"), best.alias("best")).select(
         "doc_id", "item_id", "n_windows", F.round("best.similarity", 9).alias("similarity"), (-F.col("best.before")).cast("long").alias("start")

@@ -4,15 +4,13 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
-
 from siltlake.llm import decontaminate
 
 WORDS = re.compile(r"[^\W_]+")
 
 
 def brute(docs, items):
-    """All item-sized windows of all documents, compared with all items."""
+    """All item-sized windows of all documents, compared with all items: the best similarity and the windows that reach 0.8."""
     split = lambda t: WORDS.findall((t or "").lower())
     shingled = lambda w, k: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
     live = [(i, split(t)) for i, t in items if split(t)]
@@ -30,7 +28,8 @@ def brute(docs, items):
                 theirs = sum(n * weight(s) for s, n in seen.items())
                 shared = sum(min(n, own[s]) * weight(s) for s, n in seen.items())
                 if shared and shared / max(total, theirs) >= 0.8 - 1e-9:
-                    out[d, i] = max(out.get((d, i), 0), round(shared / max(total, theirs), 6))
+                    best, n = out.get((d, i), (0, 0))
+                    out[d, i] = (max(best, round(shared / max(total, theirs), 6)), n + 1)
     return out
 
 
@@ -51,24 +50,11 @@ def corpus(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_all_windows(spark, seed):
-    docs, items = corpus(seed)
-    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    out = {(r["doc_id"], r["item_id"]): round(r["similarity"], 6) for r in got.collect()}
-    expected = brute(docs, items)
-    # Windows are aligned to shared shingles, so what is found is found with its true similarity or one just below it.
-    assert set(out) <= set(expected)
-    sure = {k for k, v in expected.items() if v >= 0.85}
-    assert sure <= set(out)
-    assert all(out[k] == expected[k] for k in out if expected[k] == 1.0)
-
-
 @pytest.mark.parametrize("seed", [1, 2, 6])
 def test_every_window_of_the_similarity(spark, seed):
     docs, items = corpus(seed)
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 6) for r in got.collect()} == brute(docs, items)
+    assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 6), r["n_windows"]) for r in got.collect()} == brute(docs, items)
 
 
 def test_windows_between_aligned_ones(spark):
@@ -81,19 +67,24 @@ def test_windows_between_aligned_ones(spark):
 
 def test_index_finds_every_pair_within_the_radius(spark):
     rng = random.Random(5)
-    pairs = []
-    for n in range(200):
-        a, b = rng.getrandbits(64), None
-        flips = rng.sample(range(64), rng.randint(0, decontaminate.RADIUS))
-        b = a
-        for f in flips:
-            b ^= 1 << f
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
-        pairs.append((n, signed(a), signed(b)))
-    df = spark.createDataFrame(pairs, "n int, a long, b long")
-    index = df.select("n", F.col("a").alias("fp")).withColumn("at", decontaminate.keyed(decontaminate.neighbours())).select("n", "at.block", "at.value")
-    probes = df.select("n", F.col("b").alias("fp")).withColumn("at", decontaminate.keyed([0])).select("n", "at.block", "at.value")
-    assert probes.join(index, ["n", "block", "value"]).select("n").distinct().count() == 200
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    rows = []
+    for n in range(300):
+        a, flips = rng.getrandbits(64), rng.sample(range(64), rng.randint(0, decontaminate.RADIUS + 8))
+        rows.append((n, signed(a), signed(a ^ sum(1 << i for i in flips)), len(flips)))
+    df = spark.createDataFrame(rows, "n long, fp long, item_fp long, far int")
+    found = decontaminate.within_radius(df.select("n", "fp", "far"), df.select("n", "item_fp"), ["n"]).collect()
+    assert sorted(r["n"] for r in found) == [n for n, _, _, far in rows if far <= decontaminate.RADIUS]
+
+
+def test_a_window_of_just_the_similarity_between_aligned_ones(spark):
+    """Items that share their first and last five words; two words put in the middle of one leave the window between at 0.8."""
+    start, end = [f"s{n}" for n in range(5)], [f"e{n}" for n in range(5)]
+    items = [(i, " ".join(start + [f"w{i}x{n}" for n in range(24)] + end)) for i in range(40)]
+    own = items[3][1].split()
+    docs = [(1, " ".join(own[:17] + ["in", "between"] + own[17:]))]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 6), r["n_windows"]) for r in got.collect()} == brute(docs, items) != {}
 
 
 def test_edge_rows(spark):
