@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -35,48 +36,129 @@ def test_viterbi_is_the_best_of_all_taggings():
     f, rng = field(), random.Random(1)
     for n in range(1, 7):
         rows = [[rng.randrange(secrets.FEATURES) for _ in range(5)] for _ in range(n)]
-        free = [rng.random() < 0.7 for _ in range(n)]
-        p = f.potentials(rows, free)
+        p = f.potentials(rows)
 
         def worth(tags):
             t = [secrets.O, *tags, secrets.O]
             return sum(p[k, x] for k, x in enumerate(tags)) + sum(f.chain[a, b] for a, b in zip(t, t[1:]))
 
-        assert tuple(f.viterbi(rows, free)) == max(itertools.product(range(3), repeat=n), key=worth)
+        assert tuple(f.viterbi(rows)) == max(itertools.product(range(3), repeat=n), key=worth)
+
+
+def test_marginals_are_sums_over_all_taggings():
+    rng = np.random.default_rng(3)
+    chain = rng.normal(size=(3, 3))
+    chain[secrets.O, secrets.I] = -1e9
+    p = rng.normal(size=(2, 4, 3))
+    real = np.array([[True] * 4, [True] * 2 + [False] * 2])
+    p[~real] = (0, -1e9, -1e9)
+    p[0, 1] = (-1e9, p[0, 1, 1], p[0, 1, 2])  # a token that may not be outside
+    single, _ = secrets.marginals(p, chain, real)
+    for k, n in ((0, 4), (1, 4)):
+        weight, total = np.zeros((n, 3)), 0.0
+        for tags in itertools.product(range(3), repeat=n):
+            t = [secrets.O, *tags, secrets.O]
+            w = np.exp(sum(p[k, i, x] for i, x in enumerate(tags)) + sum(chain[a, b] for a, b in zip(t, t[1:])))
+            total += w
+            for i, x in enumerate(tags):
+                weight[i, x] += w
+        assert np.allclose(single[k][real[k]], (weight / total)[real[k]])
+
+
+def test_neighbours_are_the_true_ones():
+    for gap in ("\n", " " * 5000):
+        text = f"a1b2c3d4 foo bar{gap}x9y8z7w6 baz quux"
+        assert secrets.tokens_before(text, text.index("x9")) == ["foo", "bar"]
+    assert secrets.tokens_before("x" * 9000 + " y a1", 9003) == ["x" * 9000, "y"] and secrets.tokens_before("a1", 0) == ["", ""]
+
 
+WORDS = ["the", "set", "user", "of", "value", "line", "state", "Their"]
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 
-def sample(seed, n=300):
+
+def chars(rng, n, alphabet=LETTERS):
+    return "".join(rng.choices(alphabet, k=n))
+
+
+def sample(seed, n=600):
+    """Texts with what the base patterns match, and with other things that have digits."""
     rng = random.Random(seed)
     out = []
     for _ in range(n):
-        value = "".join(rng.choices("0123456789abcdef", k=rng.choice([32, 40])))
-        kind = rng.randrange(5)
-        words = [rng.choice(["the", "set", "user", "of", "value", "line"]) for _ in range(10)]
-        words.insert(5, [f'token = "{value}"', f"call 555-{rng.randrange(1000, 9999)} now", f"on 2024-0{rng.randint(1, 9)}-11 at 10:30", f'password: "{value[:14]}"', f"costs {rng.randrange(1000)}.50 in all"][kind])
+        low = "0123456789abcdefghijklmnopqrstuvwxyz"
+        made = [
+            lambda: f'token = "{chars(rng, 40, "0123456789abcdef")}"', lambda: f'password: "{chars(rng, rng.randint(10, 24), low)}"', lambda: f"api_key={chars(rng, rng.randint(16, 30), low)}", lambda: "AKIA" + chars(rng, 16, LETTERS[26:]),
+            lambda: f"call 555-{rng.randrange(1000, 9999)} now", lambda: f"at 10.{rng.randrange(256)}.{rng.randrange(256)}.7", lambda: f"costs {rng.randrange(10**7, 10**9)} in all", lambda: f"{rng.choice(WORDS)}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com",
+        ]
+        words = rng.choices(WORDS, k=12)
+        words.insert(rng.randrange(12), rng.choice(made)())
         out.append(" ".join(words))
     return out
 
 
+def trained(seed=1):
+    return secrets.fit([e for t in sample(seed) for e in secrets.tagged(t)])
+
+
 def test_training_learns_the_tags_of_unseen_texts():
-    examples = [e for t in sample(1) for e in secrets.tagged(t)]
-    f = secrets.fit(examples)
+    f = trained()
     right = total = 0
     for t in sample(2):
-        for rows, free, tags in secrets.tagged(t):
-            got = f.viterbi(rows, free)
-            right += sum(a == b for a, b in zip(got, tags))
-            total += len(tags)
-    assert right / total > 0.98
+        for rows, tags in secrets.tagged(t):
+            known = [(a, b) for a, b in zip(f.viterbi(rows), tags) if b >= 0]
+            right += sum(a == b for a, b in known)
+            total += len(known)
+    assert total > 500 and right / total > 0.95
 
 
 def test_the_field_adds_what_the_patterns_miss():
-    f = secrets.fit([e for t in sample(3) for e in secrets.tagged(t)])
-    text = 'see key = "9f8a7b6c5d4e3f2a1b0c9d8e" and user'
-    spans = secrets.field_spans('the token "9f8a7b6c5d4e3f2a1b0c" of', f, [])
-    assert all(text and kind == "crf" and b - a >= secrets.LEAST_LENGTH for a, b, kind in spans)
+    """Secrets of kinds that no base pattern matches, planted in unseen prose: recall and precision."""
+    f, rng = trained(), random.Random(9)
+    missed = {
+        "bare": lambda: chars(rng, 40), "slashes": lambda: chars(rng, 40, LETTERS + "+/"), "bearer": lambda: "Bearer: " + chars(rng, 32), "short hex": lambda: chars(rng, 20, "0123456789abcdef"),
+        "quoted": lambda: f'key "{chars(rng, 22)}"', "web": lambda: f"eyJ{chars(rng, 20)}.eyJ{chars(rng, 40)}.{chars(rng, 43)}", "prefixed": lambda: "ghp_" + chars(rng, 36),
+    }
+    plain = {
+        "date": lambda: f"2024-{rng.randint(10, 12)}-{rng.randint(10, 28)}T10:30:00", "phone": lambda: f"+1-555-{rng.randint(100, 999)}-{rng.randint(1000, 9999)}", "version": lambda: f"version-2.{rng.randint(1, 30)}", "number": lambda: str(rng.randint(10**9, 10**12)),
+        "mail": lambda: f"john.smith{rng.randint(1, 999)}@example.com", "page": lambda: f"https://example.com/news/{rng.randint(2000, 2024)}/story-{rng.randint(1, 99)}.html", "camel": lambda: "camelCaseName", "words": lambda: "state-of-the-art",
+    }
+
+    def hit(made):
+        words = rng.choices(WORDS, k=30)
+        words.insert(rng.randrange(30), made)
+        text = " ".join(words)
+        assert not secrets.base_spans(text)
+        at = text.index(made)
+        return any(a < at + len(made) and b > at for a, b, _ in secrets.field_spans(text, f, []))
+
+    found = {k: sum(hit(m()) for _ in range(40)) for k, m in missed.items()}
+    wrong = {k: sum(hit(m()) for _ in range(40)) for k, m in plain.items()}
+    assert sum(found.values()) >= 0.7 * 40 * len(missed), found
+    assert sum(wrong.values()) <= 0.03 * 40 * len(plain), wrong
     assert secrets.field_spans("nothing 12 here", f, []) == []
 
 
+def test_base_spans_stay_and_are_not_doubled():
+    f, rng = trained(), random.Random(2)
+    for t in sample(5, 200):
+        text = f"{t} {chars(rng, 40)} end"
+        base = secrets.base_spans(text)
+        spans = secrets.field_spans(text, f, base)
+        assert all(b <= x or a >= y for a, b, _ in spans for x, y, _ in base)
+
+
+def test_chunks_decode_as_the_whole_text_and_in_linear_time():
+    f = trained()
+    text = " ".join(sample(6, 40))
+    alone = [(a, b) for a, b, _ in secrets.field_spans(text, f, [])]
+    spread = text.replace(" ", "  \n")
+    assert len(secrets.field_spans(spread, f, [])) == len(alone) > 0
+    began = time.time()
+    many = 'token = "0123456789abcdef01234567" ' * 20_000
+    base = secrets.base_spans(many)
+    assert len(base) == 40_000 and secrets.field_spans(many, f, base) == [] and time.time() - began < 90
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "s"), (2, "", None), (3, "x " * 100_000 + "password=abcdef1", None), (4, "a" * 200_000 + "1", None), (5, "token: abcdef", None), (5, "token: abcdef", None), (None, "é token: abcdef", None)]
     out = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string"), field()).collect()
@@ -87,6 +169,11 @@ def test_edge_rows(spark):
     assert secrets.learn(spark.createDataFrame(rows[:2], "doc_id long, text string, spans string")) is None
 
 
+def test_ids_beside_nulls(spark):
+    docs = spark.createDataFrame([(9007199254740993, "a"), (None, "b")], "doc_id long, text string")
+    assert {r["doc_id"] for r in secrets.scan(docs, None).collect()} == {9007199254740993, None}
+
+
 def test_redaction():
     assert secrets.redacted('set token = "abcdef123" now', None, "<S>") == 'set token = "<S>" now'
     assert secrets.redacted("plain", None, "<S>") == "plain" and secrets.redacted(None, None, "<S>") is None
