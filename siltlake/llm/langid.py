@@ -36,6 +36,8 @@ CALIBRATION = 0.2
 REJECT_Z = 8.0
 #: Nats a character beyond the language's mean that are never rejected.
 REJECT_LEAST = 1.2
+#: Characters of the texts whose words a worker looks up together, but for a longer text.
+TOGETHER = 300_000
 START, END = "\u0002", "\u0003"
 #: Words of letters alone; letters next to digits, as in keys, say nothing about a language.
 WORD = re.compile(r"\b[^\W\d_]+\b")
@@ -134,12 +136,13 @@ class Model:
         self.first = np.append(first, len(hashes))
         self.mean, self.spread, self.noise = np.full(len(parts), np.inf), np.ones(len(parts)), np.ones(len(parts))
 
-    def _rows(self, place: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """place, language and row for each language that knows the n-gram wanted at a place."""
+    def _rows(self, place: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The flat place of each place and language that knows the n-gram wanted there, and its row."""
         met, at = rows_of(self.hashes, wanted)
-        low, n = self.first[at[met]], self.first[at[met] + 1] - self.first[at[met]]
+        at = at[met]
+        low, n = self.first[at], self.first[at + 1] - self.first[at]
         row = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(place[met], n), self.lang[row], row
+        return np.repeat(place[met] * len(self.langs), n) + self.lang[row], row
 
     def spell(self, words: list[str]) -> np.ndarray:
         """Log-probability of each word in each language, and in the last column its characters."""
@@ -149,22 +152,24 @@ class Model:
         length = np.diff(np.append(starts, len(codes)))
         place = np.arange(len(codes)) - np.repeat(starts, length)
         hashes = [None, *(gram_hashes(codes, n) for n in range(1, self.order + 1))]
-        got = np.zeros((len(codes), len(self.langs)), np.float32)
-        todo = np.zeros(got.shape, bool)
-        todo[place > 0] = True
+        width = len(self.langs)
+        # Flat over places and languages: what is spelled so far, and whether a place is still to be spelled.
+        got, todo = np.zeros(len(codes) * width, np.float32), np.repeat(place > 0, width)
         for n in range(self.order, 0, -1):
-            now = np.flatnonzero((place >= max(1, n - 1)) & todo.any(axis=1))
-            at, lang, row = self._rows(now, hashes[n][now])
-            new = todo[at, lang]
-            at, lang, row = at[new], lang[new], row[new]
-            got[at, lang] += self.logp[row]
-            todo[at, lang] = False
+            now = np.flatnonzero((place >= max(1, n - 1)) & todo.reshape(-1, width).any(axis=1))
+            at, row = self._rows(now, hashes[n][now])
+            new = todo[at]
+            at, row = at[new], row[new]
+            got[at] += self.logp[row]
+            todo[at] = False
             if n > 1:
-                at, lang, row = self._rows(now, hashes[n - 1][now - 1])
-                new = todo[at, lang]
-                got[at[new], lang[new]] += self.back[row[new]]
-        got += todo * self.missing
-        out = np.zeros((len(words), len(self.langs) + 1), np.float32)
+                now = now[todo.reshape(-1, width)[now].any(axis=1)]
+                at, row = self._rows(now, hashes[n - 1][now - 1])
+                new = todo[at]
+                got[at[new]] += self.back[row[new]]
+        got = got.reshape(-1, width)
+        got += todo.reshape(-1, width) * self.missing
+        out = np.zeros((len(words), width + 1), np.float32)
         out[:, :-1] = np.add.reduceat(got, starts, axis=0)
         out[:, -1] = length - 1
         return out
@@ -181,22 +186,36 @@ class Model:
 
 
 def scorer(model: Model):
-    """lang_pred, score, cross_entropy and rejected of a text."""
+    """lang_pred, score, cross_entropy and rejected of each of a list of texts; words of some texts are looked up together."""
     known = WordTable(model.spell, len(model.langs) + 1, np.float32)
 
-    def score(text: str | None) -> tuple[str, float, float | None, bool]:
+    def score(texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
+        out: list[tuple] = [("und", 0.0, None, True)] * len(texts)
+        found, chars = [], 0
+        for i, text in enumerate(texts):
+            low = text.lower() if text else ""
+            words = WORD.findall(low) or LETTERS.findall(low)
+            if words and any(map(str.isalpha, text)):
+                found.append((i, words))
+                chars += len(text)
+            if found and (chars > TOGETHER or i == len(texts) - 1):
+                for (k, _), row in zip(found, verdicts([words for _, words in found])):
+                    out[k] = row
+                found, chars = [], 0
+        return out
+
+    def verdicts(spelled: list[list[str]]) -> Iterator[tuple[str, float, float, bool]]:
         known.room()
-        low = text.lower() if text else ""
-        words = WORD.findall(low) or LETTERS.findall(low)
-        if not words or not any(map(str.isalpha, text)):
-            return "und", 0.0, None, True
-        *total, n = known.take(words).sum(axis=0, dtype=np.float64)
-        entropy = -np.array(total) / n
-        best = int(entropy.argmin())
-        sure = 1 / np.exp((entropy[best] - entropy) * min(n, 40)).sum()
-        over = entropy[best] - model.mean[best]
-        limit = max(REJECT_LEAST, REJECT_Z * max(model.spread[best], model.noise[best] / np.sqrt(n)))
-        return model.langs[best], float(sure), float(entropy[best]), bool(over > limit)
+        at = known.indexes([w for words in spelled for w in words])
+        starts = np.cumsum([0, *map(len, spelled[:-1])])
+        sums = np.add.reduceat(known.rows[at], starts, axis=0, dtype=np.float64)
+        n, entropy = sums[:, -1], -sums[:, :-1] / sums[:, -1:]
+        best = entropy.argmin(axis=1)
+        least = entropy.min(axis=1)
+        sure = 1 / np.exp((least[:, None] - entropy) * np.minimum(n, 40)[:, None]).sum(axis=1)
+        limit = np.maximum(REJECT_LEAST, REJECT_Z * np.maximum(model.spread[best], model.noise[best] / np.sqrt(n)))
+        rejected = least - model.mean[best] > limit
+        return zip([model.langs[b] for b in best.tolist()], sure.tolist(), least.tolist(), rejected.tolist())
 
     return score
 
