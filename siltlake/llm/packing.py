@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import SLICE, arrays, cut, shape, table, texts
+from siltlake.llm.common import SLICE, arrays, cut, release, shape, table, texts
 
 #: Name of the public vocabulary.
 VOCABULARY = "word_bpe_49k.json"
@@ -38,7 +38,7 @@ END_ID = 1
 #: Pieces a shard holds on average: the bound on what one task packs at once.
 SHARD = 8_000
 #: Characters of distinct chunks, and of parts of chunks, whose ids a worker remembers; longer ones than LONG are not remembered.
-CHUNKS, PARTS, LONG = 1_500_000, 2_500_000, 200
+CHUNKS, PARTS, LONG = 1_200_000, 1_500_000, 200
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -136,6 +136,8 @@ def cut_batches(tokenizer: str | None, capacity: int, with_ids: bool):
                 made = [part["doc_id"].take(pa.array(of, pa.int32())), *arrays(out, columns)]
                 names = ["doc_id", *columns.names]
                 yield pa.RecordBatch.from_arrays(made + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
+        del encoder
+        release()
 
     return run
 
@@ -238,9 +240,12 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
     gain first. Each exchange raises the sum of squared fills, so the search ends. Empty bins go. Where the
     tokens need as many bins as there are, nothing is to be gained.
     """
-    b = Bins(bins, lengths, capacity)
+    if len(bins) <= -(-sum(lengths[i] for b in bins for i in b) // capacity):
+        return bins
+    full = [b for b in bins if sum(lengths[i] for i in b) == capacity]
+    b = Bins([b for b in bins if sum(lengths[i] for i in b) < capacity], lengths, capacity)
     least = -(-int(b.fill.sum()) // capacity)
-    live = [k for k in range(len(bins)) if b.fill[k]]
+    live = [k for k in range(len(b.held)) if b.fill[k]]
     changed = True
     while changed and len(live) > least:
         changed = False
@@ -258,7 +263,7 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
                 changed = True
                 if not b.fill[poor]:
                     live.remove(poor)
-    return [[i for places in b.held[k].values() for i in places] for k in live]
+    return full + [[i for places in b.held[k].values() for i in places] for k in live]
 
 
 def pack_shard(capacity: int, last: bool):
