@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,9 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words a Python worker remembers before it starts afresh.
-WORD_CACHE = 250_000
+WORD_CACHE = 150_000
 #: New words that a worker looks at together.
 BLOCK = 4096
+#: Rows of an Arrow batch.
+BATCH = 1000
 #: Rows whose texts a worker holds as Python strings at once.
 SLICE = 500
 #: Arrow types of the types in a schema's text.
@@ -32,6 +35,7 @@ def held_out(doc_id: Column) -> Column:
 
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, so that extra columns never reach a Python worker."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
@@ -44,8 +48,34 @@ def arrays(rows: list[tuple], columns: pa.Schema) -> list[pa.Array]:
     return [pa.array(values, f.type) for values, f in zip(zip(*rows), columns)] if rows else [pa.array([], f.type) for f in columns]
 
 
-def per_text(docs: DataFrame, begin: Callable[[], Callable[[str | None], tuple]], ddl: str, more: dict[str, pa.DataType] | None = None, beside: str = "doc_id long") -> DataFrame:
-    """The columns of docs named beside, and in those of ddl what the function that begin gives makes of each text.
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the rows of an Arrow batch where the session has Spark's own number: buffers on both sides of a worker's pipe stay small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH))
+
+
+def release() -> None:
+    """Gives memory that a task has freed back to the system, as a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def each(begin: Callable[[], Callable[[str | None], tuple]]) -> Callable[[], Callable[[list[str | None]], list[tuple]]]:
+    """For per_text: applies what begin gives to one text after another."""
+
+    def many() -> Callable[[list[str | None]], list[tuple]]:
+        of = begin()
+        return lambda values: [of(t) for t in values]
+
+    return many
+
+
+def per_text(docs: DataFrame, begin: Callable[[], Callable[[list[str | None]], list[tuple]]], ddl: str, more: dict[str, pa.DataType] | None = None, beside: str = "doc_id long") -> DataFrame:
+    """The columns of docs named beside, and in those of ddl what the function that begin gives makes of a list of texts.
 
     begin runs once a task. Ids never leave Arrow, so a null beside them changes none of them.
     """
@@ -56,9 +86,12 @@ def per_text(docs: DataFrame, begin: Callable[[], Callable[[str | None], tuple]]
         for batch in batches:
             for k in range(0, batch.num_rows, SLICE):
                 part = batch.slice(k, SLICE)
-                made = arrays([of(t) for t in part["text"].to_pylist()], columns)
+                made = arrays(of(part["text"].to_pylist()), columns)
                 yield pa.RecordBatch.from_arrays([*(part[n] for n in names), *made], [*names, *columns.names])
+        del of
+        release()
 
+    small_batches(docs.sparkSession)
     return docs.select(*names, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{beside}, {ddl}")
 
 

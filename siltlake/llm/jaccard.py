@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, cut, groups, per_text, rolled, table, texts
+from siltlake.llm.common import WordTable, cut, each, groups, per_text, release, rolled, table, texts
 
 SHINGLE, SIMILARITY = 5, 0.8
 COORDINATES = 64
@@ -307,6 +307,8 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named = lambda x: pa.array([cls[at[i]] for i in x], pa.binary())
         if len(some):
             yield pa.RecordBatch.from_arrays([named(some.tolist()), pa.array(linked[some].sum(axis=1), pa.int64()), named(root)], ["cls", "links", "root"])
+        del rows, sets, linked
+    release()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -378,7 +380,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
     """Rows of docs with doc_id, key and cls, and for each cls its first row (top), n_copies, n_links and component."""
     rows = keyed(docs)
-    signed = cut(per_text(rows, signer, SIGNED, beside="doc_id long, key binary"))
+    signed = cut(per_text(rows, each(signer), SIGNED, beside="doc_id long, key binary"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("top")
     distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(first, F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
     near = cut(components(candidates(distinct, recall)))
@@ -386,7 +388,7 @@ def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
     sizes = near.groupBy("component").agg(F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES)).alias("blocks"))
     members = near.join(sizes, "component").select("cls", F.col("top.doc_id").alias("of"), F.col("top.key").alias("key"), "component", "blocks")
     found = rows.join(members, (rows["key"] == members["key"]) & rows["doc_id"].eqNullSafe(members["of"])).select("text", "cls", "component", "blocks")
-    sets = per_text(found, set_maker, "made binary, shingles binary", beside="cls binary, component binary, blocks double").where("made = cls")
+    sets = per_text(found, each(set_maker), "made binary, shingles binary", beside="cls binary, component binary, blocks double").where("made = cls")
     units = in_blocks(sets, "component", F.col("blocks")).select("unit", "cls", "part", "cross", "shingles")
     counted = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(count_links, "cls binary, links long, root binary"))
     links = counted.groupBy("cls").agg(F.sum("links").alias("n_links"))

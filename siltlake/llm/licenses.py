@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm.common import per_text, table, texts
+from siltlake.llm.common import each, per_text, table, texts
 from siltlake.llm.license_rules import RULES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -115,7 +115,7 @@ class Scanner:
 
 def scan(docs: DataFrame) -> DataFrame:
     """Counts, labels and detections for every row of docs."""
-    return per_text(texts(docs), lambda: Scanner().scan, SCHEMA, ARROW)
+    return per_text(texts(docs), each(lambda: Scanner().scan), SCHEMA, ARROW)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from siltlake.llm import decontaminate, jaccard, langid, packing, secrets
-from siltlake.llm.common import SLICE, remove, scratch, table
+from siltlake.llm.common import SLICE, release, remove, scratch, small_batches, table
 
 REDACTED = "<SECRET>"
 #: SQL cannot express trained models, fingerprints and packing; tests hold the stages against brute force.
@@ -38,8 +38,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, SLICE):
                 part = batch.slice(k, SLICE)
-                yield part.filter(pa.array([not of(t)[3] for t in part["text"].to_pylist()], pa.bool_()))
+                yield part.filter(pa.array([not r[3] for r in of(part["text"].to_pylist())], pa.bool_()))
+        del of
+        release()
 
+    small_batches(spark)
     return docs.mapInArrow(keep, docs.schema)
 
 
@@ -71,7 +74,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                 if lengths:
                     columns["n_chars"] = pa.array(lengths, part.schema.field("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=part.schema.names)
+        release()
 
+    small_batches(spark)
     return docs.mapInArrow(redact, docs.schema)
 
 

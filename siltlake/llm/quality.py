@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, cut, mixed, per_text, rolled, table, texts
+from siltlake.llm.common import WordTable, cut, each, mixed, per_text, rolled, table, texts
 
 #: Names of the public vocabularies: with byte fallback, and byte-level.
 VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_50k.tiktoken")
@@ -195,7 +195,7 @@ def judged(measured: DataFrame, bands: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame, vocabularies: tuple[str, str] | None = None) -> DataFrame:
     """Counts, measures and verdict for every row of docs. vocabularies are two files' places, the public ones' if not given."""
-    measured = cut(per_text(texts(docs), lambda: scorer(vocabularies), SCHEMA))
+    measured = cut(per_text(texts(docs), each(lambda: scorer(vocabularies)), SCHEMA))
     return judged(measured, bands_of(measured))
 
 

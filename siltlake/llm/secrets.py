@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import fraction, held_out, per_text, table, texts
+from siltlake.llm.common import each, fraction, held_out, per_text, table, texts
 
 #: Expected number of documents with digits to learn from, and of chunks taken from each, by hash: the bound on the sample.
 TRAIN_DOCS, TRAIN_CHUNKS = 2_000, 12
@@ -393,7 +393,7 @@ def scanner(field: Field | None):
 
 def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     """Counts and spans for every row of docs."""
-    return per_text(texts(docs), lambda: scanner(field), SCHEMA)
+    return per_text(texts(docs), each(lambda: scanner(field)), SCHEMA)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

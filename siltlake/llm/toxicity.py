@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import cut, fraction, held_out, per_text, table, texts
+from siltlake.llm.common import cut, each, fraction, held_out, per_text, table, texts
 
 #: Expected number of labelled documents to learn from: the bound on the sample.
 TRAIN_DOCS = 20_000
@@ -218,7 +218,7 @@ def scorer(lexicon: Lexicon):
 
 def toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Score and matched terms for every row of docs."""
-    return per_text(texts(docs), lambda: scorer(lexicon), SCHEMA)
+    return per_text(texts(docs), each(lambda: scorer(lexicon)), SCHEMA)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
