@@ -2,8 +2,9 @@
 
 Each takes the target as it is and the incoming batch and returns the target as it becomes, so the
 same code serves batch jobs, foreachBatch and tests. Sources are expected to have one row per key
-(see dedup.latest); run_at is the run's one timestamp. Columns are matched by name; those that one
-side lacks are null there.
+(see dedup.latest); run_at is the run's one timestamp. Columns are matched by name, whatever its case; those that one
+side lacks are null there, and a side with two names that differ in case alone is an error. A null key is a
+key like any other, so that a batch merged again changes nothing.
 """
 
 from __future__ import annotations
@@ -17,12 +18,27 @@ from siltlake.functions.exprs import HIGH_DATE
 from siltlake.functions.names import AUDIT, payload
 
 
+def by_lower_case(df: DataFrame) -> dict[str, str]:
+    """Column names by their lower case."""
+    out: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in out:
+            raise ValueError(f"columns {out[c.lower()]} and {c} differ in case alone")
+        out[c.lower()] = c
+    return out
+
+
 def aligned(target: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both with the columns of either, the target's first; new ones are null."""
-    kinds = {f.name: f.dataType for f in source.schema} | {f.name: f.dataType for f in target.schema}
-    names = target.columns + [c for c in source.columns if c.lower() not in {t.lower() for t in target.columns}]
-    pad = lambda df: df.select(*[F.col(c).cast(kinds[c]) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in names])
-    return pad(target), pad(source)
+    """Both with the columns of either under the target's names, the target's first; new ones are null."""
+    mine, theirs = by_lower_case(target), by_lower_case(source)
+    kinds = {f.name.lower(): f.dataType for f in source.schema} | {f.name.lower(): f.dataType for f in target.schema}
+    names = theirs | mine
+    order = [*mine, *(c for c in theirs if c not in mine)]
+
+    def pad(df: DataFrame, own: dict[str, str]) -> DataFrame:
+        return df.select(*[(F.col(f"`{own[c]}`") if c in own else F.lit(None)).cast(kinds[c]).alias(names[c]) for c in order])
+
+    return pad(target, mine), pad(source, theirs)
 
 
 def differs(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -36,12 +52,12 @@ def differs(left: str, right: str, columns: Sequence[str]) -> Column:
 def on_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     out = F.lit(True)
     for k in keys:
-        out = out & (F.col(f"{left}.{k}") == F.col(f"{right}.{k}"))
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
     return out
 
 
 def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column, Column]:
-    """Full outer join as t and s, and whether a row has either side. Null keys match nothing."""
+    """Full outer join as t and s, and whether a row has either side."""
     met = target.withColumn("__t", F.lit(True)).alias("t").join(source.withColumn("__s", F.lit(True)).alias("s"), on_keys("t", "s", keys), "full_outer")
     return met, F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
 
@@ -88,7 +104,7 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str,
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows replace those of their keys; the rest stays."""
     target, source = aligned(target, source)
-    return target.join(source.select(*keys), list(keys), "left_anti").select(target.columns).unionByName(source)
+    return target.alias("t").join(source.select(*keys).alias("s"), on_keys("t", "s", keys), "left_anti").unionByName(source)
 
 
 def append(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -102,9 +118,9 @@ def delta(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str], st
         return incoming
     stamped = stamp in incoming.columns and stamp in target.columns
     kept = [*keys, *([stamp] if stamped else []), *([enriched] if enriched and enriched in target.columns else [])]
-    known = target.select(*[F.col(c).alias(f"__{c}") for c in kept])
-    same = [incoming[k] == known[f"__{k}"] for k in keys]
-    pick = F.col(f"__{keys[0]}").isNull()
+    known = target.select(*[F.col(c).alias(f"__{c}") for c in kept], F.lit(True).alias("__known"))
+    same = [incoming[k].eqNullSafe(known[f"__{k}"]) for k in keys]
+    pick = F.col("__known").isNull()
     if stamped:
         pick = pick | (F.col(stamp) > F.col(f"__{stamp}"))
     if enriched and enriched in target.columns:
@@ -117,8 +133,8 @@ def changed(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str])
     if target is None:
         return incoming
     content = [c for c in payload(incoming.columns, list(keys)) if c in target.columns]
-    met = incoming.alias("s").join(target.alias("t"), on_keys("s", "t", keys), "left")
-    return met.where(F.col(f"t.{keys[0]}").isNull() | differs("s", "t", content)).select("s.*")
+    met = incoming.alias("s").join(target.withColumn("__known", F.lit(True)).alias("t"), on_keys("s", "t", keys), "left")
+    return met.where(F.col("t.__known").isNull() | differs("s", "t", content)).select("s.*")
 
 
 STRATEGIES = {"scd1": scd1, "scd2": scd2, "upsert": scd1, "merge_into": scd1}

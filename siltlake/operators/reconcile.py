@@ -15,15 +15,20 @@ from siltlake.functions.names import sanitise, timestamp_like
 def reconcile(df: DataFrame, target: T.StructType) -> DataFrame:
     """Target columns in their order, then extra ones.
 
-    Columns are matched by sanitised name; timestamp columns are conformed to text, other columns cast
-    to the target's type; columns that df lacks are null; extra columns are kept.
+    Columns are matched by name, else by sanitised name, the first of several that share one; timestamp columns are conformed to
+    text, other columns cast to the target's type; columns that df lacks are null; extra columns are kept
+    under their sanitised names, with a number where one is taken.
     """
     by_name: dict[str, str] = {}
     for c in df.columns:
-        by_name.setdefault(sanitise(c), c)
+        name, n = sanitise(c), 2
+        while name in by_name:
+            name, n = f"{sanitise(c)}_{n}", n + 1
+        by_name[name] = c
+    exact = {c: n for n, c in by_name.items()}
     out = []
     for f in target:
-        source = by_name.pop(f.name if f.name in df.columns else sanitise(f.name), None)
+        source = by_name.pop(exact.get(f.name, sanitise(f.name)), None)
         if source is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif timestamp_like(f.name, f.dataType):

@@ -75,5 +75,6 @@ def merged_mart(built: DataFrame, target: DataFrame | None, mart: Mart, run_at:
     if target is None:
         return rows
     kept = target.select(*mart.keys, F.col("_inserted_at").alias("__first"))
-    rows = rows.join(kept, list(mart.keys), "left").withColumn("_inserted_at", F.coalesce("__first", "_inserted_at")).drop("__first")
+    met = rows.alias("s").join(kept.alias("t"), merge.on_keys("s", "t", mart.keys), "left")
+    rows = met.select(*[F.col(f"s.{c}") for c in rows.columns if c != "_inserted_at"], F.coalesce("t.__first", "s._inserted_at").alias("_inserted_at"))
     return merge.upsert(target, rows, mart.keys)
