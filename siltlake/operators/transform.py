@@ -19,7 +19,10 @@ from siltlake.functions.exprs import HIGH_DATE, std_timestamp, yes_no
 from siltlake.functions.names import AUDIT
 
 #: Metadata columns of the landing zone, and where a delete flag may stand.
-METADATA = ("_source_system", "_table_name", "_execution_id", "_ingested_at")
+METADATA = (
+    "_raw_data", "_ingest_timestamp", "_extracted_at", "_batch_id", "_source_system", "_source_table", "_file_name", "_file_path", "_row_num",
+    "_ingested_at", "_table_name", "_execution_id", "_raw_payload",
+)
 DELETED = ("_is_deleted", "sys_is_deleted", "is_deleted", "deleted")
 
 
@@ -41,6 +44,13 @@ class Transform:
     external: Sequence[str] = ()
 
 
+def schema_lines(df: DataFrame) -> list[str]:
+    """A line for each column, payload before audit columns: what a run logs of a batch's schema."""
+    kinds = dict(df.dtypes)
+    payload = [c for c in df.columns if c not in AUDIT]
+    return [f"{len(df.columns)} columns, {len(payload)} of them payload"] + [f"{c}: {kinds[c]}" for c in [*payload, *(c for c in df.columns if c in AUDIT)]]
+
+
 def load_hook(path: str, name: str = "transform") -> Callable[..., DataFrame]:
     """The function of that name in a Python file."""
     spec = importlib.util.spec_from_file_location("siltlake_hook", path)
