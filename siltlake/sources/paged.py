@@ -7,6 +7,8 @@ use in-memory ones and deployments real HTTP ones.
 
 from __future__ import annotations
 
+import base64
+import gzip
 import json
 import time
 import urllib.error
@@ -26,7 +28,10 @@ Fetch = Callable[[dict[str, Any]], dict[str, Any]]
 
 @dataclass
 class OffsetPages:
-    """Pages by offset (or number, if step is 1) until one is short."""
+    """Pages by offset, or by number, until one is short or the share's last page is read.
+
+    A share names the offset (or number) of its first and of its last page; what else it has goes into the query.
+    """
 
     fetch: Fetch
     size: int = 1000
@@ -35,14 +40,22 @@ class OffsetPages:
     numbered: bool = False
 
     def rows(self, share: dict[str, Any]) -> Iterator[dict]:
-        at = share.get("first", 1 if self.numbered else 0)
-        while True:
-            page = self.fetch({**share, self.by: at, "limit": self.size}).get(self.records) or []
+        at, last = share.get("first", 1 if self.numbered else 0), share.get("last")
+        query = {k: v for k, v in share.items() if k not in ("first", "last")}
+        while last is None or at <= last:
+            page = self.fetch({**query, self.by: at, "limit": self.size}).get(self.records) or []
             yield from page
             if len(page) < self.size:
                 return
             at += 1 if self.numbered else self.size
 
+    def shares(self, pages: int, each: int) -> list[dict[str, Any]]:
+        """Shares of so many pages each for a service that has so many pages; the last one has no end, for pages that came since."""
+        step, start = (1, 1) if self.numbered else (self.size, 0)
+        out = [{"first": start + k * step, "last": start + (k + each - 1) * step} for k in range(0, pages, each)] or [{}]
+        out[-1].pop("last", None)
+        return out
+
 
 @dataclass
 class CursorPages:
@@ -81,11 +94,16 @@ def time_windows(low: datetime, high: datetime, days: int, now: datetime | None
 
 @dataclass
 class HttpJson:
-    """GET with basic retries: 429 by Retry-After, 5xx with growing waits, 401 once with a new token."""
+    """GET with retries: 429 by Retry-After, 5xx with growing waits, 401 once with a new token. Answers may be gzipped.
+
+    The token goes into the header named auth under the scheme, as `Bearer`; basic() and api_key() make the headers
+    of services without tokens.
+    """
 
     url: str
     token: Callable[[bool], str] | None = None
     tries: int = 6
+    busy_tries: int = 10
     headers: dict[str, str] = field(default_factory=dict)
     pause: Callable[[float], None] = time.sleep
 
@@ -93,22 +111,34 @@ class HttpJson:
         from urllib.parse import urlencode
 
         url = query["cursor"] if str(query.get("cursor", "")).startswith("http") else f"{self.url}?{urlencode(query)}"
-        fresh = False
-        for n in range(self.tries):
-            headers = dict(self.headers) | ({"Authorization": f"Bearer {self.token(fresh)}"} if self.token else {})
+        fresh, failed, busy = False, 0, 0
+        while failed < self.tries and busy < self.busy_tries:
+            headers = {"Accept-Encoding": "gzip"} | self.headers | ({"Authorization": f"Bearer {self.token(fresh)}"} if self.token else {})
             try:
                 with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=60) as r:
-                    return json.load(r)
+                    body = r.read()
+                    return json.loads(gzip.decompress(body) if body[:2] == b"\x1f\x8b" else body)
             except urllib.error.HTTPError as e:
                 if e.code == 401 and self.token and not fresh:
                     fresh = True
                 elif e.code == 429:
+                    busy += 1
                     self.pause(float(e.headers.get("Retry-After") or 60))
                 elif e.code >= 500:
-                    self.pause(min(60, 2**n))
+                    self.pause(min(60, 2**failed))
+                    failed += 1
                 else:
                     raise
-        raise ConnectionError(f"{url}: no answer after {self.tries} tries")
+        raise ConnectionError(f"{url}: no answer after {failed} failures and {busy} times busy")
+
+
+def basic(user: str, password: str) -> dict[str, str]:
+    """Headers of basic authentication."""
+    return {"Authorization": "Basic " + base64.b64encode(f"{user}:{password}".encode()).decode()}
+
+
+def api_key(key: str, header: str = "X-API-Key") -> dict[str, str]:
+    return {header: key}
 
 
 @dataclass
@@ -163,6 +193,9 @@ class PagedReader(DataSourceReader):
 
 def read_paged(spark: SparkSession, pages: Any, schema: T.StructType | str, shares: list[dict[str, Any]] | None = None) -> DataFrame:
     """A service's records under the schema; every share (a time window, a page range) is read by a task of its own."""
+    open_ended = [s for s in shares or [] if "first" in s and "last" not in s]
+    if len(open_ended) > 1 or any(s["first"] < o["first"] and s.get("last", s["first"]) >= o["first"] for o in open_ended for s in shares or [] if "first" in s):
+        raise ValueError("of shares by page only the last may be without an end, as others would read its rows too")
     source = type("Source", (PagedSource,), {"pages": pages, "shares": shares or [{}], "name": classmethod(lambda cls: "siltlake_paged")})
     spark.dataSource.register(source)
     return spark.read.format("siltlake_paged").load().select(F.from_json("record", schema).alias("r")).select("r.*")
