@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,12 @@ from pyspark.sql import types as T
 RECORD_KEYS = ("data", "records", "value", "entities")
 
 
-def csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",", encoding: str = "UTF-8", escape: str = "\\", **options) -> DataFrame:
-    """CSV or TSV as strings; fields may span lines; without a header columns are col_0, col_1, ..."""
-    df = spark.read.options(header=header, sep=sep, multiLine=True, escape=escape, encoding=encoding, inferSchema=False, **options).csv(path)
+def csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",", encoding: str = "UTF-8", escape: str = "\\", multiline: bool = True, **options) -> DataFrame:
+    """CSV or TSV as strings; without a header columns are col_0, col_1, ...
+
+    Fields may span lines, for which a task reads a file whole; with multiline off, large files are split among tasks.
+    """
+    df = spark.read.options(header=header, sep=sep, multiLine=multiline, escape=escape, encoding=encoding, inferSchema=False, **options).csv(path)
     return df if header else df.toDF(*[f"col_{i}" for i in range(len(df.columns))])
 
 
@@ -42,10 +45,18 @@ def parquet(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def text_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """line_number from 1 within each file, line_content and source_file."""
-    df = spark.read.options(**options).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.regexp_replace("value", r"\r\n|\r", "\n").alias("value"))
-    lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n")
-    return df.select("source_file", F.posexplode(lines).alias("n", "line_content")).select((F.col("n") + 1).alias("line_number"), "line_content", "source_file")
+    """line_number from 1 within each file, line_content and source_file.
+
+    Files are split among tasks: a line's place within its split is added to the lines of the file's splits before,
+    which one row a split tells.
+    """
+    lines = spark.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line_content")
+    )
+    splits = lines.groupBy("source_file", "split").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source_file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("source_file", "split", (before - F.col("first") + 1).alias("shift"))
+    return lines.join(starts, ["source_file", "split"]).select((F.col("id") + F.col("shift")).alias("line_number"), "line_content", "source_file")
 
 
 READERS = {"csv": csv, "json": json_records, "parquet": parquet, "text": text_lines}
