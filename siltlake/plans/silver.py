@@ -23,6 +23,8 @@ class Load:
     strategy: str = "scd1"
     earliest: bool = False
     watermark: str = "_ingested_at"
+    #: Buckets of keys the table is laid out in, so that a batch rewrites those it touches alone; 0 rewrites the table.
+    buckets: int = 0
     transform: transform.Transform = field(default_factory=transform.Transform)
 
     def __post_init__(self):
@@ -40,20 +42,27 @@ def conform(batch: DataFrame, load: Load, run_at: Column) -> DataFrame:
     return transform.run(one, load.transform, run_at, {"source": load.source, "table": load.table})
 
 
-def run(spark: SparkSession, landing: str, states: str, load: Load, run_at: str, full: bool = False) -> int:
-    """Loads what is new, then moves the watermark. A run that is repeated changes nothing. Returns the batch's rows."""
+def run(spark: SparkSession, landing: str, states: str, load: Load, run_at: str, full: bool = False) -> int | None:
+    """Loads what is new, then moves the watermark. A run that is repeated changes nothing.
+
+    Returns the batch's rows, or None where nothing has landed.
+    """
+    if not state.exists(spark, landing):
+        return None
     after = state.read_watermark(spark, states, load.source, load.table, full)
     batch = increment(spark.read.option("mergeSchema", True).parquet(landing), load.watermark, after)
-    top = state.next_watermark(batch, load.watermark)
+    top, n = state.next_watermark(batch, load.watermark)
     if top is None:
         return 0
     at = F.lit(run_at).cast("timestamp")
     name = f"tbl_{load.table}"
     renamed = load.transform.renames
     keys, order = [renamed.get(k, k) for k in load.keys], renamed.get(load.order[0], load.order[0])
-    merged = merge.apply(load.strategy, tables.current(spark, name), conform(batch, load, at), keys, order, at)
-    tables.replace(merged, name)
-    n = batch.count()
+    one, merged = conform(batch, load, at), lambda target, rows: merge.apply(load.strategy, target, rows, keys, order, at)
+    if load.buckets and load.strategy in merge.STRATEGIES:
+        tables.merge_touched(one, name, keys, merged, load.buckets)
+    else:
+        tables.replace(merged(tables.current(spark, name), one), name)
     state.write_watermark(spark, states, load.source, load.table, top, "SUCCESS", n, run_at)
     return n
 
@@ -63,7 +72,8 @@ def run_all(spark: SparkSession, root: str, states: str, loads: Sequence[Load],
     status = {}
     for load in loads:
         try:
-            status[load.table] = f"ok: {run(spark, f'{root}/{load.table}', states, load, run_at)} rows"
+            n = run(spark, f"{root}/{load.table}", states, load, run_at)
+            status[load.table] = "skipped: nothing landed" if n is None else f"ok: {n} rows"
         except Exception as e:
             status[load.table] = f"failed: {e}"
     if failed := {t: s for t, s in status.items() if s.startswith("failed")}:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,38 @@ def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     spark.sql(f"ALTER TABLE {aside} RENAME TO {name.split('.')[-1]}")
 
 
+#: Column of tables laid out in buckets of their keys.
+BUCKET = "_bucket"
+
+
+def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Callable[[DataFrame | None, DataFrame], DataFrame], buckets: int) -> None:
+    """Merges a batch into a table that is partitioned by buckets of its keys; only buckets that the batch touches are read and written.
+
+    merge(target or None, batch) gives the merged rows and keeps every key of the target. The buckets written are replaced
+    when the write commits. Columns that are new are added to the table. A table that exists without
+    buckets is laid out anew once.
+    """
+    spark = batch.sparkSession
+    of = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    target = current(spark, name)
+    if target is None or BUCKET not in target.columns:
+        replace(merge(target, batch).withColumn(BUCKET, of).repartition(BUCKET), name, [BUCKET])
+        return
+    touched = [r["b"] for r in batch.select(of.alias("b")).distinct().collect()]  # at most as many as there are buckets
+    merged = merge(target.where(F.col(BUCKET).isin(touched)).drop(BUCKET), batch)
+    known = {c.lower() for c in target.columns}
+    if new := [f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema if f.name.lower() not in known]:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+    rows = merged.withColumn(BUCKET, of).select(spark.table(name).columns).repartition(BUCKET)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+
+
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder that all executors share: in the checkpoint folder, or else in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 def restore(spark: SparkSession, name: str) -> None:
     """Puts <name>_old back where a replacement broke off between its two renames."""
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}_old"):

@@ -21,15 +21,20 @@ def landed(spark: SparkSession, path: str, schema: T.StructType, kind: str = "pa
     return reader.load(path)
 
 
-def merge_stream(stream: DataFrame, table: str, keys: Sequence[str], order: str, strategy: str, run_at: Column, checkpoint: str) -> StreamingQuery:
+def merge_stream(stream: DataFrame, table: str, keys: Sequence[str], order: str, strategy: str, run_at: Column, checkpoint: str, buckets: int = 0) -> StreamingQuery:
     """Merges everything that is new into a table and stops; the checkpoint holds what was read.
 
-    A batch that is merged again after a failure leaves the table as one merge does.
+    A batch that is merged again after a failure leaves the table as one merge does. With buckets, a batch
+    rewrites only the buckets of keys that it touches.
     """
 
     def one(batch: DataFrame, _: int) -> None:
         rows = dedup.latest(batch, keys, [order])
-        tables.replace(merge.apply(strategy, tables.current(batch.sparkSession, table), rows, keys, order, run_at), table)
+        merged = lambda target, new: merge.apply(strategy, target, new, keys, order, run_at)
+        if buckets:
+            tables.merge_touched(rows, table, keys, merged, buckets)
+        else:
+            tables.replace(merged(tables.current(batch.sparkSession, table), rows), table)
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
