@@ -25,6 +25,11 @@ def std_timestamp(value: Column) -> Column:
     return F.when(text.rlike(ISO), F.regexp_replace(text, ISO, "$1 $2")).otherwise(text)
 
 
+def sign_of(pattern: str) -> str:
+    """The sign that parts a format's date."""
+    return "/" if "/" in pattern else "-"
+
+
 def conform_timestamp(value: Column) -> Column:
     """Text in any known format, or epoch seconds or milliseconds, as `yyyy-MM-dd HH:mm:ss` text.
 
@@ -32,11 +37,13 @@ def conform_timestamp(value: Column) -> Column:
     """
     text = F.trim(value.cast("string"))
     iso = F.regexp_extract(text, ISO, 1)
+    # A format is tried on text of its shape alone: as long as it is, with its first sign where it stands.
+    fits = lambda f: (F.length(text) == len(f.replace("'", ""))) & (F.substring(text, f.find(sign_of(f)) + 1, 1) == sign_of(f))
     parsed = F.coalesce(
         F.when(iso != "", F.try_to_timestamp(F.regexp_replace(text, ISO, "$1 $2"), F.lit(FORMATS[0]))),
         F.when(text.rlike(r"^\d{13}$"), F.timestamp_millis(text.try_cast("bigint"))),
         F.when(text.rlike(r"^\d{10}$"), F.timestamp_seconds(text.try_cast("bigint"))),
-        *[F.try_to_timestamp(text, F.lit(f)) for f in FORMATS],
+        *[F.when(fits(f), F.try_to_timestamp(text, F.lit(f))) for f in FORMATS],
     )
     shown = F.coalesce(F.date_format(parsed, "yyyy-MM-dd HH:mm:ss"), text)
     return F.when(F.lower(text).isin(*NULL_LIKE), F.lit(None).cast("string")).otherwise(shown)
