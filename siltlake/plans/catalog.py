@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from siltlake.functions import exprs
 from siltlake.operators import dedup, flatten, merge, reconcile, tokens, transform, windows
 from siltlake.plans import marts
+from siltlake.sinks import tables
+from siltlake.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -132,22 +134,26 @@ def audit_flags(spark, read):
     return transform.audit(rows, "o_orderdate", at()).drop("o_orderdate", "deleted")
 
 
-# A base table and a batch, drawn from orders: three of four keys are in the base; of the batch's keys, one in five is changed
-# and newer, one changed and older, one equal, one deleted, and one new.
-BASE_SQL = "SELECT o_orderkey AS k, o_orderstatus AS v, o_custkey AS c, o_orderdate::TIMESTAMP AS stamp FROM orders WHERE o_orderkey % 4 <> 3"
-BATCH_SQL = """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'X' || o_orderstatus ELSE o_orderstatus END AS v, o_custkey AS c,
-  (o_orderdate + CASE o_orderkey % 5 WHEN 0 THEN INTERVAL 1 DAY WHEN 1 THEN INTERVAL (-1) DAY ELSE INTERVAL 0 DAY END)::TIMESTAMP AS stamp,
-  CASE WHEN o_orderkey % 5 = 3 THEN 'Y' ELSE 'N' END AS _is_deleted FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 5 = 0"""
+# A base table of all orders, and a batch of all orders and as many new ones under the keys' negatives: by priority an order is changed
+# and newer, changed and older, equal, or deleted.
+BASE_SQL = "SELECT o_orderkey AS k, o_orderstatus AS v, o_custkey AS c, o_orderdate::TIMESTAMP AS stamp FROM orders"
+BATCH_SQL = """SELECT side * o_orderkey AS k, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'X' || o_orderstatus ELSE o_orderstatus END AS v, o_custkey AS c,
+  (o_orderdate + CASE o_orderpriority WHEN '1-URGENT' THEN INTERVAL 1 DAY WHEN '2-HIGH' THEN INTERVAL (-1) DAY ELSE INTERVAL 0 DAY END)::TIMESTAMP AS stamp,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'Y' ELSE 'N' END AS _is_deleted FROM orders, (VALUES (1), (-1)) AS sides(side)"""
 
 
 def base(read):
-    return read("orders").where("o_orderkey % 4 <> 3").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_custkey").alias("c"), F.col("o_orderdate").cast("timestamp").alias("stamp"))
+    return read("orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_custkey").alias("c"), F.col("o_orderdate").cast("timestamp").alias("stamp"))
 
 
 def batch(read):
-    m = F.col("o_orderkey") % 5
-    rows = read("orders").where("o_orderkey % 2 = 1 OR o_orderkey % 5 = 0")
-    return rows.select(F.col("o_orderkey").alias("k"), F.when(m < 2, F.concat(F.lit("X"), "o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("v"), F.col("o_custkey").alias("c"), (F.col("o_orderdate").cast("timestamp") + F.when(m == 0, F.expr("INTERVAL 1 DAY")).when(m == 1, F.expr("INTERVAL -1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))).alias("stamp"), F.when(m == 3, "Y").otherwise("N").alias("_is_deleted"))
+    p = F.col("o_orderpriority")
+    later = F.when(p == "1-URGENT", F.expr("INTERVAL 1 DAY")).when(p == "2-HIGH", F.expr("INTERVAL -1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    rows = read("orders").withColumn("k", F.explode(F.array("o_orderkey", -F.col("o_orderkey"))))
+    return rows.select(
+        "k", F.when(p.isin("1-URGENT", "2-HIGH"), F.concat(F.lit("X"), "o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("v"), F.col("o_custkey").alias("c"),
+        (F.col("o_orderdate").cast("timestamp") + later).alias("stamp"), F.when(p == "3-MEDIUM", "Y").otherwise("N").alias("_is_deleted"),
+    )
 
 
 def audited_base(read):
@@ -177,9 +183,9 @@ def gold_upsert(spark, read):
     return merge.upsert(base(read), batch(read).drop("_is_deleted"), ["k"])
 
 
-@query(f"WITH t AS ({BASE_SQL}), s AS ({BATCH_SQL}) SELECT s.k, s.v, s.c, s.stamp AS _updated_at FROM s LEFT JOIN t ON s.k = t.k WHERE t.k IS NULL OR s.stamp > t.stamp OR t.k % 7 = 0")
+@query(f"WITH t AS ({BASE_SQL}), s AS ({BATCH_SQL}) SELECT s.k, s.v, s.c, s.stamp AS _updated_at FROM s LEFT JOIN t ON s.k = t.k WHERE t.k IS NULL OR s.stamp > t.stamp OR t.v = 'P'")
 def incremental_delta(spark, read):
-    target = base(read).select("k", F.col("stamp").alias("_updated_at"), F.when(F.col("k") % 7 != 0, F.lit("x")).alias("enriched"))
+    target = base(read).select("k", F.col("stamp").alias("_updated_at"), F.when(F.col("v") != "P", F.lit("x")).alias("enriched"))
     return merge.delta(batch(read).select("k", "v", "c", F.col("stamp").alias("_updated_at")), target, ["k"], enriched="enriched")
 
 
@@ -188,10 +194,49 @@ def changed_rows(spark, read):
     return merge.changed(batch(read).select("k", "v", "c"), base(read).select("k", "v", "c"), ["k"])
 
 
-@query("SELECT p_partkey, p_name, p_brand, NULL::INTEGER AS p_size FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_name, NULL, p_size FROM part WHERE p_partkey % 2 = 1")
+@query("SELECT p_partkey, p_name, p_brand, NULL::INTEGER AS p_size FROM part UNION ALL SELECT -p_partkey, p_name, NULL, p_size FROM part")
 def append_evolve(spark, read):
     rows = read("part")
-    return merge.append(rows.where("p_partkey % 2 = 0").select("p_partkey", "p_name", "p_brand"), rows.where("p_partkey % 2 = 1").select("p_size", "p_partkey", "p_name"))
+    return merge.append(rows.select("p_partkey", "p_name", "p_brand"), rows.select("p_size", (-F.col("p_partkey")).alias("p_partkey"), "p_name"))
+
+
+@query("SELECT p_partkey, p_name, NULL::INTEGER AS Size FROM part UNION ALL SELECT -p_partkey, p_brand, p_size FROM part")
+def append_mixed_case(spark, read):
+    rows = read("part")
+    return merge.append(rows.select("p_partkey", "p_name"), rows.select(F.col("p_size").alias("Size"), F.col("p_brand").alias("P_Name"), (-F.col("p_partkey")).alias("P_PARTKEY")))
+
+
+@query("SELECT nullif(c_mktsegment, 'BUILDING') AS segment, c_nationkey, 2 * count(*) AS n FROM customer GROUP BY ALL")
+def upsert_null_keys(spark, read):
+    """A batch with null keys, merged twice: the second time changes nothing."""
+    target = read("customer").groupBy(F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"), "c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    changes = target.withColumn("n", 2 * F.col("n"))
+    once = merge.upsert(target, changes, ["segment", "c_nationkey"])
+    return merge.upsert(once, changes, ["segment", "c_nationkey"])
+
+
+@query("""SELECT nullif(c_mktsegment, 'BUILDING') AS segment, count(*) AS n, TIMESTAMP '2024-01-01 00:00:00' AS stamp, 'Y' AS _is_current, 'N' AS _is_deleted,
+  TIMESTAMP '2024-06-01 00:00:00' AS _updated_at FROM customer GROUP BY 1""")
+def scd1_null_keys(spark, read):
+    """A null key opened by a batch; the same batch again leaves it as it is."""
+    batch = read("customer").groupBy(F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment")).agg(F.count(F.lit(1)).alias("n"), at("2024-01-01 00:00:00").alias("stamp"))
+    once = merge.scd1(merge.audited(batch, "stamp", at()).limit(0), batch, ["segment"], "stamp", at())
+    return merge.scd1(once, batch, ["segment"], "stamp", at("2024-07-01 00:00:00")).select("segment", "n", "stamp", "_is_current", "_is_deleted", "_updated_at")
+
+
+@query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_mktsegment || chr(10) || '\"x\", y' AS note FROM customer")
+def csv_roundtrip(spark, read):
+    where = tables.scratch(spark, "csv")
+    rows = read("customer").select("c_custkey", "c_name", F.concat("c_mktsegment", F.lit('\n"x", y')).alias("note"))
+    rows.write.options(header=True, escape="\\", quoteAll=True).csv(where)
+    return files.csv(spark, where)
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) AS line_number, o_orderkey || ' ' || o_orderstatus AS line_content FROM orders")
+def text_lines(spark, read):
+    where = tables.scratch(spark, "text")
+    read("orders").select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("line"), "o_orderkey").coalesce(1).sortWithinPartitions("o_orderkey").select("line").write.text(where)
+    return files.text_lines(spark, where).select("line_number", "line_content")
 
 
 @query("SELECT n_nationkey, sha256(concat_ws('||', coalesce(n_name, '<NULL>'), coalesce(n_regionkey::VARCHAR, '<NULL>'))) AS payload_hash FROM nation")
@@ -352,10 +397,10 @@ def reconcile_schema(spark, read):
     return reconcile.reconcile(rows, target)
 
 
-@query("SELECT event_id::VARCHAR AS event_id, CASE WHEN event_id % 2 = 0 THEN user_id::VARCHAR ELSE event_type END AS what, CASE WHEN event_id % 2 = 1 THEN event_type END AS more FROM events".replace("event_id::VARCHAR AS event_id", "event_id"))
+@query("SELECT event_id, user_id::VARCHAR AS what, NULL AS more FROM events UNION ALL SELECT -event_id, event_type, event_type FROM events")
 def union_drifting_batches(spark, read):
     rows = read("events")
-    return reconcile.union_batches([rows.where("event_id % 2 = 0").select("event_id", F.col("user_id").alias("what")), rows.where("event_id % 2 = 1").select("event_id", F.col("event_type").alias("what"), F.col("event_type").alias("more"))])
+    return reconcile.union_batches([rows.select("event_id", F.col("user_id").alias("what")), rows.select((-F.col("event_id")).alias("event_id"), F.col("event_type").alias("what"), F.col("event_type").alias("more"))])
 
 
 @query("SELECT date_trunc('day', ts)::TIMESTAMP AS start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS \"end\", event_type, count(*) AS n, sum(value::DECIMAL(18,2)) AS total FROM events GROUP BY ALL")
