@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siltlake.functions.names import payload
 
 
-def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def replace(df: DataFrame, name: str) -> None:
     """Makes df the table's content: written aside first, then renamed into place.
 
     The table as it was stays as <name>_old until the next replacement, so readers of it can finish,
@@ -20,8 +20,7 @@ def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     spark = df.sparkSession
     aside, old = f"{name}_staging", f"{name}_old"
     spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    writer = df.write.format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(aside)
+    df.write.format("parquet").saveAsTable(aside)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} RENAME TO {old.split('.')[-1]}")
@@ -30,6 +29,7 @@ def replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
 
 #: Column of tables laid out in buckets of their keys.
 BUCKET = "_bucket"
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Callable[[DataFrame | None, DataFrame], DataFrame], buckets: int) -> None:
@@ -43,7 +43,12 @@ def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Calla
     of = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
     target = current(spark, name)
     if target is None or BUCKET not in target.columns:
-        replace(merge(target, batch).withColumn(BUCKET, of).repartition(BUCKET), name, [BUCKET])
+        if target is not None:
+            old = f"{name}_old"
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old.split('.')[-1]}")
+            target = spark.table(old)
+        merge(target, batch).withColumn(BUCKET, of).repartition(BUCKET).write.format("parquet").partitionBy(BUCKET).saveAsTable(name)
         return
     touched = [r["b"] for r in batch.select(of.alias("b")).distinct().collect()]  # at most as many as there are buckets
     merged = merge(target.where(F.col(BUCKET).isin(touched)).drop(BUCKET), batch)
@@ -51,7 +56,12 @@ def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Calla
     if new := [f"`{f.name}` {f.dataType.simpleString()}" for f in merged.schema if f.name.lower() not in known]:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
     rows = merged.withColumn(BUCKET, of).select(spark.table(name).columns).repartition(BUCKET)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    mode = spark.conf.get(OVERWRITE)
+    spark.conf.set(OVERWRITE, "dynamic")  # by the session, as only then may a query overwrite partitions of the table it reads
+    try:
+        rows.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(OVERWRITE, mode)
 
 
 def scratch(spark: SparkSession, kind: str) -> str:
