@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltlake.functions import exprs
 from siltlake.operators import dedup, flatten, merge, reconcile, tokens, transform, windows
-from siltlake.plans import marts
+from siltlake.plans import marts, silver
 from siltlake.sinks import tables
 from siltlake.sources import files
 
@@ -78,7 +78,7 @@ def dedup_kpi(spark, read):
 
 @query("SELECT user_id, event_type, count(*) AS n, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS watermark FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL")
 def hwm_filter(spark, read):
-    rows = read("events").where(F.col("ts") > at("2024-01-15 00:00:00"))
+    rows = silver.increment(read("events"), "ts", "2024-01-15 00:00:00")
     return rows.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.max(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("watermark"))
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltlake.operators import dedup, merge, transform
 from siltlake.sinks import state, tables
@@ -32,7 +33,12 @@ class Load:
 
 
 def increment(landed: DataFrame, column: str, after: str) -> DataFrame:
-    """Rows past the high-water mark; on a partition column only new partitions are read."""
+    """Rows past the high-water mark; on a partition column only new partitions are read.
+
+    Text is compared as text; a timestamp as such, so that the filter reaches the scan.
+    """
+    if isinstance(landed.schema[column].dataType, T.TimestampType):
+        return landed.where(F.col(column) > F.lit(after).cast("timestamp"))
     return landed.where(F.col(column).cast("string") > F.lit(after))
 
 

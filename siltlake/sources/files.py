@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltlake.operators.reconcile import union_batches
+
 #: Keys under which a JSON document may hold its records.
 RECORD_KEYS = ("data", "records", "value", "entities")
 
@@ -21,8 +24,50 @@ def csv(spark: SparkSession, path: str, header: bool = True, sep: str = ",", enc
     return df if header else df.toDF(*[f"col_{i}" for i in range(len(df.columns))])
 
 
-def json_records(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
-    """Records of line-delimited JSON, or of whole documents: an array, an object holding one, or a single object."""
+def files_by_kind(spark: SparkSession, path: str, **options) -> tuple[list[str], list[str]]:
+    """Files whose first line that is not blank is a JSON object, and the others. Reads the text once; the driver gets a row a file, as for a listing."""
+    lines = spark.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), F.trim("value").alias("line")
+    )
+    # The flag stands in the number's last bit, so that the aggregate stays one over numbers; later splits of a file do not begin it.
+    flagged = F.col("id") * 2 + (F.startswith("line", F.lit("{")) & F.try_parse_json("line").isNotNull()).cast("long")
+    rows = lines.where("start = 0 AND line <> ''").groupBy("file").agg(F.min(flagged).alias("first")).orderBy("file").collect()
+    found = [(unquote(r["file"]), r["first"] % 2) for r in rows]  # the metadata column gives URIs
+    return [f for f, by_line in found if by_line], [f for f, by_line in found if not by_line]
+
+
+def record_keys(df: DataFrame) -> list[str]:
+    return [k for k in RECORD_KEYS if k in df.columns and isinstance(df.schema[k].dataType, T.ArrayType)]
+
+
+def held(df: DataFrame, key: str) -> DataFrame:
+    """The records that documents hold under key."""
+    rows = df.select(F.explode(key).alias("r"))
+    return rows.select("r.*") if isinstance(rows.schema["r"].dataType, T.StructType) else rows
+
+
+def documents(df: DataFrame) -> list[DataFrame]:
+    """Records of documents of several forms: those held under each key, and the documents that hold none."""
+    parts, rest, keys = [], df, record_keys(df)
+    for key in keys:
+        parts.append(held(rest, key))
+        rest = rest.where(F.col(key).isNull())
+    rest = rest.drop(*keys)
+    return parts if keys and (not rest.columns or rest.isEmpty()) else [*parts, rest]
+
+
+def json_records(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, mixed: bool = False, **options) -> DataFrame:
+    """Records of line-delimited JSON, or of whole documents: an array, an object holding one, or a single object.
+
+    One file tells the form of all; with mixed every file its own, at the price of a pass over the text, and the records are united by name.
+    """
+    if mixed:
+        kept = {k: v for k, v in options.items() if k not in ("pathGlobFilter", "modifiedBefore", "modifiedAfter")}
+        by_line, whole = files_by_kind(spark, path, **options)
+        reader = spark.read.options(**kept)
+        reader = reader.schema(schema) if schema else reader
+        parts = ([reader.json(by_line)] if by_line else []) + (documents(reader.option("multiLine", True).json(whole)) if whole else [])
+        return union_batches(parts) if parts else spark.createDataFrame([], schema or T.StructType())
     first = spark.read.options(**options).text(path).where(F.trim("value") != "").first()
     try:  # a whole object on a line of its own: one record a line
         by_line = first is not None and isinstance(json.loads(first["value"]), dict)
@@ -33,11 +78,8 @@ def json_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     if by_line:
         return reader.json(path)
     df = reader.option("multiLine", True).json(path)
-    key = next((k for k in RECORD_KEYS if k in df.columns and isinstance(df.schema[k].dataType, T.ArrayType)), None)
-    if key is None:
-        return df
-    rows = df.select(F.explode(key).alias("r"))
-    return rows.select("r.*") if isinstance(rows.schema["r"].dataType, T.StructType) else rows
+    keys = record_keys(df)
+    return held(df, keys[0]) if keys else df
 
 
 def parquet(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -7,14 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def bounds(after: str | None, until: str | None) -> tuple[str | None, str | None]:
+    """The bounds that hold; the sentinels of year 1900 and 9998 or 9999 mean none."""
+    low = None if not after or after.startswith("1900") else after
+    return low, None if not until or until.startswith(("9998", "9999")) else until
+
+
 def incremental_query(table: str, stamp: str | None = None, after: str | None = None, until: str | None = None, where: str | None = None) -> str:
     """SELECT of the rows changed in (after, until]. The sentinels of year 1900 and 9999 mean no bound."""
     quoted = lambda v: "'" + v.replace("'", "''") + "'"
+    low, high = bounds(after, until)
     parts = [f"({where})"] if where else []
-    if stamp and after and not after.startswith("1900"):
-        parts.append(f"{stamp} > {quoted(after)}")
-    if stamp and until and not until.startswith(("9998", "9999")):
-        parts.append(f"{stamp} <= {quoted(until)}")
+    parts += [f"{stamp} {sign} {quoted(v)}" for sign, v in ((">", low), ("<=", high)) if stamp and v]
     return f"SELECT * FROM {table}" + (f" WHERE {' AND '.join(parts)}" if parts else "")
 
 

@@ -15,7 +15,7 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from siltlake.sources import jdbc
+
 Fetch = Callable[[dict[str, Any]], dict[str, Any]]
 
 
@@ -201,6 +203,17 @@ def read_paged(spark: SparkSession, pages: Any, schema: T.StructType | str, shar
     return spark.read.format("siltlake_paged").load().select(F.from_json("record", schema).alias("r")).select("r.*")
 
 
+def odata_filter(stamp: str, after: str | None = None, until: str | None = None, where: str | None = None) -> str:
+    """A $filter of the rows changed in (after, until], by the bounds that jdbc.incremental_query takes; times without a zone are UTC."""
+
+    def iso(text: str) -> str:
+        time = datetime.fromisoformat(text)
+        return (time if time.tzinfo else time.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+    low, high = jdbc.bounds(after, until)
+    return " and ".join(([f"({where})"] if where else []) + [f"{stamp} {sign} {iso(v)}" for sign, v in (("gt", low), ("le", high)) if v])
+
+
 def between(stamp: Column, low: str | None, high: str | None) -> Column:
     """Client-side filter of records by time; those without one are kept."""
     out = F.lit(True)

@@ -150,6 +150,12 @@ def test_json_and_text(spark, tmp_path):
     (tmp_path / "b.json").write_text(json.dumps({"data": [{"a": 1}, {"a": 2}, {"a": 3}]}, indent=1))
     (tmp_path / "c.json").write_text(json.dumps([{"a": 5}]))
     assert [files.json_records(spark, str(tmp_path / f"{n}.json")).count() for n in "abc"] == [2, 3, 1]
+    (tmp_path / "d d.json").write_text('\n  \n{"a": 7, "b": "x"}\n')
+    (tmp_path / "e.json").write_text("")
+    assert [[f.rpartition("/")[2] for f in found] for found in files.files_by_kind(spark, str(tmp_path / "*.json"))] == [["a.json", "d d.json"], ["b.json", "c.json"]]
+    mixed = files.json_records(spark, str(tmp_path / "*.json"), mixed=True)
+    assert sorted((r["a"], r["b"]) for r in mixed.collect() if r["b"] is None) == [(1, None), (1, None), (2, None), (2, None), (3, None), (5, None)]
+    assert [r["a"] for r in mixed.where("b = 'x'").collect()] == [7]
     (tmp_path / "t.txt").write_text("x\r\n\ny\n")
     assert [(r["line_number"], r["line_content"]) for r in files.text_lines(spark, str(tmp_path / "t.txt")).orderBy("line_number").collect()] == [(1, "x"), (2, ""), (3, "y")]
 
@@ -193,6 +199,8 @@ def test_token_cache():
 def test_jdbc_text():
     assert jdbc.incremental_query("t", "u", "1900-01-01", "9999-01-01") == "SELECT * FROM t"
     assert jdbc.incremental_query("t", "u", "2024-01-01", "2024-02-01", "a = 1") == "SELECT * FROM t WHERE (a = 1) AND u > '2024-01-01' AND u <= '2024-02-01'"
+    assert paged.odata_filter("u", "1900-01-01", "9999-12-31") == "" and paged.odata_filter("u", None, None, "a eq 1") == "(a eq 1)"
+    assert paged.odata_filter("u", "2024-01-01 10:00:00", "2024-02-01T00:00:00+02:00", "a eq 1") == "(a eq 1) and u gt 2024-01-01T10:00:00Z and u le 2024-01-31T22:00:00Z"
     assert jdbc.swap_statements("gold_x", ["k"])[1] == "RENAME TABLE gold_x TO gold_x_old, gold_x_staging TO gold_x"
     with pytest.raises(ValueError):
         jdbc.swap_statements("other")
