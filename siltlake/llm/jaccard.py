@@ -53,6 +53,8 @@ DEPTH, ROOT, LEAF = 4, 2, 250
 MARGIN = 0.2
 #: Rows of a bucket that a join over buckets holds under one key on average.
 PART = 250
+#: Keys of a join that are broadcast at most; a key of a smaller part of all rows, or of up to PART rows, is not.
+HOT = 100_000
 #: Texts that one block of a comparison of coordinates holds on average, and texts outside a bucket's largest group.
 BLOCK, RESIDUE = 500, 250
 #: Texts, and bytes of shingle sets, that a block of the exact comparison holds on average at most.
@@ -193,6 +195,18 @@ def alike_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b
 
 
+def beside_key(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """rows joined with side: a row for each key, with n, how many of rows have it.
+
+    The many rows of one key, as a third of all may have, never meet in a task. Keys of more than PART rows and
+    of more than a HOT-th of all rows are HOT at most, whatever the table: those are broadcast, the others shuffled.
+    """
+    whole = side.agg(F.sum("n")).scalar()
+    hot = side.where(F.col("n") > F.greatest(F.lit(float(PART)), whole / float(HOT)))
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(side, key)
+    return rows.join(F.broadcast(hot), key).unionByName(others)
+
+
 def beside_bucket(rows: DataFrame, side: DataFrame) -> DataFrame:
     """rows joined with side, one row for each path; a large bucket is dealt into parts, so that it is not one key of the join."""
     parts = F.ceil(F.col("n") / float(PART)).cast("int")
@@ -211,7 +225,8 @@ def pivot_groups(edges: DataFrame) -> DataFrame:
     """node and component: the least pivot a text looks like, or that one's. Groups need not be whole: what they part is compared."""
     own = edges.groupBy("b").agg(F.min("a").alias("up")).select(F.col("b").alias("node"), F.least("up", "b").alias("up"))
     higher = own.select(F.col("node").alias("n2"), F.col("up").alias("up2"))
-    found = own.join(higher, F.col("up") == F.col("n2"), "left").select("node", F.coalesce("up2", "up").alias("component"))
+    ups = own.groupBy("up").agg(F.count(F.lit(1)).alias("n")).join(higher, F.col("up") == F.col("n2"), "left").select("up", "n", "up2")
+    found = beside_key(own, ups, "up").select("node", F.coalesce("up2", "up").alias("component"))
     tops = found.select(F.col("component").alias("node"), F.col("component"))
     return found.union(tops).groupBy("node").agg(F.min("component").alias("component"))
 
@@ -320,10 +335,11 @@ def components(edges: DataFrame) -> DataFrame:
         if parts.groupBy("node").agg(F.sum("h").alias("h"), F.max("l").alias("l")).where("h > 1 OR (h > 0 AND l > 0)").isEmpty():
             break
         both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select(F.col("high").alias("u"), F.col("low").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high")
-        down = large.groupBy("high").agg(F.min("low").alias("m"))
-        met = large.join(down, "high")
+        # A node of many edges, as the hub of a star is, does not meet them all in one task.
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = cut(beside_key(both, least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high"))
+        down = large.groupBy("high").agg(F.min("low").alias("m"), F.count(F.lit(1)).alias("n"))
+        met = beside_key(large, down, "high")
         small = met.select(F.least("m", "low").alias("low"), F.greatest("m", "low").alias("high")).union(met.select(F.col("m").alias("low"), "high"))
         now = cut(small.where("low <> high").distinct())
     return now.select(F.col("high").alias("node"), F.col("low").alias("component")).union(now.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
@@ -347,7 +363,7 @@ def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH,
     """Edges a, b between texts that chosen paths bring together and whose coordinates look alike."""
     first = distinct.select("cls", F.explode(roots_of(runs_for(recall, depth), ROOT)).alias("path"))
     sizes = first.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = cut(first.join(sizes, "path").join(distinct.select("cls", "sig"), "cls").select("path", "cls", "sig", "n"))
+    rows = cut(beside_key(first, sizes, "path").join(distinct.select("cls", "sig"), "cls").select("path", "cls", "sig", "n"))
     starred = cut(pivot_edges(rows))
     known = cut(pivot_groups(starred))
     units = []
@@ -367,7 +383,7 @@ def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH,
         if open_.isEmpty():
             break
         sizes = open_.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        rows = open_.join(sizes, "path").select("path", "cls", "sig", "n")
+        rows = beside_key(open_, sizes, "path").select("path", "cls", "sig", "n")
     dealt = reduce(DataFrame.unionByName, units).repartition("unit").sortWithinPartitions("unit")
     return starred.union(dealt.mapInArrow(look_alike, "a binary, b binary")).distinct()
 
@@ -385,8 +401,9 @@ def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
     distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(first, F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
     near = cut(components(candidates(distinct, recall)))
     near = near.join(distinct.select("cls", "top", "n_words"), near["node"] == distinct["cls"]).select("cls", "top", "component", "n_words")
-    sizes = near.groupBy("component").agg(F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES)).alias("blocks"))
-    members = near.join(sizes, "component").select("cls", F.col("top.doc_id").alias("of"), F.col("top.key").alias("key"), "component", "blocks")
+    blocks = F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES))
+    sizes = near.groupBy("component").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n"))
+    members = beside_key(near, sizes, "component").select("cls", F.col("top.doc_id").alias("of"), F.col("top.key").alias("key"), "component", "blocks")
     found = rows.join(members, (rows["key"] == members["key"]) & rows["doc_id"].eqNullSafe(members["of"])).select("text", "cls", "component", "blocks")
     sets = per_text(found, each(set_maker), "made binary, shingles binary", beside="cls binary, component binary, blocks double").where("made = cls")
     units = in_blocks(sets, "component", F.col("blocks")).select("unit", "cls", "part", "cross", "shingles")
@@ -400,11 +417,11 @@ def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
 def similarity_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_copies and n_links for every row of docs."""
     signed, ids = linked_texts(docs, recall)
-    least = ids.groupBy("component").agg(F.min("top").alias("least")).select("component", F.col("least.doc_id").alias("class_id"))
-    ids = ids.join(least, "component").select("cls", "class_id", "n_copies", "n_links")
-    return signed.select("doc_id", "cls").join(ids, "cls", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+    least = ids.groupBy("component").agg(F.min("top").alias("least"), F.count(F.lit(1)).alias("n")).select("component", F.col("least.doc_id").alias("class_id"), "n")
+    ids = beside_key(ids, least, "component").select("cls", "class_id", F.col("n_copies").alias("n"), "n_links")
+    found = beside_key(signed.where("cls IS NOT NULL").select("doc_id", "cls"), cut(ids), "cls").select("doc_id", "class_id", F.col("n").alias("n_copies"), "n_links")
+    alone = signed.where("cls IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
+    return found.union(alone)
 
 
 def representatives(docs: DataFrame, recall: float = RECALL) -> DataFrame:

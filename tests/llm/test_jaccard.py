@@ -127,3 +127,23 @@ def test_recall_at_full_depth(spark):
 def test_recall_is_averaged_over_the_agreeing_coordinates():
     assert jaccard.recall_of(9) < 0.9985
     assert jaccard.recall_of(jaccard.runs_for()) >= jaccard.RECALL > jaccard.recall_of(jaccard.runs_for() - 1)
+
+
+def test_hot_keys_join_alike(spark, monkeypatch):
+    """Keys that are broadcast and keys that are shuffled give the same rows as a plain join, and the hot ones are not shuffled."""
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 100, i) for i in range(900)], "key long, i long")
+    side = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    for part, hot in ((250, 100_000), (10, 5), (10_000, 1), (0, 1_000)):
+        monkeypatch.setattr(jaccard, "PART", part)
+        monkeypatch.setattr(jaccard, "HOT", hot)
+        out = jaccard.beside_key(rows, side, "key")
+        assert out.columns == ["key", "i", "n"]
+        assert sorted(map(tuple, out.collect())) == sorted((k, i, 300 if k == 100 else sum(1 for j in range(900) if j % 3 and j % 7 == k)) for k, i in map(tuple, rows.collect()))
+
+
+def test_hubs_and_copies_beyond_the_part(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 5)
+    check(spark, corpus(3, 60))
+    star = spark.createDataFrame([(0, i) for i in range(1, 200)] + [(i, i + 1) for i in range(300, 340)], "a int, b int")
+    out = {r["node"]: r["component"] for r in jaccard.components(star).collect()}
+    assert all(out[i] == 0 for i in range(200)) and all(out[i] == 300 for i in range(300, 341))
