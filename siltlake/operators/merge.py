@@ -1,8 +1,10 @@
 """Merges of a batch into a keyed table, as functions from DataFrames to a DataFrame.
 
 Each takes the target as it is and the incoming batch and returns the target as it becomes, so the
-same code serves batch jobs, foreachBatch and tests. Sources are expected to have one row per key
-(see dedup.latest); run_at is the run's one timestamp. Columns are matched by name, whatever its case; those that one
+same code serves batch jobs, foreachBatch and tests. A merge keeps one row per key (of scd2: one that is current), so a
+batch must have each key once: what happens to one that comes twice is told by `duplicates`, which is `error`, and ends the
+job where its rows are read, or `latest`, which takes the key's last row by the order column, ties by all columns.
+run_at is the run's one timestamp. Columns are matched by name, whatever its case; those that one
 side lacks are null there, and a side with two names that differ in case alone is an error. A null key is a
 key like any other, so that a batch merged again changes nothing.
 """
@@ -16,6 +18,9 @@ from pyspark.sql import functions as F
 
 from siltlake.functions.exprs import HIGH_DATE
 from siltlake.functions.names import AUDIT, payload
+from siltlake.operators import dedup
+
+ERROR, LATEST = "error", "latest"
 
 
 def by_lower_case(df: DataFrame) -> dict[str, str]:
@@ -62,6 +67,15 @@ def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[
     return met, F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
 
 
+def single(source: DataFrame, keys: Sequence[str], order: str | None, duplicates: str) -> DataFrame:
+    """The batch with one row per key."""
+    if duplicates == LATEST:
+        return dedup.latest(source, keys, [order] if order else [])
+    if duplicates != ERROR:
+        raise ValueError(f"duplicates is {ERROR} or {LATEST}, not {duplicates}")
+    return dedup.one_per_key(source, keys)
+
+
 def audited(df: DataFrame, order: str, run_at: Column) -> DataFrame:
     """df with the audit columns it lacks."""
     fill = {
@@ -71,9 +85,10 @@ def audited(df: DataFrame, order: str, run_at: Column) -> DataFrame:
     return df.select(*[c for c in df.columns if c not in AUDIT], *[F.col(a) if a in df.columns else fill[a].alias(a) for a in AUDIT])
 
 
-def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str, run_at: Column) -> DataFrame:
+def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str, run_at: Column, duplicates: str = ERROR) -> DataFrame:
     """Type 1: a changed row that is not older overwrites; _inserted_at stays; new rows come in; the rest is untouched."""
     target, source = aligned(target, audited(source, order, run_at))
+    source = single(source, keys, order, duplicates)
     content = payload(target.columns, list(keys))
     met, there, came = matched(target, source, keys)
     newer = F.col(f"t.{order}").isNull() | (F.col(f"s.{order}") >= F.col(f"t.{order}"))
@@ -83,10 +98,11 @@ def scd1(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str,
     return met.select(*[stamps.get(c, F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))).alias(c) for c in target.columns])
 
 
-def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str, run_at: Column) -> DataFrame:
+def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str, run_at: Column, duplicates: str = ERROR) -> DataFrame:
     """Type 2: a changed row that is not older closes the current version and opens another; an older one is dropped."""
     source = audited(source, order, run_at).withColumns({"_valid_from": F.coalesce(F.col(order).try_cast("timestamp"), run_at), "_valid_to": F.lit(HIGH_DATE).cast("timestamp"), "_is_current": F.lit("Y"), "_inserted_at": run_at, "_updated_at": run_at})
     target, source = aligned(target, source)
+    source = single(source, keys, order, duplicates)
     content = payload(target.columns, list(keys))
     current, closed = target.where("_is_current = 'Y'"), target.where("NOT (_is_current <=> 'Y')")
     met, there, came = matched(current, source, keys)
@@ -101,9 +117,10 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str,
     return opened.unionByName(closed)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: str | None = None, duplicates: str = ERROR) -> DataFrame:
     """Source rows replace those of their keys; the rest stays."""
     target, source = aligned(target, source)
+    source = single(source, keys, order, duplicates)
     return target.alias("t").join(source.select(*keys).alias("s"), on_keys("t", "s", keys), "left_anti").unionByName(source)
 
 
@@ -140,12 +157,14 @@ def changed(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str])
 STRATEGIES = {"scd1": scd1, "scd2": scd2, "upsert": scd1, "merge_into": scd1}
 
 
-def apply(strategy: str, target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: str, run_at: Column) -> DataFrame:
+def apply(strategy: str, target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: str, run_at: Column, duplicates: str = ERROR) -> DataFrame:
     """The table after a batch by the configured strategy; anything unknown appends."""
     if strategy == "overwrite":
         return audited(source, order, run_at)
+    if strategy in STRATEGIES:
+        if target is None:
+            return single(audited(source, order, run_at), keys, order, duplicates)
+        return STRATEGIES[strategy](target, source, keys, order, run_at, duplicates)
     if target is None:
         return audited(source, order, run_at)
-    if strategy in STRATEGIES:
-        return STRATEGIES[strategy](target, source, keys, order, run_at)
     return append(target, audited(source, order, run_at))

@@ -134,10 +134,10 @@ def audit_flags(spark, read):
     return transform.audit(rows, "o_orderdate", at()).drop("o_orderdate", "deleted")
 
 
-# A base table of all orders, and a batch of all orders and as many new ones under the keys' negatives: by priority an order is changed
+# A base table of all orders, and a batch of all orders and as many new ones under keys below zero: by priority an order is changed
 # and newer, changed and older, equal, or deleted.
 BASE_SQL = "SELECT o_orderkey AS k, o_orderstatus AS v, o_custkey AS c, o_orderdate::TIMESTAMP AS stamp FROM orders"
-BATCH_SQL = """SELECT side * o_orderkey AS k, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'X' || o_orderstatus ELSE o_orderstatus END AS v, o_custkey AS c,
+BATCH_SQL = """SELECT CASE side WHEN 1 THEN o_orderkey ELSE -1 - o_orderkey END AS k, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'X' || o_orderstatus ELSE o_orderstatus END AS v, o_custkey AS c,
   (o_orderdate + CASE o_orderpriority WHEN '1-URGENT' THEN INTERVAL 1 DAY WHEN '2-HIGH' THEN INTERVAL (-1) DAY ELSE INTERVAL 0 DAY END)::TIMESTAMP AS stamp,
   CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'Y' ELSE 'N' END AS _is_deleted FROM orders, (VALUES (1), (-1)) AS sides(side)"""
 
@@ -149,7 +149,7 @@ def base(read):
 def batch(read):
     p = F.col("o_orderpriority")
     later = F.when(p == "1-URGENT", F.expr("INTERVAL 1 DAY")).when(p == "2-HIGH", F.expr("INTERVAL -1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
-    rows = read("orders").withColumn("k", F.explode(F.array("o_orderkey", -F.col("o_orderkey"))))
+    rows = read("orders").withColumn("k", F.explode(F.array("o_orderkey", -1 - F.col("o_orderkey"))))
     return rows.select(
         "k", F.when(p.isin("1-URGENT", "2-HIGH"), F.concat(F.lit("X"), "o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("v"), F.col("o_custkey").alias("c"),
         (F.col("o_orderdate").cast("timestamp") + later).alias("stamp"), F.when(p == "3-MEDIUM", "Y").otherwise("N").alias("_is_deleted"),
@@ -178,6 +178,43 @@ def scd2_merge(spark, read):
     return merge.scd2(audited_base(read), batch(read), ["k"], "stamp", at())
 
 
+# The batch three times, once as it is and twice older and with other content: the last row of a key counts.
+REPEATED_SQL = f"""SELECT * FROM ({BATCH_SQL}) UNION ALL SELECT k, 'old', c + n, stamp - to_days((4 * n)::INTEGER), 'N' FROM ({BATCH_SQL}), (VALUES (1), (2)) AS olds(n)"""
+LAST_SQL = f"""SELECT k, v, c, stamp, _is_deleted FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY stamp DESC, v DESC, c DESC, _is_deleted DESC) AS rn FROM ({REPEATED_SQL})) WHERE rn = 1"""
+
+
+def repeated(read):
+    rows = batch(read)
+    olds = [rows.select("k", F.lit("old").alias("v"), (F.col("c") + n).alias("c"), (F.col("stamp") - F.expr(f"INTERVAL {4 * n} DAY")).alias("stamp"), F.lit("N").alias("_is_deleted")) for n in (1, 2)]
+    return rows.unionByName(olds[0]).unionByName(olds[1])
+
+
+@query(f"""WITH t AS ({BASE_SQL}), s AS ({LAST_SQL}), x AS (SELECT s.* FROM s LEFT JOIN t ON s.k = t.k WHERE t.k IS NULL OR ({CHANGE}))
+SELECT t.k, t.v, t.c, t.stamp, t.stamp AS _valid_from, coalesce(x.stamp, TIMESTAMP '9999-01-01 00:00:00') AS _valid_to, CASE WHEN x.k IS NULL THEN 'Y' ELSE 'N' END AS _is_current, 'N' AS _is_deleted, TIMESTAMP '2024-01-01 00:00:00' AS _inserted_at,
+  CASE WHEN x.k IS NULL THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-06-01 00:00:00' END AS _updated_at FROM t LEFT JOIN x ON t.k = x.k
+UNION ALL SELECT k, v, c, stamp, stamp, TIMESTAMP '9999-01-01 00:00:00', 'Y', _is_deleted, TIMESTAMP '2024-06-01 00:00:00', TIMESTAMP '2024-06-01 00:00:00' FROM x""")
+def scd2_repeated_keys(spark, read):
+    """A batch that holds every key three times, merged by its last row."""
+    return merge.scd2(audited_base(read), repeated(read), ["k"], "stamp", at(), duplicates="latest")
+
+
+@query(f"SELECT k, v, c, stamp FROM ({LAST_SQL}) UNION ALL SELECT k, v, c, stamp FROM ({BASE_SQL}) WHERE k NOT IN (SELECT k FROM ({BATCH_SQL}))")
+def upsert_repeated_keys(spark, read):
+    """The same batch merged twice; the second time changes nothing."""
+    rows = repeated(read)
+    ranked = lambda target: merge.upsert(target, rows, ["k"], "stamp", duplicates="latest")
+    return ranked(ranked(base(read).withColumn("_is_deleted", F.lit("N")))).drop("_is_deleted")
+
+
+@query("""SELECT event_type, max(ts)::TIMESTAMP AS ts, arg_max(event_id, struct_pack(ts := ts, event_id := event_id)) AS event_id FROM events GROUP BY 1
+  UNION ALL SELECT 'first of ' || event_type, min(ts)::TIMESTAMP, arg_min(event_id, struct_pack(ts := ts, event_id := event_id)) FROM events GROUP BY 1""")
+def dedup_few_keys(spark, read):
+    """Keys that hold a large part of all rows each: one row per key and task is shuffled."""
+    rows = read("events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    first = dedup.latest(rows, ["event_type"], ["ts"], earliest=True)
+    return dedup.latest(rows, ["event_type"], ["ts"]).unionByName(first.withColumn("event_type", F.concat(F.lit("first of "), "event_type")))
+
+
 @query(f"WITH t AS ({BASE_SQL}), s AS ({BATCH_SQL}) SELECT k, v, c, stamp FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT k, v, c, stamp FROM s")
 def gold_upsert(spark, read):
     return merge.upsert(base(read), batch(read).drop("_is_deleted"), ["k"])

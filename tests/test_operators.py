@@ -171,3 +171,50 @@ def test_tokenize(spark):
 
     assert tokens.with_retries(flaky, ["a"], wait=0) == ["a"]
     assert tokens.columns_of('{"a": 1, "b": 2}') == tokens.columns_of("a, b") == tokens.columns_of(["a", "b"]) == ["a", "b"]
+
+
+def test_dedup_over_a_hot_key_is_an_aggregate(spark):
+    """Half of all rows have one key, as many none: a task sends one row of each on, and nothing is sorted by rank."""
+    rows = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 4 < 2, "hot").when(F.col("id") % 4 == 2, F.concat(F.lit("k"), F.col("id") % 1000)).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 777).alias("o"), F.col("id").alias("v"))
+    for earliest in (False, True):
+        found = dedup.latest(rows, ["k"], ["o"], earliest)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "partial_m" in plan
+        by = {}
+        for r in rows.collect():
+            rank = (r["o"] is not None, r["o"] or 0, r["v"])
+            if r["k"] not in by or (rank < by[r["k"]] if earliest else rank > by[r["k"]]):
+                by[r["k"]] = rank
+        assert {r["k"]: (r["o"] is not None, r["o"] or 0, r["v"]) for r in found.collect()} == by
+
+
+def test_dedup_of_columns_that_cannot_be_ordered(spark):
+    df = spark.createDataFrame([(1, 5, {"a": 1}), (1, 7, {"b": 2}), (2, None, None)], "k int, o int, m map<string,int>")
+    assert {r["k"]: r["m"] for r in dedup.latest(df, ["k"], ["o"]).collect()} == {1: {"b": 2}, 2: None}
+    assert {r["k"]: r["m"] for r in dedup.latest(df, ["k"], ["o"], earliest=True).collect()} == {1: {"a": 1}, 2: None}
+    odd = spark.createDataFrame([(1, 2, 3), (1, 4, 5)], "k int, `a.b` int, `c d` int")
+    assert [tuple(r) for r in dedup.latest(odd, ["k"], ["a.b"]).collect()] == [(1, 4, 5)]
+    assert dedup.latest(df.select("k"), ["k"], []).count() == 2
+
+
+def twice(spark):
+    return frame(spark, [("1", "b", "2024-02-01 00:00:00"), ("1", "c", "2024-03-01 00:00:00"), ("9", "n", "2024-01-01 00:00:00"), (None, "x", "2024-01-01 00:00:00"), (None, "y", "2024-01-02 00:00:00")])
+
+
+def test_a_key_twice_in_the_batch_is_an_error_or_reduced(spark):
+    runs = {
+        "scd1": lambda **how: merge.scd1(base(spark), twice(spark), ["id"], "updated", T1, **how),
+        "scd2": lambda **how: merge.scd2(base(spark), twice(spark), ["id"], "updated", T1, **how),
+        "upsert": lambda **how: merge.upsert(base(spark), merge.audited(twice(spark), "updated", T1), ["id"], "updated", **how),
+        "first load": lambda **how: merge.apply("scd2", None, twice(spark), ["id"], "updated", T1, **how),
+    }
+    for name, run in runs.items():
+        with pytest.raises(Exception, match="batch has a key more than once: id=(1|null) comes 2 times"):
+            run().collect()
+        kept = run(duplicates="latest").where("_is_current = 'Y'").collect()
+        by = {r["id"]: r["v"] for r in kept}
+        assert len(by) == len(kept), name
+        assert (by["1"], by["9"], by[None]) == ("c", "n", "y"), name
+    with pytest.raises(ValueError):
+        runs["scd1"](duplicates="first")
+
