@@ -13,6 +13,13 @@ blocks. A content is only looked up for the items it was laid for, as it is belo
 so the index is probed BLOCKS times for each content and item of its own, not with contents times items.
 Pairs found are verified by their exact weighted similarity.
 
+How far apart fingerprints of a pair of just the similarity lie is a matter of chance, and of how evenly the weight is
+spread. Each side may lose the share 1 - similarity of its weight, at worst from its heaviest shingles: `loss` is the
+share of its squared weights that this takes. The cosine of what is left is at least the root of (1 - loss) * (1 - loss) of both
+sides, and a bit differs with the probability arccos(cosine) / pi. Where the cosine may be under COSINE (a quarter of the bits
+differ), or a side has under LEAST_SHINGLES shingles, the radius promises nothing: such pairs go past the index, straight to the exact
+similarity. For all others a pair is within RADIUS with a probability of 0.9999 or more (the tests measure it by length).
+
 The similarity is the weight of the shared shingles over that of the heavier side. A shingle weighs
 its number of occurrences times log(1 + items / items that hold it); one that no item holds
 weighs as one that a single item holds. Items with the same words are looked for once.
@@ -36,9 +43,11 @@ from pyspark.sql import functions as F
 from siltlake.llm.common import cut, table
 
 SHINGLE, SIMILARITY = 5, 0.8
-BITS, BLOCKS, NEAR = 64, 5, 4
-WIDTH = 13  # bits of a block; the last has the rest
+BITS, BLOCKS, NEAR = 64, 6, 4
+WIDTH = 11  # bits of a block; the last has the rest
 RADIUS = BLOCKS * (NEAR + 1) - 1
+#: The least cosine, and the least number of distinct shingles, for which the radius holds.
+COSINE, LEAST_SHINGLES = 0.7071, 24
 #: Weights are whole numbers of this part of one, so that sums do not depend on their order.
 GRAIN = 1_000_000
 #: Rows that a side may have to be broadcast; beyond, both sides are shuffled.
@@ -60,12 +69,18 @@ def small(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def fingerprint(weighted: DataFrame, key: str) -> DataFrame:
-    """key, fp and total from rows of key, h and weight."""
+def fingerprint(weighted: DataFrame, key: str, similarity: float = SIMILARITY) -> DataFrame:
+    """key, fp, total and keeps from rows of key, h and weight.
+
+    keeps is the share of squared weights that is left at worst when all but the similarity's share of the weight goes; 0 with few shingles.
+    """
     sign = lambda b: F.shiftright("h", b).bitwiseAND(1) * 2 - 1
-    sums = weighted.groupBy(key).agg(F.sum("weight").alias("total"), *[F.sum(sign(b) * F.col("weight")).alias(f"b{b}") for b in range(BITS)])
+    w = F.col("weight").cast("double")
+    spread = [F.sum(w * w).alias("squares"), F.max(w).alias("heaviest"), F.count(F.lit(1)).alias("shingles")]
+    sums = weighted.groupBy(key).agg(F.sum("weight").alias("total"), *spread, *[F.sum(sign(b) * F.col("weight")).alias(f"b{b}") for b in range(BITS)])
     bits = [F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")) for b in range(BITS)]
-    return sums.select(key, reduce(lambda x, y: x.bitwiseOR(y), bits).alias("fp"), "total")
+    keeps = F.when(F.col("shingles") >= LEAST_SHINGLES, F.greatest(F.lit(0.0), 1 - (1 - similarity) * F.col("total") * F.col("heaviest") / F.col("squares"))).otherwise(0.0)
+    return sums.select(key, reduce(lambda x, y: x.bitwiseOR(y), bits).alias("fp"), "total", keeps.alias("keeps"))
 
 
 def keyed(fp: str, flips: int) -> Column:
@@ -118,7 +133,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     weigh = F.col("n") * F.coalesce("rarity", grains(F.lit(1)))
     own = placed.groupBy("item", "width", "k", "h").agg(F.count(F.lit(1)).alias("n")).join(small(rarity, n_placed), "h", "left")
     own = cut(own.select("item", "width", "k", "h", "rarity", weigh.alias("weight")))
-    of_items = cut(fingerprint(own, "item"))
+    of_items = cut(fingerprint(own, "item", similarity))
 
     # The places where a document holds a shingle of an item.
     tokens = docs.where(F.col("doc_id").isNotNull()).select("doc_id", words().alias("words"))
@@ -153,10 +168,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     held = contents.select("content", F.explode("hs").alias("h")).groupBy("content", "h").agg(F.count(F.lit(1)).alias("n"))
     held = held.join(small(rarity, n_placed), "h", "left").select("content", "h", weigh.alias("weight"))
 
-    # All pairs of fingerprints within the radius, of contents and the items they were laid for.
-    of_contents = cut(fingerprint(held, "content"))
+    # All pairs of fingerprints within the radius, of contents and the items they were laid for; and those for which it promises nothing.
+    of_contents = fingerprint(held, "content", similarity)
     asked = wanted.join(laid.select("doc_id", "start", "width", "content"), ["doc_id", "start", "width"]).select("content", "item").distinct()
-    near = within_radius(asked.join(of_contents, "content"), of_items.select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total")), ["item"])
+    signs = of_items.select("item", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"), F.col("keeps").alias("item_keeps"))
+    pairs = cut(asked.join(of_contents, "content").join(small(signs.select("item", "item_total", "item_keeps"), n_placed), "item"))
+    sure = F.col("keeps") * F.col("item_keeps") >= COSINE**2
+    found = within_radius(pairs.where(sure), signs.where("item_keeps > 0").select("item", "item_fp"), ["item"])
+    near = found.select(pairs.columns).unionByName(pairs.where(~sure))
 
     # Exact similarity of the pairs found.
     theirs = own.select("item", "h", F.col("weight").alias("item_weight"))

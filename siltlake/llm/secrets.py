@@ -45,7 +45,7 @@ from siltlake.llm.common import each, fraction, held_out, per_text, table, texts
 
 #: Expected number of documents with digits to learn from, and of chunks taken from each, by hash: the bound on the sample.
 TRAIN_DOCS, TRAIN_CHUNKS = 2_000, 12
-#: Tokens of a chunk that one training example has at most.
+#: Tokens of a chunk that one training example has at most; of a longer one a window at a place by hash.
 TRAIN_TOKENS = 60
 EPOCHS, FEATURES = 25, 1 << 13
 #: Least length of a secret that only the field finds, and the least mean odds for its tags over "outside".
@@ -63,6 +63,7 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 TOKEN = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]")
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+CHUNK = re.compile(r"\S+")
 #: A chunk with a digit or a capital after a small letter.
 FREE = re.compile(rf"(?<!\S)(?=\S{{{LEAST_LENGTH}}})(?=\S*(?:[0-9]|[a-z][A-Z]))\S+")
 #: What names a secret; with it and a sign of assignment the chunk that follows, or the rest of this one, is free.
@@ -109,12 +110,16 @@ def free_chunks(text: str) -> list[Span]:
     found = {m.start(): m.end() for m in FREE.finditer(text)}
     low = text.lower()
     if any(n in low for n in NAME_PARTS):
+        end = 0  # of the chunk looked at last; of its names the first leaves the most behind it
         for m in NAMED.finditer(text):
+            if m.end() < end:
+                continue
             begin = m.end()
-            while begin and not text[begin - 1].isspace():
+            while begin > end and not text[begin - 1].isspace():
                 begin -= 1
-            if begin not in found and (chunk := re.compile(r"\S+").match(text, begin)) and chunk.end() - m.end() >= LEAST_LENGTH:
-                found[begin] = chunk.end()
+            end = CHUNK.match(text, begin).end()
+            if end - m.end() >= LEAST_LENGTH:
+                found.setdefault(begin, end)
     return sorted(found.items())
 
 
@@ -148,7 +153,7 @@ def form(run: str) -> list[str]:
     """What a run is like whatever its characters: how mixed, how even, how wordy."""
     size = len(run)
     digits = sum(c.isdigit() for c in run)
-    bits = min(8, int(2 * entropy(run[:256])))
+    bits = min(8, int(2 * entropy(run)))
     mix = min(4, len(re.findall(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])|[a-z](?=[A-Z])|[A-Z](?=[a-z])", run)) * 10 // size)
     wordy = min(5, max(map(len, re.findall("[A-Z]?[a-z]+|[A-Z]+", run)), default=0) // 2)
     share, long = 5 * digits // size, (size >= 12) + (size >= 16) + (size >= 24)
@@ -288,6 +293,14 @@ class Overlaps:
         return self.reach > a
 
 
+def window(tags: list[int], number: int) -> int:
+    """Where TRAIN_TOKENS of a chunk's tokens begin: by number, but not inside a secret."""
+    at = number % (max(0, len(tags) - TRAIN_TOKENS) + 1)
+    while tags[at] == I:
+        at -= 1
+    return at
+
+
 def tagged(text: str, most: int | None = None) -> Iterator[tuple[list[list[int]], list[int]]]:
     """Training examples of a text, each with and without what the base patterns go by; of at most so many chunks, by hash."""
     values = secret_values(text, base_spans(text))
@@ -317,7 +330,8 @@ def tagged(text: str, most: int | None = None) -> Iterator[tuple[list[list[int]]
                 unknown = of is None and j < len(keys) and keys[j][0] < b
                 tags.append(-1 if unknown else O if of is None else I if of == before else B)
                 before = of
-            yield rows[:TRAIN_TOKENS], tags[:TRAIN_TOKENS]
+            at_token = window(tags, zlib.crc32(text[slice(*chunk)].encode()))
+            yield rows[at_token : at_token + TRAIN_TOKENS], tags[at_token : at_token + TRAIN_TOKENS]
 
 
 def example_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from siltlake.llm import decontaminate
 
@@ -50,13 +51,48 @@ def corpus(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("seed", [1, 2, 6])
+@pytest.mark.parametrize("seed", [1, 2, 5, 6, 9])
 def test_every_window_of_the_similarity(spark, seed):
     docs, items = corpus(seed)
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r["doc_id"], r["item_id"]): (round(r["similarity"], 6), r["n_windows"]) for r in got.collect()} == brute(docs, items)
 
 
+def trial(rng, n, spread, heaviest):
+    """Bits that differ between a side of n shingles and one that has lost a fifth of the weight and got as much instead; and what it keeps."""
+    w = np.round(np.exp(rng.normal(0, spread, n)) * decontaminate.GRAIN)
+    signs = rng.integers(0, 2, (n, 64)) * 2 - 1
+    order = np.argsort(-w) if heaviest else rng.permutation(n)
+    lost = order[: np.searchsorted(np.cumsum(w[order]), 0.2 * w.sum() + 1, side="right")]
+    other = signs.copy()
+    other[lost] = rng.integers(0, 2, (len(lost), 64)) * 2 - 1
+    far = int((((w[:, None] * signs).sum(0) > 0) != ((w[:, None] * other).sum(0) > 0)).sum())
+    return far, max(0.0, 1 - 0.2 * w.sum() * w.max() / (w * w).sum())
+
+
+@pytest.mark.parametrize("n", [24, 30, 45, 60, 100, 250])
+def test_recall_of_the_radius_by_length(n):
+    """Of pairs that the index decides, over 50 seeds: none of 2000 at just the similarity lies beyond the radius."""
+    asked = beyond = 0
+    for seed in range(50):
+        rng = np.random.default_rng(seed)
+        for k in range(40):
+            far, keeps = trial(rng, n, (0, 0.1, 0.15, 0.2)[k % 4], k % 2)
+            if keeps * keeps >= decontaminate.COSINE**2:
+                asked += 1
+                beyond += far > decontaminate.RADIUS
+    assert asked > 500 and beyond == 0
+
+
+def test_pairs_without_a_promise_skip_the_index(spark):
+    """A few heavy shingles and many light ones: the fingerprints lie far apart, and the pair is found."""
+    from pyspark.sql import functions as F
+
+    rows = [("a", h, 10) for h in range(1, 31)] + [("b", h, 10) for h in range(1, 30)] + [("b", 77, 1000)] + [("c", h, 5) for h in range(5)]
+    kept = {r["k"]: r["keeps"] for r in decontaminate.fingerprint(spark.createDataFrame(rows, "k string, h long, weight long").withColumn("h", F.xxhash64("h")), "k").collect()}
+    assert abs(kept["a"] - 0.8) < 1e-9 and kept["b"] < 0.75 and kept["c"] == 0
+
+
 def test_windows_between_aligned_ones(spark):
     item = [f"i{n}" for n in range(60)]
     words = [f"x{n}" for n in range(100)] + ["a", "b", "c"] + item[3:30] + [f"m{n}" for n in range(6)] + item[30:57] + ["d", "e", "f"] + [f"y{n}" for n in range(100)]

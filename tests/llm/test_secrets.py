@@ -159,6 +159,33 @@ def test_chunks_decode_as_the_whole_text_and_in_linear_time():
     assert len(base) == 40_000 and secrets.field_spans(many, f, base) == [] and time.time() - began < 90
 
 
+def test_chunks_of_many_names_take_linear_time():
+    took = []
+    for n in (4000, 16000):
+        text = "token=" * n + "x y" + " password: " * 3
+        began = time.perf_counter()
+        assert secrets.free_chunks(text) == [(0, 6 * n + 1)]
+        took.append(time.perf_counter() - began)
+    assert took[1] < 1
+
+
+def test_the_chunks_are_those_of_their_definition():
+    rng = random.Random(9)
+    parts = ["token=", "key:", " ", "\n", "passwd", "secret = ", "abcdefgh", "a1", "x", "auth:", "pwd=", "'"]
+    for _ in range(2000):
+        text = "".join(rng.choices(parts, k=rng.randrange(12)))
+        chunks = [m.span() for m in re.finditer(r"\S+", text)]
+        named = [m.end() for m in secrets.NAMED.finditer(text)]
+        free = [(a, b) for a, b in chunks if b - a >= 8 and re.search("[0-9]|[a-z][A-Z]", text[a:b]) or any(a <= e < b and b - e >= 8 for e in named)]
+        assert secrets.free_chunks(text) == free, text
+
+
+def test_training_windows_begin_by_hash_but_not_inside_a_secret():
+    tags = [secrets.O] * 50 + [secrets.B] + [secrets.I] * 80 + [secrets.O] * 70
+    starts = {secrets.window(tags, k) for k in range(1000)}
+    assert len(starts) > 50 and all(tags[k] != secrets.I for k in starts) and max(starts) > 130 and secrets.window(tags[:40], 7) == 0
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "s"), (2, "", None), (3, "x " * 100_000 + "password=abcdef1", None), (4, "a" * 200_000 + "1", None), (5, "token: abcdef", None), (5, "token: abcdef", None), (None, "é token: abcdef", None)]
     out = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string"), field()).collect()
