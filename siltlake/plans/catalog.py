@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltlake.functions import exprs
 from siltlake.operators import dedup, flatten, merge, reconcile, tokens, transform, windows
-from siltlake.plans import marts, silver
+from siltlake.plans import marts, silver, sqlmarts
 from siltlake.sinks import tables
 from siltlake.sources import files
 
@@ -376,6 +377,25 @@ def feedback_mart(spark, read):
     return marts.feedbacks(mart_rows(read), at())
 
 
+FACTS_SQL = """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS state, coalesce(n, 0) AS n_lines, coalesce(amount, 0) AS amount, coalesce(r, 0) AS n_returned FROM orders
+  LEFT JOIN (SELECT l_orderkey, count(*) AS n, sum(l_extendedprice::DECIMAL(18,2)) AS amount, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey"""
+
+
+@query(f"""WITH f AS ({FACTS_SQL}), a AS (SELECT customer_id, count(*) AS n_orders, sum(amount) AS amount, count(*) FILTER (n_returned > 0) AS returns, bool_or(state = 'O') AS open FROM f GROUP BY 1)
+SELECT c_mktsegment AS segment, n_name AS nation, count(*) AS n_customers, sum(n_orders)::BIGINT AS n_orders, sum(amount)::DECIMAL(38,2) AS amount, sum(returns)::BIGINT AS n_with_returns, count(*) FILTER (open) AS n_open, count(*) FILTER (customer_id IN (SELECT customer_id FROM f WHERE n_lines = 0)) AS n_late, TIMESTAMP '2024-06-01 00:00:00' AS _data_as_of
+FROM a JOIN customer ON customer_id = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE amount > (SELECT avg(amount) / 4 FROM a) GROUP BY 1, 2""")
+def sql_marts(spark, read):
+    """The folder of SQL marts, ordered by what each reads, as one plan."""
+    for name in ("lineitem", "orders", "customer", "nation"):
+        read(name).createOrReplaceTempView(f"src_{name}")
+    try:
+        found = sqlmarts.discover(spark, (Path(__file__).parent / "sql").as_uri(), {"order_facts": ["order_id"], "customer_activity": ["customer_id"], "segment_report": ["segment", "nation"]})
+        return sqlmarts.frames(spark, found, at(), ["segment_report"])["segment_report"].withColumn("amount", F.col("amount").cast("decimal(38,2)"))
+    finally:
+        for name in ("lineitem", "orders", "customer", "nation"):
+            spark.catalog.dropTempView(f"src_{name}")
+
+
 @query("SELECT conv_id, turn, (SELECT min(b.turn) FROM conversations b WHERE b.conv_id = a.conv_id AND b.role = 'assistant' AND b.turn > a.turn) AS reply_turn FROM conversations a WHERE role = 'user'")
 def first_reply(spark, read):
     w = Window.partitionBy("conv_id").orderBy("turn").rangeBetween(1, Window.unboundedFollowing)

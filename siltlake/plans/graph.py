@@ -23,6 +23,8 @@ class Mart:
     keys: Sequence[str]
     build: Callable[..., DataFrame]
     incremental: bool = False
+    #: Buckets of keys the table is laid out in, so that a refresh rewrites those it touches alone; 0 rewrites the table.
+    buckets: int = 0
 
 
 def order(marts: Mapping[str, Mart], wanted: Sequence[str] | None = None) -> list[str]:
@@ -52,10 +54,11 @@ def refresh(spark: SparkSession, marts: Mapping[str, Mart], run_at: Column, want
             continue
         try:
             built = mart.build(*[spark.table(f"gold_{r}" if r in marts else r) for r in mart.reads], run_at)
-            table = f"gold_{name}"
-            target = tables.current(spark, table)
-            merged = merged_mart(built, target, mart, run_at)
-            tables.replace(merged, table)
+            table, rows = f"gold_{name}", conformed(built, mart)
+            if mart.buckets:
+                tables.merge_touched(rows, table, mart.keys, lambda target, batch, mart=mart: merged_mart(batch, target, mart, run_at), mart.buckets)
+            else:
+                tables.replace(merged_mart(rows, tables.current(spark, table), mart, run_at), table)
             status[name] = "ok"
         except Exception as e:
             if halt:
@@ -66,9 +69,13 @@ def refresh(spark: SparkSession, marts: Mapping[str, Mart], run_at: Column, want
     return status
 
 
-def merged_mart(built: DataFrame, target: DataFrame | None, mart: Mart, run_at: Column) -> DataFrame:
-    """The mart's table after a build: rows as text, one per key, merged by key."""
-    rows = dedup.latest(reconcile.as_text(reconcile.resolve_columns(built, mart.keys)), mart.keys, [c for c in built.columns if c not in TECHNICAL][:1])
+def conformed(built: DataFrame, mart: Mart) -> DataFrame:
+    """What a build gives: as text, one row per key."""
+    return dedup.latest(reconcile.as_text(reconcile.resolve_columns(built, mart.keys)), mart.keys, [c for c in built.columns if c not in TECHNICAL][:1])
+
+
+def merged_mart(rows: DataFrame, target: DataFrame | None, mart: Mart, run_at: Column) -> DataFrame:
+    """The mart's table after a build of rows, merged by key."""
     if mart.incremental:
         rows = merge.changed(rows, target, mart.keys)
     rows = rows.withColumns({"_updated_at": run_at, "_inserted_at": run_at})

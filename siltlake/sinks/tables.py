@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltlake.functions.names import payload
 
@@ -32,6 +33,12 @@ BUCKET = "_bucket"
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
+def bucket_of(keys: Sequence[str], schema: T.StructType, buckets: int) -> Column:
+    """The bucket of a row by its keys, as values of the table's types: neither the session's time zone nor a batch's narrower type moves a key."""
+    kinds = {f.name.lower(): f.dataType for f in schema}
+    return F.pmod(F.xxhash64(*[F.col(k).try_cast(kinds[k.lower()]) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Callable[[DataFrame | None, DataFrame], DataFrame], buckets: int) -> None:
     """Merges a batch into a table that is partitioned by buckets of its keys; only buckets that the batch touches are read and written.
 
@@ -40,8 +47,8 @@ def merge_touched(batch: DataFrame, name: str, keys: Sequence[str], merge: Calla
     buckets is laid out anew once.
     """
     spark = batch.sparkSession
-    of = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
     target = current(spark, name)
+    of = bucket_of(keys, batch.schema if target is None else target.schema, buckets)
     if target is None or BUCKET not in target.columns:
         if target is not None:
             old = f"{name}_old"
