@@ -12,7 +12,7 @@ from siltlake.functions import exprs
 from siltlake.operators import dedup, flatten, merge, reconcile, tokens, transform, windows
 from siltlake.plans import marts, silver, sqlmarts
 from siltlake.sinks import tables
-from siltlake.sources import files
+from siltlake.sources import database, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -277,6 +277,19 @@ def text_lines(spark, read):
     return files.text_lines(spark, where).select("line_number", "line_content")
 
 
+@query(f"""WITH t AS ({BASE_SQL}), s AS ({LAST_SQL}), m AS (SELECT k, v, c, stamp FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT k, v, c, stamp FROM s)
+SELECT k, v, c, stamp::TIMESTAMP AS stamp FROM m WHERE k > 100 AND stamp > TIMESTAMP '1994-01-01 00:00:00'""")
+def database_upsert(spark, read):
+    """A table written to a database, a batch merged into it by key, twice, and the increment read back by ranges of the key."""
+    where = tables.local(tables.scratch(spark, "database")) + ".sqlite"
+    database.write(base(read), where, "orders", "overwrite", ["k"])
+    rows = merge.single(repeated(read), ["k"], "stamp", "latest").drop("_is_deleted")
+    for _ in range(2):
+        database.write(rows, where, "orders", keys=["k"])
+    found = database.read(spark, where, "orders", schema="k long, v string, c long, stamp timestamp", split=("k", 8))
+    return found.where((F.col("k") > 100) & (F.col("stamp") > at("1994-01-01 00:00:00")))
+
+
 @query("SELECT n_nationkey, sha256(concat_ws('||', coalesce(n_name, '<NULL>'), coalesce(n_regionkey::VARCHAR, '<NULL>'))) AS payload_hash FROM nation")
 def payload_hash(spark, read):
     return read("nation").select("n_nationkey", exprs.payload_hash(["n_regionkey", "n_name"]).alias("payload_hash"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,16 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
+def local(path: str) -> str:
+    """A folder's path for programs that open files themselves, such as a database in a file; it must be mounted wherever they run."""
+    scheme, _, rest = path.partition(":")
+    if rest.startswith("/") and scheme != "file":
+        raise ValueError(f"{path} is no mounted folder")
+    out = re.sub("^/*", "/", rest) if scheme == "file" else path
+    Path(out).parent.mkdir(parents=True, exist_ok=True)
+    return out
+
+
 def restore(spark: SparkSession, name: str) -> None:
     """Puts <name>_old back where a replacement broke off between its two renames."""
     if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}_old"):
