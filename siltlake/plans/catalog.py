@@ -423,6 +423,24 @@ def nearest_preceding(spark, read):
     return found.where("event_type = 'purchase'").select("event_id", "user_id", "prior_id", "prior_type")
 
 
+@query("""SELECT event_id, event_type, last_value(CASE WHEN value > 90 THEN event_id END IGNORE NULLS) OVER w AS prior_id, last_value(CASE WHEN value > 90 THEN user_id END IGNORE NULLS) OVER w AS prior_user, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def nearest_preceding_hot_keys(spark, read):
+    """Keys that hold a large part of all rows each: their order is cut into blocks."""
+    rows, order = read("events"), ["ts", "event_id"]
+    found = windows.nearest_preceding(rows, ["event_type"], order, F.col("value") > 90, {"prior_id": F.col("event_id"), "prior_user": F.col("user_id")}, hot=True, least=1000)
+    return windows.numbered(found, ["event_type"], order, "n", hot=True, least=1000).select("event_id", "event_type", "prior_id", "prior_user", "n")
+
+
+@query("""SELECT event_type, coalesce(string_agg(CASE WHEN value > 50 THEN user_id::VARCHAR END, '; ' ORDER BY ts, event_id), '') AS users FROM events GROUP BY event_type
+  UNION ALL SELECT user_id::VARCHAR, coalesce(string_agg(CASE WHEN value > 50 THEN event_type END, '; ' ORDER BY ts, event_id), '') FROM events GROUP BY user_id""")
+def ordered_list_hot_keys(spark, read):
+    rows, order, high = read("events").withColumn("user", F.col("user_id").cast("string")), ["ts", "event_id"], F.col("value") > 50
+    by_type = windows.ordered_list(rows, ["event_type"], order, F.when(high, F.col("user")), "users", hot=True, least=1000)
+    by_user = windows.ordered_list(rows, ["user"], order, F.when(high, F.col("event_type")), "users", hot=True, least=1000)
+    return by_type.unionByName(by_user.withColumnRenamed("user", "event_type"))
+
+
 @query("SELECT c_custkey, c_name, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def lookup_join(spark, read):
     return windows.lookup(read("customer"), read("nation"), "c_nationkey", "n_nationkey", {"n_name": "nation"}).select("c_custkey", "c_name", "nation")
