@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltlake.functions import exprs
-from siltlake.operators import dedup, flatten, merge, reconcile, tokens, transform, windows
+from siltlake.operators import dedup, flatten, merge, reconcile, records, tokens, transform, windows
 from siltlake.plans import marts, silver, sqlmarts
 from siltlake.sinks import tables
 from siltlake.sources import database, files
@@ -455,6 +455,21 @@ def flatten_json(spark, read):
     return flatten.flatten(nested)
 
 
+@query("""SELECT event_id, k AS id, CASE WHEN s = 0 THEN event_type WHEN s = 2 THEN user_id || ', ' || event_type || ', True' END AS detail, CASE WHEN s = 1 OR s = 3 AND part = 1 THEN event_type WHEN s = 3 THEN 'again' END AS detail_kind,
+  CASE WHEN s = 1 OR s = 3 AND part = 2 THEN user_id::VARCHAR END AS detail_user, '[{"n":' || k || '},{"m":null,"n":"x"}]' AS meta_tags, k || ', x' AS meta_tags_n, NULL::VARCHAR AS meta_tags_m, NULL::VARCHAR AS meta_flags
+  FROM (SELECT event_id, event_type, user_id, event_id % 4 AS s, (props::JSON ->> '$.k') AS k FROM events), (VALUES (1), (2)) AS parts(part) WHERE part = 1 OR s = 3""")
+def flatten_records(spark, read):
+    """JSON text without a schema, in which a field is a scalar, an object, a list or a list of objects by row."""
+    k, s, text = F.get_json_object("props", "$.k"), F.col("event_id") % 4, F.concat
+    kind, user = text(F.lit('"'), "event_type", F.lit('"')), F.col("user_id").cast("string")
+    detail = (
+        F.when(s == 0, kind).when(s == 1, text(F.lit('{"kind":'), kind, F.lit(',"user":'), user, F.lit("}"))).when(s == 2, text(F.lit("["), user, F.lit(","), kind, F.lit(",true]")))
+        .otherwise(text(F.lit('[{"kind":'), kind, F.lit('},{"user":'), user, F.lit(',"kind":"again"}]')))
+    )
+    json = text(F.lit('{"id":'), k, F.lit(',"detail":'), detail, F.lit(',"meta":{"flags":[],"tags":[{"n":'), k, F.lit('},{"n":"x","m":null}]}}'))
+    return records.flatten_records(read("events").select("event_id", json.alias("record")), "record", ["event_id"])
+
+
 @query("SELECT doc_id, regexp_replace(text, '[^\\x20-\\x7E\\n]', '', 'g') AS cleaned FROM documents")
 def clean_illegal_chars(spark, read):
     rows = read("documents").select("doc_id", "text")
