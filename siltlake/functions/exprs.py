@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The sentinel that closes open validity, and strings that stand for null.
 HIGH_DATE = "9999-01-01 00:00:00"
@@ -16,6 +17,8 @@ FORMATS = (
     "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy",
     "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy HH:mm", "dd/MM/yyyy", "dd-MM-yyyy HH:mm:ss", "dd-MM-yyyy",
 )
+#: Numbers taken for epoch seconds and for epoch milliseconds, both ends included.
+EPOCH_SECONDS, EPOCH_MILLIS = (1e8, 3e10), (1e11, 3e12)
 ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
 
 
@@ -30,11 +33,23 @@ def sign_of(pattern: str) -> str:
     return "/" if "/" in pattern else "-"
 
 
-def conform_timestamp(value: Column) -> Column:
+def conform_number(value: Column) -> Column:
+    """Epoch seconds or milliseconds, told apart by their size, as `yyyy-MM-dd HH:mm:ss` text; other numbers stay, as text."""
+    number = value.cast("double")
+    seconds = F.when(number.between(*EPOCH_MILLIS), number / 1000).when(number.between(*EPOCH_SECONDS), number)
+    return F.coalesce(F.date_format(F.timestamp_seconds(F.floor(seconds)), "yyyy-MM-dd HH:mm:ss"), value.cast("string"))
+
+
+def conform_timestamp(value: Column, kind: T.DataType | None = None) -> Column:
     """Text in any known format, or epoch seconds or milliseconds, as `yyyy-MM-dd HH:mm:ss` text.
 
-    Strings that stand for null become null; what no format fits stays, trimmed.
+    Strings that stand for null become null; what no format fits stays, trimmed. kind is the column's type, text if
+    not given: numbers are epochs by their range, times and dates are shown.
     """
+    if isinstance(kind, T.NumericType):
+        return conform_number(value)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     text = F.trim(value.cast("string"))
     iso = F.regexp_extract(text, ISO, 1)
     # A format is tried on text of its shape alone: as long as it is, with its first sign where it stands.

@@ -154,6 +154,12 @@ def changed(incoming: DataFrame, target: DataFrame | None, keys: Sequence[str])
     return met.where(F.col("t.__known").isNull() | differs("s", "t", content)).select("s.*")
 
 
+def missing_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of df that other lacks; a null key is a key like any other."""
+    mine, theirs = df.select(*keys).dropDuplicates(), other.select(*keys)
+    return mine.alias("t").join(theirs.alias("s"), on_keys("t", "s", keys), "left_anti")
+
+
 STRATEGIES = {"scd1": scd1, "scd2": scd2, "upsert": scd1, "merge_into": scd1}
 
 

@@ -32,7 +32,7 @@ def reconcile(df: DataFrame, target: T.StructType) -> DataFrame:
         if source is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif timestamp_like(f.name, f.dataType):
-            text = conform_timestamp(F.col(f"`{source}`"))
+            text = conform_timestamp(F.col(f"`{source}`"), df.schema[source].dataType)
             out.append((text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)).alias(f.name))
         else:
             out.append(F.col(f"`{source}`").try_cast(f.dataType).alias(f.name))

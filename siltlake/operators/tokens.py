@@ -8,8 +8,9 @@ import random
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Tokenizer = Callable[[list[str]], list[str]]
 
@@ -44,16 +45,26 @@ def with_retries(tokenizer: Tokenizer, values: list[str], tries: int = 5, wait:
 
 
 def tokenize(df: DataFrame, columns: Sequence[str], tokenizer: Tokenizer, batch: int = 500) -> DataFrame:
-    """Replaces the non-blank values of string columns by tokens; at most `batch` values a call. A wrong count fails the task: plain values never pass."""
+    """Replaces the non-blank values of columns by tokens, as strings; at most `batch` values a call. A wrong count fails the task: plain values never pass.
+
+    Other columns stay in Arrow as they are, so a null beside a long changes neither.
+    """
     names = [c for c in columns if c in df.columns]
+    if not names:
+        return df
+    df = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in names})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
+            arrays = dict(zip(rows.schema.names, rows.columns))
             for c in names:
-                live = rows[c].notna() & (rows[c].astype("string").str.strip() != "").fillna(False)
-                values = rows.loc[live, c].astype(str).tolist()
-                tokens = [t for k in range(0, len(values), batch) for t in with_retries(tokenizer, values[k : k + batch])]
-                rows.loc[live, c] = tokens
-            yield rows
+                values = arrays[c].to_pylist()
+                live = [k for k, v in enumerate(values) if v is not None and v.strip()]
+                plain = [values[k] for k in live]
+                tokens = [t for k in range(0, len(plain), batch) for t in with_retries(tokenizer, plain[k : k + batch])]
+                for k, t in zip(live, tokens):
+                    values[k] = t
+                arrays[c] = pa.array(values, arrays[c].type)
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), list(arrays))
 
-    return df.mapInPandas(run, df.schema)
+    return df.mapInArrow(run, df.schema)

@@ -13,6 +13,7 @@ from siltlake.operators import dedup, flatten, merge, reconcile, records, tokens
 from siltlake.plans import marts, silver, sqlmarts
 from siltlake.sinks import tables
 from siltlake.sources import database, files
+from siltlake.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,6 +118,17 @@ def conform_timestamp(spark, read):
     return read("events").select("event_id", raw.alias("raw")).select("event_id", "raw", exprs.conform_timestamp(F.col("raw")).alias("conformed"))
 
 
+NUMBERS_SQL = "SELECT event_id, epoch(date_trunc('second', ts))::BIGINT AS s, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events"
+
+
+@query(f"SELECT event_id, t AS seconds, t AS millis, t AS fraction, t AS exact, CASE WHEN event_id < 100000000 THEN event_id::VARCHAR END AS small, strftime(t::TIMESTAMP, '%Y-%m-%d') || ' 00:00:00' AS day FROM ({NUMBERS_SQL})")
+def conform_numbers(spark, read):
+    """Epochs in long, double and decimal columns, a number that is none, and a date."""
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    rows = read("events").select("event_id", second.alias("seconds"), (second * 1000).alias("millis"), (second + 0.75).alias("fraction"), second.cast("decimal(20,3)").alias("exact"), F.col("event_id").cast("int").alias("small"), F.col("ts").cast("date").alias("day"))
+    return rows.select("event_id", *[exprs.conform_timestamp(F.col(c), rows.schema[c].dataType).alias(c) for c in rows.columns[1:]])
+
+
 @query("""SELECT o_orderkey AS order_id, o_custkey::VARCHAR AS o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ordered_at, split_part(o_orderpriority, '-', 1)::INTEGER AS rank, regexp_replace(o_orderpriority, '[^A-Z0-9-]', '', 'g') AS o_orderpriority,
   NULL::VARCHAR AS channel, o_orderdate::TIMESTAMP AS _valid_from, TIMESTAMP '9999-01-01 00:00:00' AS _valid_to, 'Y' AS _is_current, 'N' AS _is_deleted, TIMESTAMP '2024-06-01 00:00:00' AS _inserted_at, TIMESTAMP '2024-06-01 00:00:00' AS _updated_at
   FROM orders WHERE o_orderstatus <> 'P'""")
@@ -270,11 +282,14 @@ def csv_roundtrip(spark, read):
     return files.csv(spark, where)
 
 
-@query("SELECT row_number() OVER (ORDER BY o_orderkey) AS line_number, o_orderkey || ' ' || o_orderstatus AS line_content FROM orders")
+@query("SELECT row_number() OVER (PARTITION BY part ORDER BY o_orderkey) AS line_number, o_orderkey || ' ' || o_orderstatus AS line_content FROM (SELECT *, o_orderkey * 16 // (max(o_orderkey) OVER () + 1) AS part FROM orders)")
 def text_lines(spark, read):
-    where = tables.scratch(spark, "text")
-    read("orders").select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("line"), "o_orderkey").coalesce(1).sortWithinPartitions("o_orderkey").select("line").write.text(where)
-    return files.text_lines(spark, where).select("line_number", "line_content")
+    """Sixteen files of lines in the order of keys, numbered anew in each."""
+    where, rows = tables.scratch(spark, "text"), read("orders")
+    part = F.floor(F.col("o_orderkey") * 16 / (rows.agg(F.max("o_orderkey")).scalar() + 1)).alias("part")
+    lines = rows.select(F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("line"), part, "o_orderkey")
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("line", "part").write.partitionBy("part").text(where)
+    return files.text_lines(spark, where, recursiveFileLookup=True).select("line_number", "line_content")
 
 
 @query(f"""WITH t AS ({BASE_SQL}), s AS ({LAST_SQL}), m AS (SELECT k, v, c, stamp FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT k, v, c, stamp FROM s)
@@ -344,10 +359,13 @@ def stamped(df):
 def mart_rows(read):
     """The interactions mart over the conversations and events tables."""
     c, e = read("conversations"), read("events")
-    domains = stamped(c.where("conv_id % 5 <> 0").select(F.col("conv_id").cast("string").alias("conversation_id")).distinct().withColumn("primary_domain", F.concat(F.lit("d"), F.substring("conversation_id", -1, 1))))
+    named = F.when(~F.substring("conversation_id", -1, 1).isin("0", "5"), F.concat(F.lit("d"), F.substring("conversation_id", -1, 1)))
+    domains = stamped(c.select(F.col("conv_id").cast("string").alias("conversation_id")).distinct().withColumn("primary_domain", named))
     target = (F.col("event_id") % 100 * 1000 + F.col("user_id") % 6).cast("string")
     calls = stamped(e.select(target.alias("interaction_id"), F.concat(F.when(F.col("value") > 95, "Start Live Agent Chat ").otherwise("plug "), "event_type").alias("plugin_name"), F.when(F.col("value") > 20, "true").when(F.col("value") > 5, "False").otherwise("nan").alias("served"), F.when(F.col("value") > 40, "TRUE").otherwise("false").alias("used")))
-    used = stamped(e.where("event_type <> 'view'").select(target.alias("interaction_id"), (F.col("user_id") % 9).cast("string").alias("resource_id"), F.when(F.col("event_type") == "error", "RESOURCE_TYPE_TICKET").otherwise("DOC").alias("type"), F.lit("it").alias("detail_domain"), F.col("event_type").alias("detail_name"), (F.col("user_id") % 4).cast("string").alias("detail_external_resource_id")))
+    kind = F.when(F.col("event_type") == "error", "RESOURCE_TYPE_TICKET").otherwise("DOC")
+    taken = {"resource_id": (F.col("user_id") % 9).cast("string"), "type": kind, "detail_domain": F.lit("it"), "detail_name": F.col("event_type"), "detail_external_resource_id": (F.col("user_id") % 4).cast("string")}
+    used = stamped(e.select(target.alias("interaction_id"), *[F.when(F.col("event_type") != "view", v).alias(n) for n, v in taken.items()]))  # a view takes no resource
     users = stamped(e.select((F.col("user_id") % 60).cast("string").alias("id"), F.concat(F.lit("l"), (F.col("event_id") % 3).cast("string")).alias("user_preferred_language"), F.col("ts").alias("_updated_at"), F.col("ts").alias("_inserted_at")))
     return marts.interactions(turns(read), domains, calls, used, users, at())
 
@@ -473,7 +491,7 @@ def flatten_records(spark, read):
 @query("SELECT doc_id, regexp_replace(text, '[^\\x20-\\x7E\\n]', '', 'g') AS cleaned FROM documents")
 def clean_illegal_chars(spark, read):
     rows = read("documents").select("doc_id", "text")
-    return transform.run(rows, transform.Transform(keys=["doc_id"], cast_all_to_string=False, illegal=None, derived={"cleaned": r"regexp_replace(text, '[^\\x20-\\x7E\\n]', '')"}, exclude=["text"]), at()).select("doc_id", "cleaned")
+    return transform.run(rows, transform.Transform(keys=["doc_id"], illegal=r"[^\x20-\x7E\n]", casts={"doc_id": "bigint"}, renames={"text": "cleaned"}), at()).select("doc_id", "cleaned")
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderdate::TIMESTAMP AS o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100")
@@ -509,11 +527,9 @@ def union_drifting_batches(spark, read):
 @query("SELECT date_trunc('day', ts)::TIMESTAMP AS start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS \"end\", event_type, count(*) AS n, sum(value::DECIMAL(18,2)) AS total FROM events GROUP BY ALL")
 def windowed_events(spark, read):
     """The batch form of streaming.windowed_counts."""
-    rows = read("events").withColumn("value", money("value"))
-    out = rows.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
-    return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "n", "total")
+    return streams.windowed_counts(read("events").withColumn("value", money("value")), "ts", ["event_type"], "1 day", "1 day")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem EXCEPT SELECT o_orderkey, 1 FROM orders")
 def key_difference(spark, read):
-    return read("lineitem").select("l_orderkey", "l_linenumber").subtract(read("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber")))
+    return merge.missing_keys(read("lineitem"), read("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber")), ["l_orderkey", "l_linenumber"])

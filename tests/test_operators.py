@@ -218,3 +218,18 @@ def test_a_key_twice_in_the_batch_is_an_error_or_reduced(spark):
     with pytest.raises(ValueError):
         runs["scd1"](duplicates="first")
 
+
+
+def test_tokens_leave_other_columns_as_they_are(spark):
+    df = spark.createDataFrame([(2**53 + 1, "a", 1, [1, None], dt.datetime(2024, 1, 1, 0, 0, 0, 7)), (None, " ", None, None, None), (3, None, 2**31 - 1, [], None)], "k long, v string, n int, l array<int>, at timestamp")
+    found = tokens.tokenize(df, ["v", "n", "missing"], tokens.digest_tokenizer("s")).collect()
+    digest = lambda v: tokens.digest_tokenizer("s")([v])[0]
+    assert sorted(map(tuple, found), key=repr) == sorted([(2**53 + 1, digest("a"), digest("1"), [1, None], dt.datetime(2024, 1, 1, 0, 0, 0, 7)), (None, " ", None, None, None), (3, None, digest(str(2**31 - 1)), [], None)], key=repr)
+    with pytest.raises(Exception, match="tokens for"):
+        tokens.tokenize(df, ["v"], lambda values: values[:0]).collect()
+
+
+def test_keys_that_are_missing(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, None)], "k int, v string")
+    other = spark.createDataFrame([(1, "a"), (None, None)], "k int, v string")
+    assert [tuple(r) for r in merge.missing_keys(left, other, ["k", "v"]).collect()] == [(2, None)]
