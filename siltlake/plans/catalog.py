@@ -305,6 +305,30 @@ def database_upsert(spark, read):
     return found.where((F.col("k") > 100) & (F.col("stamp") > at("1994-01-01 00:00:00")))
 
 
+@query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, CASE WHEN c_acctbal > 0 THEN c_mktsegment || chr(10) || chr(10) || '\"x\", y' ELSE c_mktsegment END AS note FROM customer")
+def csv_split(spark, read):
+    """Fields over several lines in files that are split among tasks."""
+    where = tables.scratch(spark, "csv")
+    note = F.when(F.col("c_acctbal") > 0, F.concat("c_mktsegment", F.lit('\n\n"x", y'))).otherwise(F.col("c_mktsegment"))
+    read("customer").select("c_custkey", "c_name", note.alias("note")).write.options(header=True, escape="\\").csv(where)
+    return files.csv(spark, where, multiline="split")
+
+
+PARTS_SQL = "SELECT *, value > 99 AND event_id > min(event_id) OVER (PARTITION BY part) AS bad FROM (SELECT *, event_id * 16 // (max(event_id) OVER () + 1) AS part FROM events)"
+
+
+@query(f"SELECT event_id, event_type, value FROM ({PARTS_SQL}) e WHERE event_id < (SELECT coalesce(min(event_id), 1e18::BIGINT) FROM ({PARTS_SQL}) x WHERE x.part = e.part AND x.bad)")
+def json_until_a_bad_line(spark, read):
+    """Sixteen files of JSON lines, of which each counts up to its first bad line."""
+    where, rows = tables.scratch(spark, "json"), read("events")
+    part = F.floor(F.col("event_id") * 16 / (rows.agg(F.max("event_id")).scalar() + 1)).alias("part")
+    first = F.min("event_id").over(Window.partitionBy("part"))  # a file that begins with a bad line would be no lines at all
+    line = F.when((F.col("value") > 99) & (F.col("event_id") > first), F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", "event_type", "value")))
+    rows.withColumn("part", part).select(line.alias("line"), "part", "event_id").repartition("part").sortWithinPartitions("part", "event_id").select("line", "part").write.partitionBy("part").text(where)
+    schema = rows.select("event_id", "event_type", "value").schema
+    return files.json_records(spark, where, schema, recursiveFileLookup=True)
+
+
 @query("SELECT n_nationkey, sha256(concat_ws('||', coalesce(n_name, '<NULL>'), coalesce(n_regionkey::VARCHAR, '<NULL>'))) AS payload_hash FROM nation")
 def payload_hash(spark, read):
     return read("nation").select("n_nationkey", exprs.payload_hash(["n_regionkey", "n_name"]).alias("payload_hash"))

@@ -152,8 +152,7 @@ def test_json_and_text(spark, tmp_path):
     assert [files.json_records(spark, str(tmp_path / f"{n}.json")).count() for n in "abc"] == [2, 3, 1]
     (tmp_path / "d d.json").write_text('\n  \n{"a": 7, "b": "x"}\n')
     (tmp_path / "e.json").write_text("")
-    assert [[f.rpartition("/")[2] for f in found] for found in files.files_by_kind(spark, str(tmp_path / "*.json"))] == [["a.json", "d d.json"], ["b.json", "c.json"]]
-    mixed = files.json_records(spark, str(tmp_path / "*.json"), mixed=True)
+    mixed = files.json_records(spark, str(tmp_path / "*.json"))
     assert sorted((r["a"], r["b"]) for r in mixed.collect() if r["b"] is None) == [(1, None), (1, None), (2, None), (2, None), (3, None), (5, None)]
     assert [r["a"] for r in mixed.where("b = 'x'").collect()] == [7]
     (tmp_path / "t.txt").write_text("x\r\n\ny\n")
