@@ -6,8 +6,9 @@ whole text: characters per token of both, the share of byte-fallback tokens, and
 of the tokens. Each measure has a band per script; a text outside a band is rejected. A band is taken
 from the table: the quantiles of the measure at the tail share TAIL on both sides, over all texts of the
 script that pass the base rules, widened by the greater of their distances from the median. Junk of up to
-that share of a script does not move its bands. The fixed BANDS hold as well, and alone for scripts of
-fewer than LEAST_DOCS such texts.
+that share of a script does not move its bands. The fixed BANDS hold as well; a script's own edges lie between
+those and its quantiles' by the number n of such texts, as n / (n + EVEN_DOCS), so that a few texts say little and no number of
+texts switches a rule on. As bands come from the table, documents that are added may change the verdict of others.
 
 Defined results: null or blank texts have no words, so every count is 0 and base_failed is true;
 texts that pass the base rules are judged by the bands, however short; a measure on a band's edge is inside; repeated rows get
@@ -38,8 +39,8 @@ MIN_WORDS = 10
 MOST_REPEATED = 20  # per cent of words
 #: Distinct words whose tokens a worker remembers.
 WORDS = 600_000
-#: Share of a script's texts that may lie beyond either quantile, and texts a script needs for bands of its own.
-TAIL, LEAST_DOCS = 0.05, 100
+#: Share of a script's texts that may lie beyond either quantile, and how many texts make its own edges count as much as the fixed ones.
+TAIL, EVEN_DOCS = 0.05, 25
 #: Least widening of a band: characters per token, byte-fallback share, share of the even entropy.
 LEAST_WIDENING = {"chars_per_token": 0.25, "chars_per_byte_bpe_token": 0.25, "byte_share": 0.1, "token_entropy": 0.1}
 #: Ids of the byte-fallback tokens in the vocabulary with byte fallback.
@@ -168,16 +169,23 @@ def banded() -> dict[str, Column]:
 
 
 def bands_of(measured: DataFrame) -> DataFrame:
-    """script, and for each measure low_ and high_: the bands of scripts with enough texts that pass the base rules."""
+    """script, and for each measure low_ and high_: the bands by the texts that pass the base rules."""
     live = measured.where(~F.col("base_failed"))
     # On a grid, so that a group holds a bounded number of distinct values and the result depends on no order.
     quantiles = [F.percentile(F.round(x, 3), F.array(F.lit(TAIL), F.lit(0.5), F.lit(1 - TAIL))).alias(m) for m, x in banded().items()]
-    found = live.groupBy(F.col("script").alias("of")).agg(F.count(F.lit(1)).alias("n_docs"), *quantiles).where(F.col("n_docs") >= LEAST_DOCS)
+    found = live.groupBy(F.col("script").alias("of")).agg(F.count(F.lit(1)).alias("n_docs"), *quantiles)
+    own = F.col("n_docs") / (F.col("n_docs") + EVEN_DOCS)
+    fixed = lambda edge: F.create_map(*[F.lit(x) for name, band in BANDS.items() for x in (name, float(edge(band)))])[F.col("of")]
+    outer = {
+        "chars_per_token": (fixed(lambda b: b[0][0]), fixed(lambda b: b[0][1])), "chars_per_byte_bpe_token": (fixed(lambda b: b[1][0]), fixed(lambda b: b[1][1])),
+        "byte_share": (F.lit(0.0), fixed(lambda b: b[2])), "token_entropy": (fixed(lambda b: b[3]), F.lit(1.0)),
+    }
     out = [F.col("of")]
     for m, least in LEAST_WIDENING.items():
         low, middle, high = (F.col(m)[k] for k in range(3))
         wide = F.greatest(middle - low, high - middle, F.lit(least))
-        out += [(low - wide).alias(f"low_{m}"), (high + wide).alias(f"high_{m}")]
+        least_of, most_of = outer[m]
+        out += [(own * (low - wide) + (1 - own) * least_of).alias(f"low_{m}"), (own * (high + wide) + (1 - own) * most_of).alias(f"high_{m}")]
     return found.select(*out)
 
 

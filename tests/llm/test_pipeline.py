@@ -58,6 +58,27 @@ def test_repeated_and_clashing_rows(spark, tmp_path):
     assert len(ids) == len(set(ids)) and {0, 1, 2} <= set(ids)
 
 
+def test_nulls_ties_and_very_long_texts(spark, tmp_path):
+    """Null doc_ids, equal texts under several ids, an empty benchmark and texts of 100 000 words."""
+    rows, _ = corpus()
+    where = str(tmp_path)
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+    rng = random.Random(8)
+    words = rows[0][1].split()
+    long = " ".join(rng.choices(words, k=100_000))
+    more = [(None, rows[1][1], "xx", "s", 1), (None, rows[2][1] + " other", None, None, None), (600, long, "xx", "s", 1), (601, long, "xx", "s", 1), (602, rows[3][1], "xx", "s", 1)]
+    spark.createDataFrame([*rows, *more], SHAPE).write.parquet(f"{where}/documents.parquet")
+    docs = spark.read.parquet(f"{where}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = decontaminate.cut(stage(spark, docs, where))
+    ids = sorted((r["doc_id"] for r in docs.collect()), key=lambda d: (d is None, d))
+    # With nothing to decontaminate, all classes but those of copies keep a row: the one of the least doc_id, a null one last.
+    kept = {r[0] for r in rows} - {500, 501, 502} - {200 + d for d in range(10)}
+    assert ids == sorted(kept | {600})
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, where).collect()
+    assert {r["doc_id"] for r in packed} == kept | {600} and max(r["piece"] for r in packed if r["doc_id"] == 600) > 20
+
+
 def test_empty_table(spark, tmp_path):
     rows, items = corpus()
     where = str(tmp_path)

@@ -112,6 +112,17 @@ def test_bands_reject_encoded_data_and_keep_prose(spark):
     assert all(sum(v) >= 0.99 * len(v) and len(v) > 20 for k, v in kept.items() if k.startswith("prose"))
 
 
+def test_bands_move_gradually_with_the_number_of_texts(spark):
+    """A script at 1, 24, 99 and 100 texts of the same kinds: its edges go from the fixed ones to its own, without a jump."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(PROSE["LATIN"].split(), k=60)) for _ in range(100)]
+    measured = quality.per_text(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), quality.each(lambda: quality.scorer(None)), quality.SCHEMA).where("NOT base_failed").cache()
+    edges = {n: quality.bands_of(measured.where(f"doc_id < {n}")).first() for n in (2, 24, 99, 100)}
+    low, (fixed, _) = [edges[n]["low_chars_per_token"] for n in (2, 24, 99, 100)], quality.BANDS["LATIN"][0]
+    assert fixed < low[0] < low[1] < low[2] and abs(low[3] - low[2]) < 0.02
+    assert all(e["high_chars_per_token"] < 9.0 and e["low_token_entropy"] > 0.3 for e in edges.values())
+
+
 def test_small_tables_reject_encoded_data_too():
     bad = {k: t for n in (12, 60) for k, t in junk(random.Random(5), n).items() if "letters" not in k}
     assert not scored(list(bad.values()))["kept"].any()
