@@ -6,17 +6,20 @@ renames and audit columns one each. Keys and the order column follow renames and
 
 from __future__ import annotations
 
+import importlib
 import importlib.util
 import inspect
+import types
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.exprs import HIGH_DATE, std_timestamp, yes_no
 from siltlake.functions.names import AUDIT
+from siltlake.sinks import state
 
 #: Metadata columns of the landing zone, and where a delete flag may stand.
 METADATA = (
@@ -59,6 +62,45 @@ def load_hook(path: str, name: str = "transform") -> Callable[..., DataFrame]:
     return getattr(module, name)
 
 
+def hook_in(spark: SparkSession, path: str, name: str = "transform") -> Callable[..., DataFrame] | None:
+    """The function of that name in a Python file in any store that Spark reads; None where there is no such file."""
+    if not state.exists(spark, path):
+        return None
+    module = types.ModuleType("siltlake_hook")
+    exec(compile(spark.read.text(path, wholetext=True).first()["value"], path, "exec"), module.__dict__)
+    return getattr(module, name)
+
+
+def find_hook(spark: SparkSession, where: str, folders: Sequence[str] = (), source: str = "", table: str = "", name: str = "transform") -> Callable[..., DataFrame] | None:
+    """A hook by its place: a file with a full path or address; else a file in one of the folders, in their order, under the name given
+    or as `<source>_<table>.py`; else a module that can be imported, `package.module` or `package.module:function`. None where there is none.
+
+    A file or module without the function is an error, as is one that fails.
+    """
+    if where.startswith("/") or "://" in where:
+        return hook_in(spark, where, name)
+    files = [w for w in (where, f"{source}_{table}.py" if source and table else "") if w.endswith(".py")]
+    for folder in folders:
+        for f in files:
+            if found := hook_in(spark, f"{folder.rstrip('/')}/{f}", name):
+                return found
+    module, _, function = where.removesuffix(".py").replace("/", ".").partition(":")
+    try:
+        known = bool(module) and importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:  # a package on the way
+        known = False
+    return getattr(importlib.import_module(module), function or name) if known else None
+
+
+def layered(df: DataFrame, hook: Callable[..., DataFrame] | None, context: dict[str, Any]) -> DataFrame:
+    """df after its hook. A column that the hook makes stands for those of its name in any case that df had."""
+    if hook is None:
+        return df
+    out = call_hook(hook, df, context)
+    made = {c.lower() for c in out.columns if c not in df.columns}
+    return out.select(*[F.col(f"`{c}`") for c in out.columns if c not in df.columns or c.lower() not in made])
+
+
 def call_hook(hook: Callable[..., DataFrame], df: DataFrame, context: dict[str, Any]) -> DataFrame:
     """hook(df), hook(df, spark) or hook(df, spark, context), by what it takes; context may be a keyword."""
     taken = inspect.signature(hook).parameters

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.names import TECHNICAL
-from siltlake.operators import dedup, merge, reconcile
+from siltlake.operators import dedup, merge, reconcile, transform
 from siltlake.sinks import tables
 
 
@@ -25,6 +25,9 @@ class Mart:
     incremental: bool = False
     #: Buckets of keys the table is laid out in, so that a refresh rewrites those it touches alone; 0 rewrites the table.
     buckets: int = 0
+    #: Applied to what the build gives; its columns stand for the build's of the same name, and those of `external` that neither has are null.
+    hook: Callable[..., DataFrame] | None = None
+    external: Sequence[str] = ()
 
 
 def order(marts: Mapping[str, Mart], wanted: Sequence[str] | None = None) -> list[str]:
@@ -69,9 +72,14 @@ def refresh(spark: SparkSession, marts: Mapping[str, Mart], run_at: Column, want
     return status
 
 
+def hooked(built: DataFrame, mart: Mart) -> DataFrame:
+    """What a build gives, after its hook and with its external columns."""
+    return reconcile.resolve_columns(transform.layered(built, mart.hook, {"mart": mart.name}), mart.keys, mart.external)
+
+
 def conformed(built: DataFrame, mart: Mart) -> DataFrame:
     """What a build gives: as text, one row per key."""
-    return dedup.latest(reconcile.as_text(reconcile.resolve_columns(built, mart.keys)), mart.keys, [c for c in built.columns if c not in TECHNICAL][:1])
+    return dedup.latest(reconcile.as_text(hooked(built, mart)), mart.keys, [c for c in built.columns if c not in TECHNICAL][:1])
 
 
 def merged_mart(rows: DataFrame, target: DataFrame | None, mart: Mart, run_at: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from urllib.parse import unquote
 
 from py4j.java_gateway import JavaObject
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.functions.names import base_name
-from siltlake.plans.graph import Mart, order
+from siltlake.operators import transform
+from siltlake.plans.graph import Mart, hooked, order
 
 #: Prefixes that a mart's name may be written with.
 PREFIXES = ("gold_tbl_", "gold_", "v_")
@@ -84,35 +86,44 @@ def evaluated(spark: SparkSession, sql: str, views: Mapping[str, DataFrame], run
             spark.catalog.dropTempView(name)
 
 
-def discover(spark: SparkSession, folder: str, keys: Mapping[str, Sequence[str]], incremental: Sequence[str] = (), buckets: Mapping[str, int] | None = None, prefixes: Sequence[str] = PREFIXES) -> dict[str, Mart]:
+def discover(
+    spark: SparkSession, folder: str, keys: Mapping[str, Sequence[str]], incremental: Sequence[str] = (), buckets: Mapping[str, int] | None = None, prefixes: Sequence[str] = PREFIXES,
+    hooks: Sequence[str] = (), external: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, Mart]:
     """The marts of a folder of SQL files, each with the keys given for it.
 
     A relation that names another mart of the folder, with or without a prefix, is what the graph orders by; all others must be
-    tables or views that the session knows. A mart that names itself reads its own table as it was.
+    tables or views that the session knows. A mart that names itself reads its own table as it was. hooks are folders in which
+    `<mart>.py` may hold a mart's transform; external names columns that are null where neither SQL nor transform gives them.
     """
     texts = read_files(spark, folder, prefixes)
     if lacking := sorted(set(texts) - set(keys)):
         raise ValueError(f"marts without keys: {lacking}")
-    return {name: _mart(spark, name, sql, texts, keys[name], name in incremental, (buckets or {}).get(name, 0), prefixes) for name, sql in texts.items()}
+    out = {}
+    for name, sql in texts.items():
+        made = _mart(spark, name, sql, texts, keys[name], prefixes)
+        hook = transform.find_hook(spark, f"{name}.py", hooks) if hooks else None
+        out[name] = replace(made, incremental=name in incremental, buckets=(buckets or {}).get(name, 0), hook=hook, external=(external or {}).get(name, ()))
+    return out
 
 
-def _mart(spark: SparkSession, name: str, sql: str, texts: Mapping[str, str], keys: Sequence[str], incremental: bool, buckets: int, prefixes: Sequence[str]) -> Mart:
+def _mart(spark: SparkSession, name: str, sql: str, texts: Mapping[str, str], keys: Sequence[str], prefixes: Sequence[str]) -> Mart:
     written = {r: mart_name(r, prefixes) for r in relations(spark, sql)}
-    inner = {r: m for r, m in written.items() if m in texts and m != name and "." not in r}
+    inner = {r: m for r, m in written.items() if m in texts and m != name}
     outer = [r for r in written if r not in inner]
     reads = [*dict.fromkeys(inner.values()), *outer]
 
     def build(*given) -> DataFrame:
         *frames, run_at = given
         of = dict(zip(reads, frames))
-        return evaluated(spark, sql, {r: of[m] for r, m in inner.items()}, run_at)
+        return evaluated(spark, sql, {r: of[m] for r, m in inner.items() if "." not in r}, run_at)  # a name with its schema is the catalogue's
 
-    return Mart(name, reads, keys, build, incremental, buckets)
+    return Mart(name, reads, keys, build)
 
 
 def frames(spark: SparkSession, marts: Mapping[str, Mart], run_at: Column, wanted: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The wanted marts and all they rest on as frames of one plan, without a table between them."""
     out: dict[str, DataFrame] = {}
     for name in order(marts, wanted):
-        out[name] = marts[name].build(*[out[r] if r in marts else spark.table(r) for r in marts[name].reads], run_at)
+        out[name] = hooked(marts[name].build(*[out[r] if r in marts else spark.table(r) for r in marts[name].reads], run_at), marts[name])
     return out

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from siltlake.operators import transform
 from siltlake.plans import graph, sqlmarts
 from siltlake.sinks import tables
 
@@ -41,7 +42,7 @@ def written(folder, **texts):
 
 
 def test_discovery_names_and_errors(spark, tmp_path):
-    where = written(tmp_path / "a", gold_one="SELECT * FROM tbl_src", two="SELECT * FROM gold_one JOIN one USING (k)", three="SELECT * FROM two WHERE note <> 'FROM four'", four="SELECT * FROM two")
+    where = written(tmp_path / "a", gold_one="SELECT * FROM tbl_src", two="SELECT * FROM gold_one JOIN one USING (k)", three="SELECT * FROM default.gold_two WHERE note <> 'FROM four'", four="SELECT * FROM two")
     (tmp_path / "a" / "notes.txt").write_text("SELECT * FROM nothing")
     marts = sqlmarts.discover(spark, where, dict.fromkeys(("one", "two", "three", "four"), ["k"]))
     assert {n: list(m.reads) for n, m in marts.items()} == {"one": ["tbl_src"], "two": ["one"], "three": ["two"], "four": ["two"]}
@@ -101,3 +102,37 @@ def test_buckets_do_not_hang_on_time_zone_or_type(spark):
         assert spark.table("gold_zones").count() == 40
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_hooks_by_folder_address_and_module(spark, tmp_path, monkeypatch):
+    code = "from pyspark.sql import functions as F\n\ndef transform(df, spark, context):\n    return df.withColumn('Total', F.lit('hook')).withColumn('mart', F.lit(context.get('mart')))\n"
+    for folder, name in (("hooks", "sums.py"), ("more", "src_tickets.py"), ("lib", "hook_module.py"), ("lib", "no_function.py")):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(code if name != "no_function.py" else "x = 1")
+    df = spark.createDataFrame([(1, 5)], "k int, total int")
+    folders = [f"{tmp_path}/missing", (tmp_path / "hooks").as_uri(), f"{tmp_path}/more"]
+    monkeypatch.syspath_prepend(str(tmp_path / "lib"))
+    found = {
+        "address": transform.find_hook(spark, (tmp_path / "hooks" / "sums.py").as_uri()), "path": transform.find_hook(spark, f"{tmp_path}/hooks/sums.py"), "folder": transform.find_hook(spark, "sums.py", folders),
+        "convention": transform.find_hook(spark, "other.py", folders, "src", "tickets"), "module": transform.find_hook(spark, "hook_module"), "file as module": transform.find_hook(spark, "hook_module.py", folders), "function": transform.find_hook(spark, "hook_module:transform"),
+    }
+    for how, hook in found.items():
+        out = transform.layered(df, hook, {"mart": how})
+        assert out.columns == ["k", "Total", "mart"] and [tuple(r) for r in out.collect()] == [(1, "hook", how)], how
+    for nothing in ("none.py", "no.such.module", f"{tmp_path}/none.py"):
+        assert transform.find_hook(spark, nothing, folders) is None
+    with pytest.raises(AttributeError):
+        transform.find_hook(spark, "no_function")
+    assert transform.layered(df, None, {}) is df
+
+
+def test_a_transform_stands_above_sql_and_sql_above_null(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS gold_layers")
+    (tmp_path / "h").mkdir()
+    (tmp_path / "h" / "layers.py").write_text("def transform(df):\n    return df.selectExpr('k', 'plain', \"'hook'\" + ' AS OWN')\n")
+    where = written(tmp_path / "m", layers="SELECT 1 AS k, 'sql' AS own, 'sql' AS plain")
+    marts = sqlmarts.discover(spark, where, {"layers": ["k"]}, hooks=[f"{tmp_path}/h"], external={"layers": ["plain", "nothing"]})
+    assert graph.refresh(spark, marts, at(1)) == {"layers": "ok"}
+    row = spark.table("gold_layers").first()
+    assert (row["k"], row["OWN"], row["plain"], row["nothing"]) == ("1", "hook", "sql", None)
+    assert sqlmarts.frames(spark, marts, at(1))["layers"].columns == ["k", "plain", "OWN", "nothing"]
