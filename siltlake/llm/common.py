@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -20,6 +22,8 @@ BLOCK = 4096
 BATCH = 1000
 #: Rows whose texts a worker holds as Python strings at once.
 SLICE = 500
+#: Least seconds between two collections of the driver's garbage.
+COLLECT = 4.0
 #: Arrow types of the types in a schema's text.
 KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
@@ -113,6 +117,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_clean(df: DataFrame) -> DataFrame:
+    """cut(), after which the driver collects its garbage if it has not done so for COLLECT seconds.
+
+    Spark removes shuffle files once the driver forgets the plan that made them. In a long run of steps these
+    would otherwise lie on the executors' disks until the driver happens to need memory.
+    """
+    out = cut(df)
+    if time.monotonic() - Collected.at > COLLECT:
+        gc.collect()
+        df.sparkSession._jvm.System.gc()
+        Collected.at = time.monotonic()
+    return out
+
+
+class Collected:
+    """When the driver last collected its garbage."""
+
+    at = 0.0
+
+
 def scratch(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import WordTable, cut, each, groups, per_text, release, rolled, table, texts
+from siltlake.llm.common import WordTable, cut_clean, each, groups, per_text, release, rolled, table, texts
 
 SHINGLE, SIMILARITY = 5, 0.8
 COORDINATES = 64
@@ -328,7 +328,7 @@ def count_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(edges: DataFrame) -> DataFrame:
     """node and component (its least node) of an undirected graph a, b, by large-star and small-star steps."""
-    now = cut(edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())
+    now = cut_clean(edges.where("a <> b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct())
     while True:
         # Done once the edges are stars: no node has two lower ones, and none is lower and higher at once.
         parts = now.select(F.col("high").alias("node"), F.lit(1).alias("h"), F.lit(0).alias("l")).union(now.select(F.col("low").alias("node"), F.lit(0).alias("h"), F.lit(1).alias("l")))
@@ -337,11 +337,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).union(now.select(F.col("high").alias("u"), F.col("low").alias("v")))
         # A node of many edges, as the hub of a star is, does not meet them all in one task.
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = cut(beside_key(both, least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high"))
+        large = cut_clean(beside_key(both, least, "u").where("v > u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low <> high"))
         down = large.groupBy("high").agg(F.min("low").alias("m"), F.count(F.lit(1)).alias("n"))
         met = beside_key(large, down, "high")
         small = met.select(F.least("m", "low").alias("low"), F.greatest("m", "low").alias("high")).union(met.select(F.col("m").alias("low"), "high"))
-        now = cut(small.where("low <> high").distinct())
+        now = cut_clean(small.where("low <> high").distinct())
     return now.select(F.col("high").alias("node"), F.col("low").alias("component")).union(now.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
 
 
@@ -363,12 +363,12 @@ def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH,
     """Edges a, b between texts that chosen paths bring together and whose coordinates look alike."""
     first = distinct.select("cls", F.explode(roots_of(runs_for(recall, depth), ROOT)).alias("path"))
     sizes = first.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = cut(beside_key(first, sizes, "path").join(distinct.select("cls", "sig"), "cls").select("path", "cls", "sig", "n"))
-    starred = cut(pivot_edges(rows))
-    known = cut(pivot_groups(starred))
+    rows = cut_clean(beside_key(first, sizes, "path").join(distinct.select("cls", "sig"), "cls").select("path", "cls", "sig", "n"))
+    starred = cut_clean(pivot_edges(rows))
+    known = cut_clean(pivot_groups(starred))
     units = []
     for level in range(ROOT, depth + 1):
-        rows = cut(grouped(rows, known).where("m < n"))
+        rows = cut_clean(grouped(rows, known).where("m < n"))
         units.append(rows.where(F.col("n") <= leaf).select(F.col("path").alias("unit"), "cls", "sig"))
         large = rows.where(F.col("n") > leaf)
         # The few texts outside the largest group meet each of its blocks.
@@ -379,7 +379,7 @@ def candidates(distinct: DataFrame, recall: float = RECALL, depth: int = DEPTH,
         if level == depth:
             units.append(in_blocks(large.where(~few), "path", F.col("n") / float(BLOCK)).select("unit", "cls", "sig"))
             break
-        open_ = cut(split(large.where(~few)))
+        open_ = cut_clean(split(large.where(~few)))
         if open_.isEmpty():
             break
         sizes = open_.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -396,10 +396,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
     """Rows of docs with doc_id, key and cls, and for each cls its first row (top), n_copies, n_links and component."""
     rows = keyed(docs)
-    signed = cut(per_text(rows, each(signer), SIGNED, beside="doc_id long, key binary"))
+    signed = cut_clean(per_text(rows, each(signer), SIGNED, beside="doc_id long, key binary"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("top")
-    distinct = cut(signed.where("cls IS NOT NULL").groupBy("cls").agg(first, F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
-    near = cut(components(candidates(distinct, recall)))
+    distinct = cut_clean(signed.where("cls IS NOT NULL").groupBy("cls").agg(first, F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"), F.first("n_words").alias("n_words")))
+    near = cut_clean(components(candidates(distinct, recall)))
     near = near.join(distinct.select("cls", "top", "n_words"), near["node"] == distinct["cls"]).select("cls", "top", "component", "n_words")
     blocks = F.greatest(F.count(F.lit(1)) / float(EXACT_TEXTS), F.sum("n_words") * 8 / float(EXACT_BYTES))
     sizes = near.groupBy("component").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n"))
@@ -407,7 +407,7 @@ def linked_texts(docs: DataFrame, recall: float = RECALL) -> tuple[DataFrame, Da
     found = rows.join(members, (rows["key"] == members["key"]) & rows["doc_id"].eqNullSafe(members["of"])).select("text", "cls", "component", "blocks")
     sets = per_text(found, each(set_maker), "made binary, shingles binary", beside="cls binary, component binary, blocks double").where("made = cls")
     units = in_blocks(sets, "component", F.col("blocks")).select("unit", "cls", "part", "cross", "shingles")
-    counted = cut(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(count_links, "cls binary, links long, root binary"))
+    counted = cut_clean(units.repartition("unit").sortWithinPartitions("unit").mapInArrow(count_links, "cls binary, links long, root binary"))
     links = counted.groupBy("cls").agg(F.sum("links").alias("n_links"))
     found = components(counted.select(F.col("root").alias("a"), F.col("cls").alias("b")))
     ids = distinct.select("cls", "top", "n_copies").join(found, F.col("cls") == F.col("node"), "left").select("cls", "top", "n_copies", F.coalesce("component", "cls").alias("component"))
@@ -419,7 +419,7 @@ def similarity_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     signed, ids = linked_texts(docs, recall)
     least = ids.groupBy("component").agg(F.min("top").alias("least"), F.count(F.lit(1)).alias("n")).select("component", F.col("least.doc_id").alias("class_id"), "n")
     ids = beside_key(ids, least, "component").select("cls", "class_id", F.col("n_copies").alias("n"), "n_links")
-    found = beside_key(signed.where("cls IS NOT NULL").select("doc_id", "cls"), cut(ids), "cls").select("doc_id", "class_id", F.col("n").alias("n_copies"), "n_links")
+    found = beside_key(signed.where("cls IS NOT NULL").select("doc_id", "cls"), cut_clean(ids), "cls").select("doc_id", "class_id", F.col("n").alias("n_copies"), "n_links")
     alone = signed.where("cls IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"))
     return found.union(alone)
 
