@@ -56,7 +56,8 @@ class Encoder:
     #: A chunk with a character outside these is left to the tokenizer as it is.
     ODD = re.compile(r"[^\x00-įĲ-ſ]")
 
-    def __init__(self, tokenizer: str | None = None):
+    def __init__(self, tokenizer: str | None = None, chunks: int = CHUNKS, parts: int = PARTS):
+        self.most_chunks, self.most_parts = chunks, parts
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -77,7 +78,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.held > CHUNKS:
+        if self.held > self.most_chunks:
             self.known, self.held = {}, 0
         chunks = self.space.sub(" ", text).split(" ")
         if new := [c for c in dict.fromkeys(chunks) if c not in self.known]:
@@ -89,7 +90,7 @@ class Encoder:
         return out
 
     def learn(self, chunks: list[str]) -> None:
-        if self.held_parts > PARTS:
+        if self.held_parts > self.most_parts:
             self.parts, self.held_parts = {"": b""}, 0
         pairs = []
         for c in chunks:

@@ -40,6 +40,8 @@ CAPACITY, END_ID = 4096, 2
 BLOCK = 4000
 #: Windows that differ, in a plan.
 STEPS = 60_000
+#: Characters of chunks, and of their parts, whose ids a worker remembers.
+REMEMBERED = 3_000_000
 #: Documents that are cut by the plan and broadcast to find their texts; more are found by shuffle.
 CUT_DOCS = 100_000
 #: What tells a document's ids: its number, the hash of its text and its length.
@@ -208,7 +210,7 @@ def first_cut(tokenizer: str | None, capacity: int):
     columns = shape(RESTS.removeprefix("doc_id long, text_hash long, "))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, REMEMBERED, REMEMBERED)
         for batch in batches:
             for k in range(0, batch.num_rows, SLICE):
                 part = batch.slice(k, SLICE)
