@@ -56,8 +56,8 @@ class Encoder:
     #: A chunk with a character outside these is left to the tokenizer as it is.
     ODD = re.compile(r"[^\x00-įĲ-ſ]")
 
-    def __init__(self, tokenizer: str | None = None, chunks: int = CHUNKS, parts: int = PARTS):
-        self.most_chunks, self.most_parts = chunks, parts
+    def __init__(self, tokenizer: str | None = None, chunks: int | None = None, parts: int | None = None):
+        self.most_chunks, self.most_parts = chunks or CHUNKS, parts or PARTS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
