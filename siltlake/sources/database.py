@@ -1,12 +1,13 @@
 """Relational tables as a Spark data source with reads by key range and writes that commit at once.
 
-Works over any Python database module with `?` parameters, named by the option `driver`; sqlite3 comes with
-Python and is the default. Reads are split by ranges of one column, a query and a connection for each task;
-filters that the database can judge go into its WHERE clause. Writes go to a staging table per task, with a name of its own,
-so tries of a task that break off leave nothing that counts; the commit brings the tables of the tasks that ended
-into place within one transaction, and an abort drops them all. A table that marks the write as open goes with them, without which no
-task begins another; so a task that runs on after an abort leaves nothing. Other sessions see the table as it was, or
-as it is afterwards.
+Works over sqlite3, which comes with Python, and modules that speak as it does, named by the option `driver`. Reads are split by
+ranges of one column, a query and a connection for each task; filters that the database can judge go into its WHERE clause.
+
+Such a database has one writer at a time, so tasks do not write to it: each fills a small database of its own, in a folder
+beside the table's, and tries that break off leave nothing that counts. With keys, the rows come in the order of the keys,
+sorted by Spark, so that the index is walked once and not at random. The commit lays the tasks' files together and brings
+them into place within one transaction; an abort drops them. The folder goes with either, and without it no task
+begins another file. Other sessions see the table as it was, or as it is afterwards.
 """
 
 from __future__ import annotations
@@ -14,24 +15,29 @@ from __future__ import annotations
 import datetime as dt
 import importlib
 import itertools
+import os
 import re
+import shutil
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
-from contextlib import closing
+from contextlib import closing, nullcontext
 from dataclasses import dataclass
 from decimal import Decimal
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import datasource as ds
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Database types by Spark type, and Spark types by words in a declared database type.
 KINDS = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "SMALLINT", "double": "DOUBLE PRECISION", "float": "REAL", "boolean": "BOOLEAN", "binary": "BLOB", "date": "DATE", "timestamp": "TIMESTAMP"}
 DECLARED = (("BOOL", "boolean"), ("BIGINT", "bigint"), ("SMALLINT", "smallint"), ("INT", "bigint"), ("DOUBLE", "double"), ("FLOA", "double"), ("REAL", "double"), ("BLOB", "binary"), ("TIMESTAMP", "timestamp"), ("DATETIME", "timestamp"), ("DATE", "date"))
-#: Rows that are read, or written, with one call.
+#: Rows that are read with one call.
 ROWS = 10_000
+#: KiB of pages that a commit holds: each time they are full, the database waits for its disk.
+CACHE = 65_536
 #: Seconds to wait for another writer of a database that has one at a time.
 WAIT = 600.0
 
@@ -50,6 +56,21 @@ def connect(options: dict[str, str]):
     return importlib.import_module(driver).connect(options["database"])
 
 
+def alone(db):
+    """A cursor for a file that no other session reads and that is thrown away if its write breaks off: nothing is kept to undo."""
+    cursor = db.cursor()
+    cursor.execute("PRAGMA journal_mode = OFF")
+    cursor.fetchall()
+    cursor.execute("PRAGMA synchronous = OFF")
+    return cursor
+
+
+def flush(file: str) -> None:
+    """Has a file's content written to its disk."""
+    with open(file, "rb") as f:
+        os.fsync(f.fileno())
+
+
 def declared(kind: str | None) -> str:
     """The Spark type of a column declared with a database type; what is not known is a string."""
     text = (kind or "").upper()
@@ -69,13 +90,15 @@ def exists(cursor, table: str) -> bool:
     return cursor.fetchone() is not None
 
 
-def stored(value: object) -> object:
-    """A value as the database keeps it: times and decimals as text, which sort as they should."""
-    if isinstance(value, dt.datetime):
-        return value.isoformat(sep=" ")
-    if isinstance(value, (dt.date, Decimal)):
-        return str(value)
-    return bytes(value) if isinstance(value, bytearray) else value
+def stored(values: pa.Array) -> list:
+    """A column as the database keeps it: times, in UTC, and decimals as text, which sort as they should."""
+    if pa.types.is_timestamp(values.type):
+        return pc.replace_substring_regex(values.cast(pa.timestamp("us")).cast(pa.string()), r"\.000000$", "").to_pylist()
+    if pa.types.is_date(values.type):
+        return values.cast(pa.string()).to_pylist()
+    if pa.types.is_decimal(values.type):
+        return [v if v is None else str(v) for v in values.to_pylist()]
+    return values.to_pylist()
 
 
 def restored(kind: T.DataType):
@@ -169,11 +192,11 @@ class DatabaseReader(DataSourceReader):
 
 @dataclass
 class Staged(WriterCommitMessage):
-    table: str
+    file: str
     rows: int
 
 
-class DatabaseWriter(DataSourceWriter):
+class DatabaseWriter(DataSourceArrowWriter):
     """Appends, replaces the table, or with `keys` replaces the rows of the keys that come."""
 
     def __init__(self, options: dict[str, str], schema: T.StructType, overwrite: bool):
@@ -183,9 +206,8 @@ class DatabaseWriter(DataSourceWriter):
         self.run = uuid.uuid4().hex[:12]
         if lacking := [k for k in self.keys if k not in schema.names]:
             raise ValueError(f"no column for keys {lacking}")
-        self.mark = f"{self.table}_staging_{self.run}_open"
-        with closing(connect(self.options)) as db:
-            db.cursor().execute(f"CREATE TABLE {quoted(self.mark)} (k INTEGER)")
+        self.folder = f"{self.options['database']}_staging_{self.run}"
+        os.mkdir(self.folder)
 
     def definitions(self) -> str:
         return ", ".join(f"{quoted(f.name)} {KINDS.get(f.dataType.simpleString(), f.dataType.simpleString().upper() if isinstance(f.dataType, T.DecimalType) else 'TEXT')}" for f in self.schema)
@@ -193,44 +215,57 @@ class DatabaseWriter(DataSourceWriter):
     def names(self) -> str:
         return ", ".join(quoted(f.name) for f in self.schema)
 
-    def write(self, iterator: Iterator) -> Staged:
-        name = f"{self.table}_staging_{self.run}_{uuid.uuid4().hex[:12]}"
-        insert = f"INSERT INTO {quoted(name)} ({self.names()}) VALUES ({', '.join('?' * len(self.schema))})"
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
+        if not os.path.isdir(self.folder):
+            raise RuntimeError(f"the write to {self.table} has ended")
+        file = f"{self.folder}/{uuid.uuid4().hex}"
+        insert = f"INSERT INTO staged ({self.names()}) VALUES ({', '.join('?' * len(self.schema))})"
         n = 0
-        with closing(connect(self.options)) as db:
-            cursor = db.cursor()
-            cursor.execute("BEGIN IMMEDIATE")
-            if not exists(cursor, self.mark):
-                raise RuntimeError(f"the write to {self.table} has ended")
-            cursor.execute(f"CREATE TABLE {quoted(name)} ({self.definitions()})")
+        with closing(connect(self.options | {"database": file})) as db:
+            cursor = alone(db)
+            cursor.execute(f"CREATE TABLE staged ({self.definitions()})")
+            cursor.execute("BEGIN")
+            for batch in iterator:
+                cursor.executemany(insert, zip(*map(stored, batch.columns)))
+                n += batch.num_rows
             cursor.execute("COMMIT")
-            # A transaction for each batch, so that tasks take turns at a database that has one writer at a time.
-            while rows := [tuple(map(stored, r)) for r in itertools.islice(iterator, ROWS)]:
-                cursor.execute("BEGIN")
-                cursor.executemany(insert, rows)
-                cursor.execute("COMMIT")
-                n += len(rows)
-        return Staged(name, n)
-
-    def left_over(self, cursor) -> list[str]:
-        cursor.execute("SELECT name FROM sqlite_master WHERE type = 'table' AND substr(name, 1, ?) = ?", (len(p := f"{self.table}_staging_{self.run}_"), p))
-        return [r[0] for r in cursor.fetchall()]
+        flush(file)
+        return Staged(file, n)
+
+    def gathered(self, files: list[str]) -> str | None:
+        """The first of the tasks' files, with the rows of all, in order; the others go. One file, since few can be open at a time."""
+        with closing(connect(self.options | {"database": files[0]})) if files else nullcontext() as db:
+            for file in files[1:]:
+                cursor = alone(db)
+                cursor.execute("ATTACH ? AS part", (file,))
+                cursor.execute("INSERT INTO main.staged SELECT * FROM part.staged")
+                cursor.execute("DETACH part")
+                os.remove(file)
+        return files[0] if files else None
 
     def commit(self, messages: list[Staged | None]) -> None:
-        staged = [m.table for m in messages if m is not None]
+        file = self.gathered([m.file for m in messages if m is not None and m.rows])
         with closing(connect(self.options)) as db:
             cursor = db.cursor()
+            cursor.execute(f"PRAGMA cache_size = -{CACHE}")
+            if file:
+                cursor.execute("ATTACH ? AS part", (file,))
             cursor.execute("BEGIN IMMEDIATE")
             try:
-                self.publish(cursor, staged)
-                for name in self.left_over(cursor):
-                    cursor.execute(f"DROP TABLE {quoted(name)}")
+                self.publish(cursor, bool(file))
                 cursor.execute("COMMIT")
             except BaseException:
                 cursor.execute("ROLLBACK")
                 raise
+        self.drop()
 
-    def publish(self, cursor, staged: list[str]) -> None:
+    def drop(self) -> None:
+        """Takes the folder away: a task that runs on finds none, and what it has written goes too."""
+        if os.path.isdir(self.folder):
+            os.rename(self.folder, gone := f"{self.folder}_gone")
+            shutil.rmtree(gone, ignore_errors=True)
+
+    def publish(self, cursor, staged: bool) -> None:
         """Brings the staged rows into the table, within the caller's transaction."""
         there = exists(cursor, self.table)
         target = f"{self.table}_staging_{self.run}_new" if self.overwrite else self.table
@@ -239,30 +274,37 @@ class DatabaseWriter(DataSourceWriter):
         elif new := [f for f in self.schema if f.name.lower() not in {c.lower() for c, _ in columns_of(cursor, self.table)}]:
             for f in new:
                 cursor.execute(f"ALTER TABLE {quoted(self.table)} ADD COLUMN {quoted(f.name)} {KINDS.get(f.dataType.simpleString(), 'TEXT')}")
-        if self.keys:
-            cursor.execute(f"CREATE UNIQUE INDEX IF NOT EXISTS {quoted(f'ux_{self.table}_{self.run}' if self.overwrite or not there else f'ux_{self.table}')} ON {quoted(target)} ({', '.join(map(quoted, self.keys))})")
-        for name in staged:
-            cursor.execute(f"INSERT INTO {quoted(target)} ({self.names()}) SELECT {self.names()} FROM {quoted(name)} WHERE true{self.on_conflict()}")
+        if staged and self.overwrite:  # as a whole, before there is an index
+            cursor.execute(f"INSERT INTO {quoted(target)} SELECT * FROM part.staged")
+        if self.keys and not self.indexed(cursor, target):
+            cursor.execute(f"CREATE UNIQUE INDEX {quoted(f'ux_{self.table}_{self.run}')} ON {quoted(target)} ({', '.join(map(quoted, self.keys))})")
+        if staged and not self.overwrite:
+            cursor.execute(f"INSERT INTO {quoted(target)} ({self.names()}) SELECT {self.names()} FROM part.staged WHERE true{self.on_conflict()}")
         if self.overwrite:
             if there:
                 cursor.execute(f"DROP TABLE {quoted(self.table)}")
             cursor.execute(f"ALTER TABLE {quoted(target)} RENAME TO {quoted(self.table)}")
 
+    def indexed(self, cursor, table: str) -> bool:
+        """Whether a unique index of the table has just the keys."""
+        cursor.execute(f"PRAGMA index_list({quoted(table)})")
+        for index in [r[1] for r in cursor.fetchall() if r[2] and not r[4]]:
+            cursor.execute(f"PRAGMA index_info({quoted(index)})")
+            if sorted(str(r[2]).lower() for r in cursor.fetchall()) == sorted(k.lower() for k in self.keys):
+                return True
+        return False
+
     def on_conflict(self) -> str:
-        """What becomes of a row whose key the table has: its other columns are replaced. A table that is replaced has each key once."""
-        if not self.keys or self.overwrite:
+        """What becomes of a row whose key the table has: its other columns are replaced, if one differs."""
+        if not self.keys:
             return ""
         rest = [f.name for f in self.schema if f.name not in self.keys]
         sets = ", ".join(f"{quoted(c)} = excluded.{quoted(c)}" for c in rest)
-        return f" ON CONFLICT ({', '.join(map(quoted, self.keys))}) DO " + (f"UPDATE SET {sets}" if sets else "NOTHING")
+        differs = " OR ".join(f"{quoted(self.table)}.{quoted(c)} IS NOT excluded.{quoted(c)}" for c in rest)
+        return f" ON CONFLICT ({', '.join(map(quoted, self.keys))}) DO " + (f"UPDATE SET {sets} WHERE {differs}" if sets else "NOTHING")
 
     def abort(self, messages: list[Staged | None]) -> None:
-        with closing(connect(self.options)) as db:
-            cursor = db.cursor()
-            cursor.execute("BEGIN IMMEDIATE")
-            for name in self.left_over(cursor):
-                cursor.execute(f"DROP TABLE {quoted(name)}")
-            cursor.execute("COMMIT")
+        self.drop()
 
 
 class DatabaseSource(DataSource):
@@ -303,4 +345,6 @@ def read(spark: SparkSession, database: str, table: str | None = None, query: st
 def write(df: DataFrame, database: str, table: str, mode: str = "append", keys: Sequence[str] = (), driver: str = "sqlite3") -> None:
     """Writes df. mode `append` adds rows, or with keys replaces those of the keys that come; `overwrite` replaces the table, with a unique index on the keys."""
     register(df.sparkSession)
+    if keys:
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     df.write.format("database").options(database=database, driver=driver, table=table, keys=",".join(keys)).mode(mode).save()

@@ -113,3 +113,49 @@ def test_increments_by_the_registry(spark, tmp_path):
     config = {"type": "sqlite", "database": at(tmp_path), "table": "src", "stamp": "updated_at", "after": "1900-01-01", "until": "9999-01-01"}
     assert registry.reader("any", config)(spark, config).count() == 19
     assert jdbc.incremental_query("src", "updated_at", "2024-01-05") == "SELECT * FROM src WHERE updated_at > '2024-01-05'"
+
+
+def staged(path):
+    return [f.name for f in path.iterdir() if "_staging_" in f.name]
+
+
+def test_tasks_fill_files_of_their_own_in_the_order_of_the_keys(spark, tmp_path):
+    df = spark.range(4000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("k"), "id").repartition(12)
+    for mode in ("overwrite", "append"):
+        database.write(df, at(tmp_path), "items", mode, ["k"])
+        with sqlite3.connect(at(tmp_path)) as db:
+            found = db.execute("SELECT k, id FROM items ORDER BY rowid").fetchall()
+            assert found == sorted(map(tuple, df.collect()))
+            assert len(db.execute("PRAGMA index_list(items)").fetchall()) == 1
+    database.write(df, at(tmp_path), "rows")
+    assert database.read(spark, at(tmp_path), "rows").count() == 4000 and not staged(tmp_path)
+
+
+def test_a_task_that_runs_on_after_the_end_writes_nothing(spark, tmp_path):
+    import pyarrow as pa
+
+    for end in ("commit", "abort"):
+        writer = database.DatabaseWriter({"database": at(tmp_path), "table": "t"}, spark.range(1).schema, False)
+        batch = pa.RecordBatch.from_pydict({"id": [1, 2]})
+        done = writer.write(iter([batch]))
+
+        def late():
+            yield batch
+            getattr(writer, end)([done])
+            yield batch
+
+        with pytest.raises(Exception):
+            writer.write(late())
+            raise RuntimeError("ended")
+        with pytest.raises(RuntimeError, match="has ended"):
+            writer.write(iter([batch]))
+        assert not staged(tmp_path)
+    with sqlite3.connect(at(tmp_path)) as db:
+        assert db.execute("SELECT id FROM t").fetchall() == [(1,), (2,)]
+
+
+def test_times_are_in_utc_with_fractions_only_where_there_are_some(spark, tmp_path):
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP '2024-01-01 00:00:00' AS t, DATE '0099-03-01' AS d UNION ALL SELECT 2, TIMESTAMP '2024-01-01 10:00:00.000100', NULL UNION ALL SELECT 3, NULL, NULL")
+    database.write(df, at(tmp_path), "t", "overwrite", ["k"])
+    with sqlite3.connect(at(tmp_path)) as db:
+        assert db.execute("SELECT * FROM t ORDER BY k").fetchall() == [(1, "2024-01-01 00:00:00", "0099-03-01"), (2, "2024-01-01 10:00:00.000100", None), (3, None, None)]
