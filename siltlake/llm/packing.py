@@ -18,6 +18,7 @@ encoded whole.
 from __future__ import annotations
 
 import bisect
+import functools
 import os
 import re
 import struct
@@ -38,7 +39,7 @@ END_ID = 1
 #: Pieces a shard holds on average: the bound on what one task packs at once.
 SHARD = 8_000
 #: Characters of distinct chunks, and of parts of chunks, whose ids a worker remembers; longer ones than LONG are not remembered.
-CHUNKS, PARTS, LONG = 1_200_000, 1_500_000, 200
+CHUNKS, PARTS, LONG = 3_000_000, 3_000_000, 200
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -73,25 +74,36 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.parts_before: dict[str, bytes] = {}
         self.held = self.held_parts = 0
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.held > self.most_chunks:
-            self.known, self.held = {}, 0
+        # What is remembered lies in two halves: a full one becomes the older, and what is met again comes over from it.
+        if 2 * self.held > self.most_chunks:
+            self.known, self.known_before, self.held = {}, self.known, 0
         chunks = self.space.sub(" ", text).split(" ")
-        if new := [c for c in dict.fromkeys(chunks) if c not in self.known]:
-            self.learn(new)
-        out = b"".join(map(self.known.__getitem__, chunks))
+        found = list(map(self.known.get, chunks))
+        try:
+            return b"".join(found)
+        except TypeError:  # some are new
+            new = list(dict.fromkeys([c for c, ids in zip(chunks, found) if ids is None]))
+        known, before = self.known, self.known_before
+        again = [c for c in new if c in before]
+        known.update((c, before[c]) for c in again)
+        self.held += sum(map(len, again))
+        self.learn([c for c in new if c not in known] if again else new)
+        out = b"".join([known[c] if ids is None else ids for c, ids in zip(chunks, found)])
         for c in new:
             if len(c) > LONG:
-                del self.known[c]
+                del known[c]
         return out
 
     def learn(self, chunks: list[str]) -> None:
-        if self.held_parts > self.most_parts:
-            self.parts, self.held_parts = {"": b""}, 0
+        if 2 * self.held_parts > self.most_parts:
+            self.parts, self.parts_before, self.held_parts = {"": b""}, self.parts, 0
         pairs = []
         for c in chunks:
             if "<|" in c or self.ODD.search(c):
@@ -101,6 +113,9 @@ class Encoder:
             head = low.rstrip(self.TAIL)
             pairs.append((head, low[len(head) :]) if head and head[-1].isalpha() else (low, ""))
         if new := [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in self.parts]:
+            self.held_parts += sum(map(len, new))
+            self.parts.update((p, self.parts_before[p]) for p in new if p in self.parts_before)
+            new = [p for p in new if p not in self.parts]
             # One run of letters is one word to the model, which then needs no normalising or splitting.
             plain = [p for p in new if p.isalpha() and (p.isascii() or not self.ODD.search(p))]
             for p in plain:
@@ -109,7 +124,6 @@ class Encoder:
             rest = [p for p in new if p not in self.parts]
             for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
                 self.parts[p] = np.array(e.ids, "<u4").tobytes()
-            self.held_parts += sum(map(len, new))
         for c, (head, tail) in zip(chunks, pairs):
             self.known[c] = self.parts[head] + self.parts[tail]
         self.held += sum(map(len, chunks))
@@ -117,11 +131,17 @@ class Encoder:
             del self.parts[head]
 
 
+@functools.lru_cache(maxsize=1)
+def kept(tokenizer: str | None, chunks: int, parts: int) -> Encoder:
+    """A worker's encoder, which outlives a task: the next one begins with what is remembered."""
+    return Encoder(tokenizer, chunks, parts)
+
+
 def cut_batches(tokenizer: str | None, capacity: int, with_ids: bool):
     columns = shape(PIECES.split(", ", 1)[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        encoder, end = kept(tokenizer, CHUNKS, PARTS), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             for k in range(0, batch.num_rows, SLICE):
                 part = batch.slice(k, SLICE)
@@ -137,7 +157,6 @@ def cut_batches(tokenizer: str | None, capacity: int, with_ids: bool):
                 made = [part["doc_id"].take(pa.array(of, pa.int32())), *arrays(out, columns)]
                 names = ["doc_id", *columns.names]
                 yield pa.RecordBatch.from_arrays(made + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
-        del encoder
         release()
 
     return run

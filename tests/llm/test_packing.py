@@ -41,6 +41,22 @@ def test_caches_start_afresh_and_long_chunks_are_not_kept(monkeypatch):
     assert len(encoder.known) < 30 and max(map(len, encoder.known)) <= packing.LONG and max(map(len, encoder.parts)) <= packing.LONG
 
 
+def test_what_is_met_again_is_remembered_beyond_full_halves(monkeypatch):
+    encoder, learnt = packing.Encoder(None, 400, 400), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda chunks: (learnt.extend(chunks), learn(chunks)))
+    for k in range(200):
+        text = f"often met, number{k}x"
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == direct(text)
+    assert learnt.count("often") == learnt.count("met,") == 1 and len(learnt) == 202
+    assert sum(map(len, [*encoder.known, *encoder.known_before])) <= 450 and sum(map(len, [*encoder.parts, *encoder.parts_before])) <= 450
+
+
+def test_a_workers_encoder_outlives_a_task():
+    assert packing.kept(None, 100, 100) is packing.kept(None, 100, 100)
+    assert packing.kept(None, 100, 100) is not packing.kept(None, 50, 100)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_bins_hold_everything_once_and_fit(seed):
     rng = random.Random(seed)
