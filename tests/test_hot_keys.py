@@ -54,3 +54,13 @@ def test_rows_of_equal_order_stay_in_a_block(spark):
     _, blocks = windows.apart(df, ["k"], ["o"], 500)
     assert blocks.groupBy("o").agg(F.count_distinct("__block").alias("n")).where("n > 1").count() == 0
     assert sorted(r["n"] for r in windows.numbered(df, ["k"], ["o"], "n", hot=True, least=500).collect()) == list(range(1, 5001))
+
+
+def test_many_blocks_become_larger_ones(spark, monkeypatch):
+    assert [windows.blocks_of(n, 1000) for n in (1500, 16_000, 6_000_000, 40_000_000, 400_000_000)] == [2, 16, 200, 200, 2000]
+    assert windows.blocks_of(6_000_000, 200_000) == 30
+    monkeypatch.setattr(windows, "BLOCKS", 5)
+    df = rows(spark)
+    _, blocks = windows.apart(df, ["k"], ["o", "id"], 1000)
+    assert blocks.select("__block").distinct().count() == 5
+    same(windows.numbered(df, ["k"], ["o", "id"], "n"), windows.numbered(df, ["k"], ["o", "id"], "n", hot=True, least=1000))
