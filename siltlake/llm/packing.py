@@ -18,6 +18,7 @@ encoded whole.
 from __future__ import annotations
 
 import bisect
+import codecs
 import functools
 import os
 import re
@@ -27,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import SLICE, arrays, cut, release, shape, table, texts
+from siltlake.llm.common import arrays, cut, release, shape, table, texts
 
 #: Name of the public vocabulary.
 VOCABULARY = "word_bpe_49k.json"
@@ -40,6 +42,8 @@ END_ID = 1
 SHARD = 8_000
 #: Characters of distinct chunks, and of parts of chunks, whose ids a worker remembers; longer ones than LONG are not remembered.
 CHUNKS, PARTS, LONG = 3_000_000, 3_000_000, 200
+#: Bytes of texts whose words a worker parts and numbers at once; a longer text is cut at white space.
+GROUP = 4_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,6 +55,9 @@ class Encoder:
     and parts letters from signs that follow them; so a new chunk is put together from its letters in
     lower case and the signs at its end, which recur more often than the chunk. A chunk that may hold a special
     string is left to the tokenizer as it is.
+
+    encode() takes one text. encode_all() takes many: it finds their words by array operations over all bytes and looks
+    each distinct one up once; texts that may hold a special string go through encode().
     """
 
     TAIL = ",.;:!?#$%&*|"
@@ -68,7 +75,10 @@ class Encoder:
         # Byte-level vocabularies show a byte as its own character if it prints, else as one from 256 on.
         prints = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in prints]
-        self.bytes_shown = {b: 256 + n for n, b in enumerate(hidden)}
+        shown = {b: 256 + n for n, b in enumerate(hidden)}
+        self.bytes_shown = "".join(chr(shown.get(b, b)) for b in range(256))
+        # White space that parts words, signs of TAIL, letters and digits, other bytes.
+        self.kinds = np.array([0 if b in b" \t\n\r" else 1 if b in self.TAIL.encode() else 2 if b < 128 and chr(b).isalnum() else 4 for b in range(256)], np.uint8)
         self.forget()
         self.space = re.compile(r"[\t\n\r]")
 
@@ -101,9 +111,99 @@ class Encoder:
                 del known[c]
         return out
 
-    def learn(self, chunks: list[str]) -> None:
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """What encode() gives, for every text in turn; a null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        sizes, special = pc.binary_length(texts).to_pylist(), pc.match_substring(texts, "<|").to_pylist()
+        begin = held = 0
+        for k, size in enumerate(sizes):
+            if k > begin and (special[k] or held + size > GROUP):
+                yield from self.encode_group(texts.slice(begin, k - begin))
+                begin, held = k, 0
+            if special[k]:
+                yield self.encode(texts[k].as_py())
+                begin = k + 1
+            elif size > GROUP:
+                yield b"".join(self.encode_group(pa.array([part]))[0] for part in parted(texts[k].as_py(), GROUP))
+                begin = k + 1
+            else:
+                held += size
+        if len(texts) > begin:
+            yield from self.encode_group(texts.slice(begin))
+
+    def words(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The words of texts without special strings, in a row, and the number of words before each text and after the last.
+
+        White space parts words, and so do the edges between ASCII or Latin-1 letters or digits and signs of TAIL, which
+        the tokenizer never joins. Letters of both kinds are lower-cased unless a mark may follow them and join them first.
+        """
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
+        at = at - at[0]
+        kind = self.kinds[raw]
+        alone = np.ones(len(raw), bool)  # no character beyond U+017F follows
+        alone[:-1] = raw[1:] < 0xC6
+        alone[at[1:][at[1:] > 0] - 1] = True
+        low = raw + (((raw >= 65) & (raw <= 90) & alone).view(np.uint8) << 5)
+        first = np.flatnonzero(raw[:-1] == 0xC3)
+        second = raw[first + 1]
+        letter = (second != 0x97) & (second != 0xB7)  # the signs of multiplication and division
+        first, second = first[letter], second[letter]
+        kind[first] = kind[first + 1] = 2
+        low[first + 1] += ((second <= 0x9E) & alone[first + 1]).view(np.uint8) << 5
+        before = np.zeros(len(raw), np.uint8)
+        before[1:] = kind[:-1]
+        before[at[:-1][at[:-1] < len(raw)]] = 0
+        starts = (kind != 0) & ((before == 0) | (before + kind == 3))
+        shown = kind != 0
+        data, places = low[shown], np.append(np.flatnonzero(starts[shown]), np.count_nonzero(shown)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(data))
+        return words.dictionary_encode(), np.searchsorted(np.flatnonzero(starts), at)
+
+    def encode_group(self, texts: pa.Array) -> list[bytes]:
+        words, bounds = self.words(texts)
+        self.turn()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.parts.get, distinct))
+        if new := [w for w, ids in zip(distinct, found) if ids is None]:
+            self.learn_parts(new)
+            found = [self.parts[w] if ids is None else ids for w, ids in zip(distinct, found)]
+            for w in new:
+                if len(w) > LONG:
+                    del self.parts[w]
+        ids, count = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin, word = np.cumsum(count) - count, words.indices.to_numpy()
+        own = count[word]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        flat = ids[np.repeat(begin[word] - ends[:-1], own) + np.arange(ends[-1])].tobytes()
+        edges = (4 * ends[bounds]).tolist()
+        return [flat[a:b] for a, b in zip(edges, edges[1:])]
+
+    def turn(self) -> None:
         if 2 * self.held_parts > self.most_parts:
             self.parts, self.parts_before, self.held_parts = {"": b""}, self.parts, 0
+
+    def learn_parts(self, new: list[str]) -> None:
+        """Ids of distinct parts that are not known."""
+        self.held_parts += sum(map(len, new))
+        rest = []
+        for p in new:
+            ids = self.parts_before.get(p)
+            if ids is None:
+                # One run of letters is one word to the model, which then needs no normalising or splitting.
+                if not p.isalpha() or not p.isascii() and self.ODD.search(p):
+                    rest.append(p)
+                    continue
+                low = p.lower()
+                seen = low if p.isascii() else codecs.charmap_decode(low.encode(), "strict", self.bytes_shown)[0]
+                ids = [x.id for x in self.model.tokenize(seen)]
+                ids = struct.pack(f"<{len(ids)}I", *ids)
+            self.parts[p] = ids
+        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.parts[p] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, chunks: list[str]) -> None:
+        self.turn()
         pairs = []
         for c in chunks:
             if "<|" in c or self.ODD.search(c):
@@ -113,17 +213,7 @@ class Encoder:
             head = low.rstrip(self.TAIL)
             pairs.append((head, low[len(head) :]) if head and head[-1].isalpha() else (low, ""))
         if new := [p for p in dict.fromkeys(p for pair in pairs for p in pair) if p not in self.parts]:
-            self.held_parts += sum(map(len, new))
-            self.parts.update((p, self.parts_before[p]) for p in new if p in self.parts_before)
-            new = [p for p in new if p not in self.parts]
-            # One run of letters is one word to the model, which then needs no normalising or splitting.
-            plain = [p for p in new if p.isalpha() and (p.isascii() or not self.ODD.search(p))]
-            for p in plain:
-                seen = p if p.isascii() else p.encode().decode("latin-1").translate(self.bytes_shown)
-                self.parts[p] = struct.pack(f"<{len(t := self.model.tokenize(seen))}I", *[x.id for x in t])
-            rest = [p for p in new if p not in self.parts]
-            for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-                self.parts[p] = np.array(e.ids, "<u4").tobytes()
+            self.learn_parts(new)
         for c, (head, tail) in zip(chunks, pairs):
             self.known[c] = self.parts[head] + self.parts[tail]
         self.held += sum(map(len, chunks))
@@ -131,6 +221,18 @@ class Encoder:
             del self.parts[head]
 
 
+def parted(text: str, most: int) -> Iterator[str]:
+    """A text cut before white space, into parts of at most so many characters where that allows it."""
+    at = 0
+    while at < len(text):
+        end = at + most
+        if end < len(text):
+            last = max(text.rfind(c, at + 1, end + 1) for c in " \t\n\r")
+            end = last if last > 0 else min((k for c in " \t\n\r" if (k := text.find(c, end)) > 0), default=len(text))
+        yield text[at:end]
+        at = end
+
+
 @functools.lru_cache(maxsize=1)
 def kept(tokenizer: str | None, chunks: int, parts: int) -> Encoder:
     """A worker's encoder, which outlives a task: the next one begins with what is remembered."""
@@ -143,20 +245,18 @@ def cut_batches(tokenizer: str | None, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = kept(tokenizer, CHUNKS, PARTS), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, SLICE):
-                part = batch.slice(k, SLICE)
-                of, out, ids = [], [], []
-                for i, text in enumerate(part["text"].to_pylist()):
-                    whole = encoder.encode(text or "") + end
-                    for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
-                        own = whole[at : at + 4 * capacity]
-                        of.append(i)
-                        out.append((piece, at // 4, len(own) // 4, zlib.crc32(own)))
-                        if with_ids:
-                            ids.append(np.frombuffer(own, "<u4").astype(np.int64))
-                made = [part["doc_id"].take(pa.array(of, pa.int32())), *arrays(out, columns)]
-                names = ["doc_id", *columns.names]
-                yield pa.RecordBatch.from_arrays(made + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
+            of, out, ids = [], [], []
+            for i, text_ids in enumerate(encoder.encode_all(batch["text"])):
+                whole = text_ids + end
+                for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
+                    own = whole[at : at + 4 * capacity]
+                    of.append(i)
+                    out.append((piece, at // 4, len(own) // 4, zlib.crc32(own)))
+                    if with_ids:
+                        ids.append(np.frombuffer(own, "<u4").astype(np.int64))
+            made = [batch["doc_id"].take(pa.array(of, pa.int32())), *arrays(out, columns)]
+            names = ["doc_id", *columns.names]
+            yield pa.RecordBatch.from_arrays(made + [pa.array(ids, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
         release()
 
     return run

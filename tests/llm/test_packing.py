@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -57,6 +58,54 @@ def test_a_workers_encoder_outlives_a_task():
     assert packing.kept(None, 100, 100) is not packing.kept(None, 50, 100)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from("aAJHTWYbéÉÀÞ×÷ßµªİıΣσςŽž'tsrevmldxZÑñ,.;:!?#$%&*|<>()12 \n\t\r\x0b\x0c\x85\xa0 \u030c\u0331\u0308\u030a\u0301\u0307рÅ中ﬁſ"), max_size=40) | st.sampled_from(["<|endoftext|>,a", "x <|", "<|startoftext|>"]), max_size=6), st.sampled_from([1, 20, 4_000_000]))
+def test_texts_together_give_the_ids_of_each(texts, group):
+    before, packing.GROUP = packing.GROUP, group
+    try:
+        found = list(ENCODER.encode_all(pa.array(["A,", *texts], pa.string()).slice(1)))
+    finally:
+        packing.GROUP = before
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [direct(t or "") for t in texts]
+
+
+def test_a_capital_before_another_text_or_a_far_letter():
+    texts = ["G", "жG", "", "É", "\u030aG", "GЖ", "G\u030aG", "ÀéG,", "中"]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in ENCODER.encode_all(pa.array(texts))] == list(map(direct, texts))
+
+
+def test_a_task_looks_up_each_word_of_many_texts_once(monkeypatch):
+    encoder, learnt, alone = packing.Encoder(), [], []
+    learn, encode = encoder.learn_parts, encoder.encode
+    monkeypatch.setattr(encoder, "learn_parts", lambda new: (learnt.extend(new), learn(new)))
+    monkeypatch.setattr(encoder, "encode", lambda text: (alone.append(text), encode(text))[1])
+    monkeypatch.setattr(packing, "kept", lambda *a: encoder)
+    texts = [f"Wordé. wordé, WORDÉ; (wordé! {'long' * 100}" for _ in range(50)] + ["<|endoftext|>", None]
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(52), pa.int64()), "text": pa.array(texts)})
+    (out,) = packing.cut_batches(None, 4096, True)([rows])
+    assert out["ids"].to_pylist() == [direct(t or "") + [1] for t in texts]
+    assert sorted(learnt[:7]) == sorted(["wordé", ".", ",", ";", "(wordé", "!", "long" * 100]) and alone == ["<|endoftext|>"]
+    assert max(map(len, encoder.parts)) <= packing.LONG
+
+
+def test_a_text_beyond_a_group_is_cut_at_white_space():
+    text = "ab cd\tefghijk\n\nl "
+    assert "".join(packing.parted(text, 4)) == text and max(map(len, packing.parted(text, 8))) == 8
+    assert list(packing.parted("abcdefgh", 3)) == ["abcdefgh"] and list(packing.parted("abcdefgh ij", 3)) == ["abcdefgh", " ij"]
+    assert list(packing.parted("", 3)) == []
+
+
+def test_words_of_many_texts_are_remembered_beyond_full_halves(monkeypatch):
+    encoder, asked = packing.Encoder(None, 400, 400), []
+    monkeypatch.setattr(packing, "GROUP", 100)
+    get = encoder.learn_parts
+    monkeypatch.setattr(encoder, "learn_parts", lambda new: (asked.extend(w for w in new if w not in encoder.parts_before), get(new)))
+    texts = [f"often met, number{k}x" for k in range(200)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(pa.array(texts))] == list(map(direct, texts))
+    assert asked.count("often") == asked.count("met") == 1 and len(asked) == 203
+    assert sum(map(len, [*encoder.parts, *encoder.parts_before])) <= 600
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_bins_hold_everything_once_and_fit(seed):
     rng = random.Random(seed)
