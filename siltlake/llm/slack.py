@@ -32,8 +32,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import SLICE, arrays, cut, release, shape, small_batches, table
-from siltlake.llm.packing import Encoder
+from siltlake.llm.common import arrays, cut, release, shape, small_batches, table
+from siltlake.llm.packing import Encoder, kept
 
 CAPACITY, END_ID = 4096, 2
 #: Rests of one length that are numbered in one sort.
@@ -201,8 +201,9 @@ class Places:
             which, start, length, at = which[k], start[k] + own[k], length[k] - own[k], at[k] + own[k]
 
 
-def ids_of(encoder: Encoder, text: str | None) -> bytes:
-    return encoder.encode(text or "") + END_ID.to_bytes(4, "little")
+def ids_of(encoder: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    end = END_ID.to_bytes(4, "little")
+    return (ids + end for ids in encoder.encode_all(texts))
 
 
 def first_cut(tokenizer: str | None, capacity: int):
@@ -210,20 +211,16 @@ def first_cut(tokenizer: str | None, capacity: int):
     columns = shape(RESTS.removeprefix("doc_id long, text_hash long, "))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, REMEMBERED, REMEMBERED)
+        encoder = kept(tokenizer, REMEMBERED, REMEMBERED)
         for batch in batches:
-            for k in range(0, batch.num_rows, SLICE):
-                part = batch.slice(k, SLICE)
-                of, out = [], []
-                for i, text in enumerate(part["text"].to_pylist()):
-                    whole = ids_of(encoder, text)
-                    for at in range(0, len(whole), 4 * capacity):
-                        own = whole[at : at + 4 * capacity]
-                        of.append(i)
-                        out.append((len(whole) // 4, at // 4, len(own) // 4, zlib.crc32(own)))
-                at = pa.array(of, pa.int32())
-                yield pa.RecordBatch.from_arrays([part["doc_id"].take(at), part["text_hash"].take(at), *arrays(out, columns)], shape(RESTS).names)
-        del encoder
+            of, out = [], []
+            for i, whole in enumerate(ids_of(encoder, batch["text"])):
+                for at in range(0, len(whole), 4 * capacity):
+                    own = whole[at : at + 4 * capacity]
+                    of.append(i)
+                    out.append((len(whole) // 4, at // 4, len(own) // 4, zlib.crc32(own)))
+            at = pa.array(of, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(at), batch["text_hash"].take(at), *arrays(out, columns)], shape(RESTS).names)
         release()
 
     return run
@@ -251,17 +248,15 @@ def checksums(tokenizer: str | None):
     """Checksums of the cuts, a list of (start, length), of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = kept(tokenizer, REMEMBERED, REMEMBERED)
         for batch in batches:
             of, out = [], []
-            for i, (text, cuts) in enumerate(zip(batch["text"].to_pylist(), batch["cuts"].to_pylist())):
-                whole = ids_of(encoder, text)
+            for i, (whole, cuts) in enumerate(zip(ids_of(encoder, batch["text"]), batch["cuts"].to_pylist())):
                 for c in cuts:
                     of.append(i)
                     out.append((c["start"], c["length"], zlib.crc32(whole[4 * c["start"] : 4 * (c["start"] + c["length"])])))
             at = pa.array(of, pa.int32())
             yield pa.RecordBatch.from_arrays([*(batch[n].take(at) for n in ("doc_id", "text_hash")), *arrays(out, shape("start long, length long, ids_crc32 long"))], ["doc_id", "text_hash", "start", "length", "ids_crc32"])
-        del encoder
         release()
 
     return run

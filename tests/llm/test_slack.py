@@ -4,12 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siltlake.llm import slack
+from siltlake.llm.packing import Encoder
 
 
 def reachable(left, room):
@@ -125,3 +127,15 @@ def test_numbers_of_a_hot_length_are_dealt_over_blocks(spark, monkeypatch):
 def test_empty_table(spark):
     found = slack.pack(spark.createDataFrame([], "doc_id long, text string"))
     assert found.collect() == [] and found.columns == ["doc_id", "doc_tokens", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_a_task_looks_up_each_word_of_many_texts_once(monkeypatch):
+    encoder, learnt = Encoder(), []
+    learn = encoder.learn_parts
+    monkeypatch.setattr(encoder, "learn_parts", lambda new: (learnt.extend(new), learn(new)))
+    monkeypatch.setattr(slack, "kept", lambda *a: encoder)
+    texts = ["Word, word. WORD;"] * 40 + [None]
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(41), pa.int64()), "text_hash": pa.array(range(41), pa.int64()), "text": pa.array(texts)})
+    (out,) = slack.first_cut(None, 4096)([rows])
+    assert sorted(learnt) == [",", ".", ";", "word"]
+    assert out["length"].to_pylist() == [len(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
